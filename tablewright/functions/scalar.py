@@ -64,6 +64,13 @@ def attach_scalars(df: DataFrame, stats: DataFrame, name: str = "_stats") -> Dat
     return df.withColumn(name, stats.select(F.struct(*[col(c) for c in stats.columns]).alias(name)).scalar())
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over the rows where both are present; null when either is constant."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
+
+
 def chi_square_tail(statistic: Column, dof: Column) -> Column:
     """P(X > statistic) for a chi-square variable, from the series of the lower incomplete gamma.
 

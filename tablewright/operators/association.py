@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import attach_scalars, chi_square_tail, col, unpivot
+from tablewright.functions.scalar import attach_scalars, chi_square_tail, col, correlation, unpivot
 from tablewright.operators.project import require_columns
 
 # Weight of each selection method, in voting order.
@@ -16,11 +16,9 @@ VOTE_WEIGHTS = {"correlation": 1, "mutual_info": 2, "chi_square": 1, "feature_im
 
 def target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """(feature, correlation, abs_correlation) for all features from one aggregation; constants drop out."""
-    wide = df.agg(*[F.corr(col(c), col(target)).alias(c) for c in features])
+    wide = df.agg(*[correlation(col(c), col(target)).alias(c) for c in features])
     long = unpivot(wide, [], features, "feature", "correlation", "double")
-    return long.filter(F.col("correlation").isNotNull() & ~F.isnan("correlation")).withColumn(
-        "abs_correlation", F.abs("correlation")
-    )
+    return long.filter("correlation is not null").withColumn("abs_correlation", F.abs("correlation"))
 
 
 def top_correlated(df: DataFrame, features: Sequence[str], target: str, k: int = 20, threshold: float = 0.0) -> DataFrame:
@@ -31,7 +29,7 @@ def top_correlated(df: DataFrame, features: Sequence[str], target: str, k: int =
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long (a, b, r) over all ordered pairs; each pair uses the rows where both are present."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[F.corr(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[correlation(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
         for x, y in {(a, b), (b, a)}:

@@ -267,6 +267,6 @@ def target_encode(train: DataFrame, df: DataFrame, column: str, target: str, out
         F.sum(col(target)).alias("_sum"), F.count(col(target)).alias("_n")
     )
     overall = train.agg(F.avg(col(target)).alias("m")).scalar()
-    encoded = per_level.select("_level", ((F.col("_sum") + overall * smoothing) / (F.col("_n") + smoothing)).alias("_mean"))
+    encoded = per_level.select("_level", F.try_divide(F.col("_sum") + overall * smoothing, F.col("_n") + smoothing).alias("_mean"))
     joined = df.join(encoded, col(column) == F.col("_level"), "left")
     return joined.withColumn(output, F.coalesce(F.col("_mean"), overall)).drop("_level", "_mean")

@@ -101,7 +101,7 @@ def weighted_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Precision, recall and F1 averaged by class support; empty denominators count as 0."""
     classes = class_metrics(df, truth, predicted)
     n = F.sum("support")
-    return classes.agg(*[(F.sum(F.col(m) * F.col("support")) / n).alias(m) for m in ("precision", "recall", "f1")])
+    return classes.agg(*[F.try_divide(F.sum(F.col(m) * F.col("support")), n).alias(m) for m in ("precision", "recall", "f1")])
 
 
 def classification_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -113,8 +113,8 @@ def classification_report(df: DataFrame, truth: str, predicted: str) -> DataFram
     n = F.sum("support")
     totals = classes.rollup("name").agg(
         *[F.avg(m).alias(f"{m}_macro") for m in ("precision", "recall", "f1")],
-        *[(F.sum(F.col(m) * F.col("support")) / n).alias(f"{m}_weighted") for m in ("precision", "recall", "f1")],
-        (F.sum(F.col("recall") * F.col("support")) / n).alias("accuracy"),
+        *[F.try_divide(F.sum(F.col(m) * F.col("support")), n).alias(f"{m}_weighted") for m in ("precision", "recall", "f1")],
+        F.try_divide(F.sum(F.col("recall") * F.col("support")), n).alias("accuracy"),
         n.alias("support"),
         F.grouping("name").alias("is_total"),
     )

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tablewright.plans.registry import QUERIES, Query
 
-MODULES = ("cleaning",)
+MODULES = ("cleaning", "shaping", "splitting", "scoring")
 
 
 def all_queries() -> dict[str, Query]:
