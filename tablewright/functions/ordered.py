@@ -257,6 +257,31 @@ def positions(
         )
 
 
+def previous_values(
+    df: DataFrame,
+    order: str,
+    tie: str,
+    columns: dict[str, str],
+    group: Sequence[str] = (),
+    steps: int = 1,
+    chunks: int | None = None,
+) -> DataFrame:
+    """Values ``{output: input}`` of the row ``steps`` positions earlier in the group, null at its start.
+
+    The large form numbers the rows and joins every position to the one before on (group, position),
+    so the pairing is spread over all keys.
+    """
+    keys = [col(g) for g in group]
+    if chunks is None and is_small(df):
+        sort = Window.partitionBy(*keys).orderBy(col(order).asc_nulls_last(), col(tie))
+        return df.select("*", *[F.lag(col(src), steps).over(sort).alias(out) for out, src in columns.items()])
+    placed = positions(df, order, tie, group, name="_pos", chunks=chunks)
+    earlier = placed.select(
+        *keys, (F.col("_pos") + steps).alias("_pos"), *[col(src).alias(out) for out, src in columns.items()]
+    )
+    return placed.join(earlier, [*group, "_pos"], "left").select(*[col(c) for c in df.columns], *columns)
+
+
 # --------------------------------------------------------------------------- running totals
 
 

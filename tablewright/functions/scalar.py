@@ -41,7 +41,7 @@ def datetime_columns(df: DataFrame) -> list[str]:
 
 
 def sort_number(column: Column, dtype: T.DataType) -> Column:
-    """Map an ordered column to a double that never reverses its order."""
+    """Map an ordered column to a double that never reverses its order; distinct values may tie."""
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(column).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
@@ -50,6 +50,10 @@ def sort_number(column: Column, dtype: T.DataType) -> Column:
         return F.unix_date(column).cast("double")
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return column.cast("double")
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        # The first six bytes as one number: equal prefixes tie, which callers allow.
+        prefix = F.substring(F.encode(column, "UTF-8"), 1, 6)
+        return F.conv(F.rpad(F.hex(prefix), 12, "0"), 16, 10).cast("double")
     raise TypeError(f"cannot order by {dtype.simpleString()} without a numeric key")
 
 

@@ -25,6 +25,7 @@ def build_session(app: str = "tablewright", master: str | None = None, cpus: int
             .config("spark.sql.shuffle.partitions", str(cpus))
             .config("spark.driver.memory", "12g")
             .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
             .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         )
     spark = builder.getOrCreate()

@@ -18,7 +18,7 @@ def main(folder: str, names: list[str]) -> int:
     db = connect(folder)
     bad = 0
     for name, q in all_queries().items():
-        if names and not any(n in name or n in q.covers for n in names):
+        if names and not any(n in name or any(c.startswith(n) for c in q.covers) for n in names):
             continue
         start = time.time()
         try:
