@@ -45,7 +45,10 @@ def sort_number(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(column).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
+        # Built from the fields: a cast through the session's zone can reverse order around clock changes.
+        day = F.unix_date(column.cast("date")).cast("double") * 86400.0
+        within = F.hour(column) * 3600.0 + F.minute(column) * 60.0 + F.extract(F.lit("SECOND"), column).cast("double")
+        return day + within
     if isinstance(dtype, T.DateType):
         return F.unix_date(column).cast("double")
     if isinstance(dtype, (T.NumericType, T.BooleanType)):

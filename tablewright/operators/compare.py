@@ -28,11 +28,13 @@ def collect_metrics(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(list(paths.values()))
-        .withColumn("_file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
-    )
-    name = F.element_at(
-        F.create_map(*[F.lit(x) for model, path in paths.items() for x in (path.rsplit("/", 1)[-1], model)]), F.col("_file")
+        .withColumn("_file", F.url_decode(F.input_file_name()))
     )
+    name = F.lit(None).cast("string")
+    for model, path in paths.items():
+        # A document may be a file or a folder of part files.
+        tail = "/" + path.rstrip("/").rsplit("/", 1)[-1]
+        name = F.when(F.col("_file").endswith(tail) | F.col("_file").contains(tail + "/"), model).otherwise(name)
     good = read.filter(F.col("_corrupt_record").isNull())
     return good.select(name.alias("model"), "mse", "rmse", "mae", "r2", "cv_rmse").orderBy(F.desc_nulls_last("r2"), "model")
 

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tablewright.plans.registry import QUERIES, Query
 
-MODULES = ("cleaning", "shaping", "splitting", "scoring", "ranking", "registering", "watching")
+MODULES = ("cleaning", "shaping", "splitting", "scoring", "ranking", "registering", "watching", "learning", "storing")
 
 
 def all_queries() -> dict[str, Query]:

@@ -20,7 +20,7 @@ def models(spark, folder):
         F.element_at(F.array(*[F.lit(a) for a in ALGORITHMS]), (F.col("s_suppkey") % 3 + 1).cast("int")).alias("algorithm"),
         F.concat(F.lit("1.0."), F.floor(F.col("s_suppkey") / 10)).alias("version"),
         R.content_hash(F.col("s_name"), F.col("s_nationkey") % 5).alias("model_hash"),
-        F.timestamp_add("DAY", F.col("s_suppkey").cast("int"), F.lit("2024-01-01").cast("timestamp")).alias("created_at"),
+        F.timestamp_add("DAY", F.col("s_suppkey").cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("created_at"),
         F.concat(F.lit("u"), F.col("s_nationkey")).alias("created_by"),
         F.when(F.col("s_suppkey") % 7 == 0, "archived").otherwise("active").alias("status"),
         F.col("s_name").alias("description"),
@@ -66,7 +66,7 @@ def comparisons(spark, folder):
     return s.select(
         F.concat(F.lit("cmp"), k).alias("comparison_name"),
         F.lit("performance").alias("comparison_type"),
-        F.timestamp_add("HOUR", k.cast("int"), F.lit("2024-06-01").cast("timestamp")).alias("created_at"),
+        F.timestamp_add("HOUR", k.cast("int"), F.lit("2024-06-01").cast("timestamp_ntz")).alias("created_at"),
         F.concat(F.lit("u"), F.col("s_nationkey")).alias("created_by"),
         F.when(k % 4 != 0, k).alias("winner_model_id"),
         F.slice(F.array(k, k + 1, k + 2), 1, (k % 3 + 1).cast("int")).alias("model_ids"),
@@ -167,7 +167,7 @@ def leaderboard_top(spark, folder):
         UNION ALL (SELECT * FROM board WHERE model_type = 'classification' ORDER BY rank, model_name, version LIMIT 10))""",
 )
 def leaderboard_combined(spark, folder):
-    stamp = F.lit("2025-01-01").cast("timestamp")
+    stamp = F.lit("2025-01-01").cast("timestamp_ntz")
     return _plain(R.combined_leaderboard(R.leaderboard(summary(spark, folder)), stamp))
 
 
@@ -229,7 +229,7 @@ def audit_changes(spark, folder):
 )
 def touch_updated(spark, folder):
     m = models(spark, folder).withColumn("updated_at", F.col("created_at"))
-    return R.touch(m, F.col("status") == "archived", F.lit("2025-01-01").cast("timestamp")).select("id", "updated_at")
+    return R.touch(m, F.col("status") == "archived", F.lit("2025-01-01").cast("timestamp_ntz")).select("id", "updated_at")
 
 
 NEWEST = f"""{MODELS}, newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY created_at DESC, id DESC) AS r FROM models) WHERE r = 1)"""
@@ -339,7 +339,7 @@ def validate_metrics(spark, folder):
        'train,test' AS input_datasets, TIMESTAMP '2025-01-01' AS created_at FROM models""",
 )
 def lineage_rows(spark, folder):
-    out = R.lineage_rows(models(spark, folder), "training", "1.0.0", "abc", ["train", "test"], F.lit("2025-01-01").cast("timestamp"))
+    out = R.lineage_rows(models(spark, folder), "training", "1.0.0", "abc", ["train", "test"], F.lit("2025-01-01").cast("timestamp_ntz"))
     return out.withColumn("input_datasets", F.array_join("input_datasets", ","))
 
 

@@ -11,7 +11,7 @@ from tablewright.plans.registry import query
 from tablewright.plans.tables import GAPPY, TRADES, gappy_events, md5_sql, table, trades
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-REFERENCE = F.col("ts") < F.lit("2024-01-15").cast("timestamp")
+REFERENCE = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
 
 
 def _rounded(df, digits=6):
