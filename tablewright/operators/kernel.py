@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col
 from tablewright.operators.linear import balanced_weights
+from tablewright.session import reused
 
 
 @dataclass(frozen=True)
@@ -95,11 +96,14 @@ def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0,
     lift = fourier_map(features, width, waves, seed)
     weighted = balanced_weights(rows, label) if balanced else rows.withColumn("class_weight", F.lit(1.0))
     n = rows.count()
-    lifted = lift.apply(weighted, [label, "class_weight"])
-    machine = LinearSVC(labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4).fit(lifted)
-    margins = _margins(machine, lifted, [label])
-    vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
-    calibration = LogisticRegression(labelCol=label, featuresCol="features").fit(vector)
+    machine = LinearSVC(
+        labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
+    )
+    with reused(lift.apply(weighted, [label, "class_weight"])) as lifted:
+        machine = machine.fit(lifted)
+        margins = _margins(machine, lifted, [label])
+        vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
+        calibration = LogisticRegression(labelCol=label, featuresCol="features").fit(vector)
     return KernelClassifier(lift, machine, calibration, label)
 
 
@@ -129,5 +133,7 @@ def fit_svr(df: DataFrame, features: Sequence[str], target: str, c: float = 1.0,
     n = rows.count()
     machine = LinearRegression(
         labelCol=target, loss="huber", epsilon=1.35, regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=100
-    ).fit(lift.apply(rows, [target]))
+    )
+    with reused(lift.apply(rows, [target])) as lifted:
+        machine = machine.fit(lifted)
     return KernelRegressor(lift, machine, target, epsilon)

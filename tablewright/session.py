@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -45,6 +48,16 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+@contextmanager
+def reused(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` for the several passes of an iterative learner. A lost block is recomputed."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's shared checkpoint folder, so that several passes over it
     read the same stored rows and a lost executor costs a re-read instead of a recomputation."""
