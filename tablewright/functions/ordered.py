@@ -44,6 +44,15 @@ def is_small(df: DataFrame) -> bool:
     return plan_bytes(df) <= limit
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a small table that sits in few files; a large table is left as it is.
+
+    For inputs of iterative or per-row-heavy work only: elsewhere the extra shuffle costs more than
+    it brings.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if is_small(df) else df
+
+
 # --------------------------------------------------------------------------- quantiles
 
 

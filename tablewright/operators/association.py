@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.functions.ordered import is_small, spread
 from tablewright.functions.scalar import attach_scalars, chi_square_tail, col, correlation, unpivot
 from tablewright.operators.project import require_columns
+from tablewright.session import reused
 
 # Weight of each selection method, in voting order.
 VOTE_WEIGHTS = {"correlation": 1, "mutual_info": 2, "chi_square": 1, "feature_importance": 2, "rfe": 3}
@@ -122,6 +124,21 @@ def chi_square(df: DataFrame, features: Sequence[str], target: str, alpha: float
     )
 
 
+def training_rows(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Feature vector, label and kept columns of the labelled rows."""
+    slim = df.select(*[col(c) for c in dict.fromkeys([label, *keep, *features])]).na.drop(subset=[label])
+    return assemble(slim, features, keep=[label, *keep])
+
+
+def fit_on(learner, rows: DataFrame):
+    """Fit an MLlib learner. A small table is spread over the cores and kept for the learner's
+    passes; a large one is left to the learner, which stores its own compact form of it."""
+    if not is_small(rows):
+        return learner.fit(rows)
+    with reused(spread(rows)) as kept:
+        return learner.fit(kept)
+
+
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
@@ -136,8 +153,8 @@ def forest_importance(
     """Top features of a random forest fitted on all rows, and its accuracy on them."""
     from pyspark.ml.classification import RandomForestClassifier
 
-    data = assemble(df, features, keep=[target]).select("features", col(target).cast("double").alias("label"))
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(data)
+    data = training_rows(df, features, target).select("features", col(target).cast("double").alias("label"))
+    model = fit_on(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), data)
     accuracy = model.transform(data).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")).first()["a"]
     return importance_frame(df, features, model.featureImportances.toArray()).limit(k), accuracy
 
@@ -161,8 +178,8 @@ def eliminate_features(
 
     left, dropped = list(features), []
     while len(left) > keep:
-        data = assemble(df, left, keep=[target]).select("features", col(target).cast("double").alias("label"))
-        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(data)
+        data = training_rows(df, left, target).select("features", col(target).cast("double").alias("label"))
+        model = fit_on(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), data)
         scores = dict(zip(left, model.featureImportances.toArray(), strict=True))
         worst = sorted(left, key=lambda f: (scores[f], f))[: min(step, len(left) - keep)]
         dropped.append(worst)

@@ -17,6 +17,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col
 from tablewright.operators.linear import balanced_weights
 from tablewright.session import reused
@@ -91,7 +92,7 @@ def _calibrated(scored: DataFrame, calibration, keep: Sequence[str]) -> DataFram
 
 def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, gamma: float | str = "scale", waves: int = 64, balanced: bool = True, max_iter: int = 50, seed: int = 42) -> KernelClassifier:
     """Support-vector classifier: lifted features, linear machine, one-feature logistic calibration."""
-    rows = df.na.drop(subset=[label])
+    rows = df.select(*[col(c) for c in dict.fromkeys([label, *features])]).na.drop(subset=[label])
     width = scale_gamma(rows, features) if gamma == "scale" else float(gamma)
     lift = fourier_map(features, width, waves, seed)
     weighted = balanced_weights(rows, label) if balanced else rows.withColumn("class_weight", F.lit(1.0))
@@ -99,7 +100,7 @@ def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0,
     machine = LinearSVC(
         labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
     )
-    with reused(lift.apply(weighted, [label, "class_weight"])) as lifted:
+    with reused(lift.apply(spread(weighted), [label, "class_weight"])) as lifted:
         machine = machine.fit(lifted)
         margins = _margins(machine, lifted, [label])
         vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
@@ -127,13 +128,13 @@ class KernelRegressor:
 
 def fit_svr(df: DataFrame, features: Sequence[str], target: str, c: float = 1.0, epsilon: float = 0.1, gamma: float | str = "scale", waves: int = 64, seed: int = 42) -> KernelRegressor:
     """Kernel regression with a robust loss on lifted features."""
-    rows = df.na.drop(subset=[target])
+    rows = df.select(*[col(c) for c in dict.fromkeys([target, *features])]).na.drop(subset=[target])
     width = scale_gamma(rows, features) if gamma == "scale" else float(gamma)
     lift = fourier_map(features, width, waves, seed)
     n = rows.count()
     machine = LinearRegression(
         labelCol=target, loss="huber", epsilon=1.35, regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=100
     )
-    with reused(lift.apply(rows, [target])) as lifted:
+    with reused(lift.apply(spread(rows), [target])) as lifted:
         machine = machine.fit(lifted)
     return KernelRegressor(lift, machine, target, epsilon)

@@ -12,18 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import attach_scalars, col
-from tablewright.operators.association import assemble, importance_frame
+from tablewright.operators.association import assemble, fit_on, importance_frame, training_rows
 
 
 def _prepared(df: DataFrame, features: Sequence[str], target: str, weight: str | None = None) -> DataFrame:
-    keep = [target] if weight is None else [target, weight]
-    return assemble(df.na.drop(subset=[target]), features, keep=keep)
+    return training_rows(df, features, target, [] if weight is None else [weight])
 
 
 def fit_ols(df: DataFrame, features: Sequence[str], target: str):
     """Least squares with intercept: one pass of normal equations."""
     learner = LinearRegression(solver="normal", regParam=0.0, labelCol=target, featuresCol="features")
-    return learner.fit(_prepared(df, features, target))
+    return fit_on(learner, _prepared(df, features, target))
 
 
 def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0):
@@ -36,7 +35,7 @@ def fit_ridge(df: DataFrame, features: Sequence[str], target: str, alpha: float
     learner = LinearRegression(
         solver="normal", elasticNetParam=0.0, regParam=penalty, standardization=False, labelCol=target, featuresCol="features"
     )
-    return learner.fit(_prepared(df, features, target))
+    return fit_on(learner, _prepared(df, features, target))
 
 
 def fit_lasso(df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.1):
@@ -44,7 +43,7 @@ def fit_lasso(df: DataFrame, features: Sequence[str], target: str, alpha: float
     learner = LinearRegression(
         elasticNetParam=1.0, regParam=alpha, standardization=False, labelCol=target, featuresCol="features", maxIter=500, tol=1e-10
     )
-    return learner.fit(_prepared(df, features, target))
+    return fit_on(learner, _prepared(df, features, target))
 
 
 def predict(model, df: DataFrame, features: Sequence[str], output: str = "prediction") -> DataFrame:
@@ -113,11 +112,18 @@ def cross_validate_linear(df: DataFrame, features: Sequence[str], target: str, f
 
 
 def balanced_weights(df: DataFrame, label: str, output: str = "class_weight") -> DataFrame:
-    """n / (classes * n_class) on every row. One row per class joins unhinted."""
-    counts = df.filter(col(label).isNotNull()).groupBy(col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))
-    weights = attach_scalars(counts, totals, "_t").select("_l", (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(output))
-    return df.join(weights, col(label) == F.col("_l"), "inner").drop("_l")
+    """n / (classes * n_class) on every labelled row.
+
+    The class counts (MLlib's classifiers take at most a hundred classes) travel as one map in a
+    scalar subquery, so the rows are neither joined nor shuffled.
+    """
+    rows = df.filter(col(label).isNotNull())
+    counts = rows.groupBy(col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    packed = counts.agg(
+        F.map_from_entries(F.collect_list(F.struct("_l", "_n"))).alias("counts"), F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k")
+    )
+    wide = attach_scalars(rows, packed, "_w")
+    return wide.withColumn(output, F.col("_w.n") / (F.col("_w.k") * F.element_at("_w.counts", col(label)))).drop("_w")
 
 
 def fit_logistic(
@@ -136,7 +142,7 @@ def fit_logistic(
         maxIter=200,
         tol=1e-8,
     )
-    return learner.fit(_prepared(weighted, features, label, "class_weight"))
+    return fit_on(learner, _prepared(weighted, features, label, "class_weight"))
 
 
 def predict_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:

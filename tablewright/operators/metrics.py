@@ -62,9 +62,14 @@ def binary_metrics(df: DataFrame, truth: str, predicted: str, positive: object =
     )
 
 
-def confusion_counts(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def _rows(count: str | None) -> Column:
+    """Row count, or the sum of a count column when the input is pre-aggregated."""
+    return F.count(F.lit(1)) if count is None else F.sum(col(count))
+
+
+def confusion_counts(df: DataFrame, truth: str, predicted: str, count: str | None = None) -> DataFrame:
     """Observed cells only: (y_true, y_pred, n)."""
-    return df.groupBy(col(truth).alias("y_true"), col(predicted).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(col(truth).alias("y_true"), col(predicted).alias("y_pred")).agg(_rows(count).alias("n"))
 
 
 def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -76,9 +81,9 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return grid.join(cells, ["y_true", "y_pred"], "left").select("y_true", "y_pred", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def class_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def class_metrics(df: DataFrame, truth: str, predicted: str, count: str | None = None) -> DataFrame:
     """Per class: precision, recall, f1, support. Works on the confusion counts."""
-    cells = confusion_counts(df, truth, predicted)
+    cells = confusion_counts(df, truth, predicted, count)
     sides = cells.select(
         F.inline(
             F.array(
@@ -97,9 +102,9 @@ def class_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     )
 
 
-def weighted_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def weighted_metrics(df: DataFrame, truth: str, predicted: str, count: str | None = None) -> DataFrame:
     """Precision, recall and F1 averaged by class support; empty denominators count as 0."""
-    classes = class_metrics(df, truth, predicted)
+    classes = class_metrics(df, truth, predicted, count)
     n = F.sum("support")
     return classes.agg(*[F.try_divide(F.sum(F.col(m) * F.col("support")), n).alias(m) for m in ("precision", "recall", "f1")])
 
@@ -129,28 +134,28 @@ def classification_report(df: DataFrame, truth: str, predicted: str) -> DataFram
     return totals.select(F.inline(F.when(F.col("is_total") == 1, F.array(acc, macro, weighted)).otherwise(F.array(plain))))
 
 
-def score_counts(df: DataFrame, truth: str, score: str, positive: object = 1) -> DataFrame:
+def score_counts(df: DataFrame, truth: str, score: str, positive: object = 1, count: str | None = None) -> DataFrame:
     """(score, pos, neg): one row per distinct score, combined before the shuffle."""
-    is_pos = (col(truth) == F.lit(positive)).cast("bigint")
+    is_pos, weight = (col(truth) == F.lit(positive)).cast("bigint"), F.lit(1) if count is None else col(count)
     return (
         df.filter(col(score).isNotNull() & col(truth).isNotNull())
         .groupBy(col(score).alias("score"))
-        .agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
+        .agg(F.sum(is_pos * weight).alias("pos"), F.sum((1 - is_pos) * weight).alias("neg"))
     )
 
 
-def roc_auc(df: DataFrame, truth: str, score: str, positive: object = 1, chunks: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, truth: str, score: str, positive: object = 1, chunks: int | None = None, count: str | None = None) -> DataFrame:
     """Mann-Whitney AUC with half credit for ties; null when a class is absent."""
-    table = running_totals(score_counts(df, truth, score, positive), "score", {"neg_seen": "neg"}, chunks=chunks)
+    table = running_totals(score_counts(df, truth, score, positive, count), "score", {"neg_seen": "neg"}, chunks=chunks)
     wins = F.sum(F.col("pos") * (F.col("neg_seen") - F.col("neg") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return table.agg(F.when(pairs > 0, wins / pairs).alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, truth: str, score: str, positive: object = 1, chunks: int | None = None) -> DataFrame:
+def average_precision(df: DataFrame, truth: str, score: str, positive: object = 1, chunks: int | None = None, count: str | None = None) -> DataFrame:
     """Step-wise sum of (recall gain * precision) over descending distinct scores."""
     table = running_totals(
-        score_counts(df, truth, score, positive), "score", {"tp": "pos", "fp": "neg"}, descending=True, chunks=chunks
+        score_counts(df, truth, score, positive, count), "score", {"tp": "pos", "fp": "neg"}, descending=True, chunks=chunks
     )
     gain = F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
     return table.agg(F.when(F.sum("pos") > 0, gain / F.sum("pos")).alias("average_precision"))
@@ -245,11 +250,18 @@ def rows_with_null(df: DataFrame) -> DataFrame:
 
 
 def evaluate_classifier(df: DataFrame, name: str, truth: str, predicted: str, score: str | None = None) -> DataFrame:
-    """One row: accuracy, weighted precision / recall / F1, AUC, average precision and row count."""
-    base = df.agg(F.count(F.lit(1)).alias("test_size"), F.avg((col(truth) == col(predicted)).cast("double")).alias("accuracy"))
-    out = attach_scalars(base, weighted_metrics(df, truth, predicted), "_w")
-    auc = roc_auc(df, truth, score).scalar() if score else F.lit(None).cast("double")
-    ap = average_precision(df, truth, score).scalar() if score else F.lit(None).cast("double")
+    """One row: accuracy, weighted precision / recall / F1, AUC, average precision and row count.
+
+    The predictions are reduced once, to counts per (truth, predicted, score); all metrics start from
+    that same exchange, so an expensive prediction plan is not run again for each of them.
+    """
+    keys = [truth, predicted] + ([score] if score else [])
+    cells = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    hits = F.sum(F.when(col(truth) == col(predicted), F.col("_rows")).otherwise(0))
+    base = cells.agg(F.sum("_rows").alias("test_size"), F.try_divide(hits, F.sum("_rows")).alias("accuracy"))
+    out = attach_scalars(base, weighted_metrics(cells, truth, predicted, "_rows"), "_w")
+    auc = roc_auc(cells, truth, score, count="_rows").scalar() if score else F.lit(None).cast("double")
+    ap = average_precision(cells, truth, score, count="_rows").scalar() if score else F.lit(None).cast("double")
     return out.select(
         F.lit(name).alias("model"),
         "test_size",

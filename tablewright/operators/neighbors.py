@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col, md5_bits
 
 MAX_PIVOTS = 256
@@ -63,7 +64,8 @@ def nearest(
     # Of identical vectors only the k smallest ids can ever be neighbours. The limit is applied
     # before the shuffle, so a vector copied a billion times moves k rows per partition.
     copies = Window.partitionBy("tv").orderBy("tid")
-    t = t.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k).drop("_copy")
+    t = spread(t.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k).drop("_copy"))
+    q = spread(q)
 
     spots = t.orderBy(md5_bits(F.col("tid")), "tid").limit(pivots).select("tv").collect()
     if not spots:
@@ -147,9 +149,12 @@ def nearest(
             )
         return pd.concat(out)
 
+    # A fixed partition count keeps adaptive execution from packing compute-heavy groups into few tasks.
+    parts, key = int(spark.conf.get("spark.sql.shuffle.partitions")), ("cell", "qb", "tb")
     pairs = (
-        left.groupBy("cell", "qb", "tb")
-        .cogroup(right.groupBy("cell", "qb", "tb"))
+        left.repartition(parts, *key)
+        .groupBy(*key)
+        .cogroup(right.repartition(parts, *key).groupBy(*key))
         .applyInPandas(meet, "qid bigint, tid bigint, distance double, value double")
     )
     best = Window.partitionBy("qid").orderBy("distance", "tid")

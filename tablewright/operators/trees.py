@@ -10,44 +10,45 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col, md5_bits
-from tablewright.operators.association import assemble, importance_frame
+from tablewright.operators.association import assemble, fit_on, importance_frame, training_rows
 from tablewright.operators.linear import balanced_weights
+from tablewright.session import reused
 
 # MLlib refuses deeper trees.
 DEEPEST = 30
 
 
 def _rows(df: DataFrame, features: Sequence[str], target: str, balanced: bool, keep: Sequence[str] = ()) -> DataFrame:
-    rows = df.na.drop(subset=[target])
-    rows = balanced_weights(rows, target) if balanced else rows.withColumn("class_weight", F.lit(1.0))
-    return assemble(rows, features, keep=[target, "class_weight", *keep])
+    rows = balanced_weights(df, target) if balanced else df.withColumn("class_weight", F.lit(1.0))
+    return training_rows(rows, features, target, ["class_weight", *keep])
 
 
 def fit_forest_regressor(df, features, target, trees=100, depth=DEEPEST, min_leaf=1, seed=42, max_bins=32):
     learner = RandomForestRegressor(
         labelCol=target, numTrees=trees, maxDepth=min(depth, DEEPEST), minInstancesPerNode=min_leaf, seed=seed, maxBins=max_bins, featureSubsetStrategy="all"
     )
-    return learner.fit(_rows(df, features, target, False))
+    return fit_on(learner, _rows(df, features, target, False))
 
 
 def fit_boosting_regressor(df, features, target, rounds=100, rate=0.1, depth=3, subsample=1.0, seed=42):
     learner = GBTRegressor(labelCol=target, maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=subsample, seed=seed)
-    return learner.fit(_rows(df, features, target, False))
+    return fit_on(learner, _rows(df, features, target, False))
 
 
 def fit_forest_classifier(df, features, target, trees=200, depth=20, min_leaf=2, balanced=True, seed=42):
     learner = RandomForestClassifier(
         labelCol=target, weightCol="class_weight", numTrees=trees, maxDepth=min(depth, DEEPEST), minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed
     )
-    return learner.fit(_rows(df, features, target, balanced))
+    return fit_on(learner, _rows(df, features, target, balanced))
 
 
 def fit_tree_classifier(df, features, target, criterion="gini", depth=10, min_leaf=10, min_gain=0.0, balanced=True, seed=42):
     learner = DecisionTreeClassifier(
         labelCol=target, weightCol="class_weight", impurity=criterion, maxDepth=depth, minInstancesPerNode=min_leaf, minInfoGain=min_gain, seed=seed
     )
-    return learner.fit(_rows(df, features, target, balanced))
+    return fit_on(learner, _rows(df, features, target, balanced))
 
 
 def fit_boosting_classifier(df, features, target, key, rounds=100, rate=0.1, depth=3, validation=0.1, tolerance=1e-4, seed=42):
@@ -59,7 +60,7 @@ def fit_boosting_classifier(df, features, target, key, rounds=100, rate=0.1, dep
     learner = GBTClassifier(
         labelCol=target, maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, validationIndicatorCol="_validate", validationTol=tolerance
     )
-    return learner.fit(_rows(marked, features, target, False, keep=["_validate"]))
+    return fit_on(learner, _rows(marked, features, target, False, keep=["_validate"]))
 
 
 def score_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -163,10 +164,11 @@ def grid_search(df: DataFrame, learner, grid: Mapping[str, Sequence], features:
         else MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     )
     search = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol=fold, parallelism=parallelism)
-    fitted = search.fit(assemble(df.na.drop(subset=[label]), features, keep=[label, fold]))
-    rows = [
+    with reused(spread(training_rows(df, features, label, [fold]))) as rows:
+        fitted = search.fit(rows)
+    scores = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(score))
         for m, score in zip(maps, fitted.avgMetrics, strict=True)
     ]
-    table = df.sparkSession.createDataFrame(rows, "parameters string, score double")
+    table = df.sparkSession.createDataFrame(scores, "parameters string, score double")
     return table, fitted.bestModel

@@ -126,7 +126,7 @@ def metric_documents(spark, folder):
 @query(
     "raw_weather_layout",
     "S1 P1 P2",
-    f"""WITH {GAPPY} SELECT 'u' || user_id AS location, count(*) AS n, round(avg(value), 4) AS min_temp,
+    f"""WITH {GAPPY} SELECT 'u' || user_id AS location, count(*) AS n, round(sum(value), 4) AS min_temp,
       count(event_type) AS rain_tomorrow, min(ts) AS first_date FROM gappy GROUP BY 1""",
 )
 def raw_weather_layout(spark, folder):
@@ -143,7 +143,7 @@ def raw_weather_layout(spark, folder):
     out = rename(S.read_csv(spark, path, schema), WEATHER_COLUMNS)
     return out.groupBy("location").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("min_temp"), 4).alias("min_temp"),
+        F.round(F.sum("min_temp"), 4).alias("min_temp"),
         F.count("rain_tomorrow").alias("rain_tomorrow"),
         F.min("date").alias("first_date"),
     )
