@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.functions.ordered import positions
 from tablewright.functions.scalar import col
@@ -22,15 +21,15 @@ MODEL_TYPES = ("regression", "classification")
 PRIMARY_METRIC = {"regression": "r2_score", "classification": "accuracy"}
 FIRST_VERSION = "1.0.0"
 
-REGISTRY_SCHEMA = T.StructType.fromDDL(
+REGISTRY_SCHEMA = (
     "id bigint, model_name string, model_type string, algorithm string, version string, model_hash string,"
     " created_at timestamp, created_by string, status string, description string, tags map<string,string>,"
     " updated_at timestamp"
 )
-METRICS_SCHEMA = T.StructType.fromDDL(
+METRICS_SCHEMA = (
     "model_id bigint, metric_name string, metric_value decimal(15,8), dataset_type string, created_at timestamp"
 )
-PARAMETERS_SCHEMA = T.StructType.fromDDL(
+PARAMETERS_SCHEMA = (
     "model_id bigint, parameter_name string, parameter_value string, parameter_type string, created_at timestamp"
 )
 

@@ -11,7 +11,11 @@ from tablewright.plans.registry import query
 from tablewright.plans.tables import GAPPY, TRADES, gappy_events, md5_sql, table, trades
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-REFERENCE = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+
+
+def reference_period():
+    """The earlier part of the events, against which the later part is compared."""
+    return F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
 
 
 def _rounded(df, digits=6):
@@ -139,7 +143,7 @@ k AS (SELECT max(abs(fa - fb)) AS statistic, 1.3581 * sqrt((SELECT sum(a) + sum(
 
 @query("drift_ks", "D8", f"WITH {KS} SELECT round(statistic, 6) AS statistic, round(critical, 6) AS critical, statistic > critical AS drifted FROM k")
 def drift_ks(spark, folder):
-    return _rounded(Q.ks_statistic(table(spark, folder, "events"), "value", REFERENCE))
+    return _rounded(Q.ks_statistic(table(spark, folder, "events"), "value", reference_period()))
 
 
 @query(
@@ -153,7 +157,7 @@ def drift_ks(spark, folder):
     SELECT round(sum((p - q) * ln(p / q)), 6) AS psi FROM p""",
 )
 def drift_psi(spark, folder):
-    return _rounded(Q.population_stability(table(spark, folder, "events"), "value", REFERENCE))
+    return _rounded(Q.population_stability(table(spark, folder, "events"), "value", reference_period()))
 
 
 @query(
@@ -165,7 +169,7 @@ def drift_psi(spark, folder):
       CAST((count(DISTINCT l) - 1) * (count(DISTINCT y) - 1) AS INT) AS dof FROM m""",
 )
 def drift_categories(spark, folder):
-    out = Q.category_drift(table(spark, folder, "events"), ["event_type"], REFERENCE)
+    out = Q.category_drift(table(spark, folder, "events"), ["event_type"], reference_period())
     return _rounded(out.select("feature", "statistic", "dof"))
 
 
@@ -176,7 +180,7 @@ def drift_categories(spark, folder):
     SELECT round(r, 6) AS reference, round(c, 6) AS current, round(c - r, 6) AS change FROM a""",
 )
 def drift_target(spark, folder):
-    return _rounded(Q.target_drift(table(spark, folder, "events"), "value", REFERENCE))
+    return _rounded(Q.target_drift(table(spark, folder, "events"), "value", reference_period()))
 
 
 RUNS = f"""{SUMMARY}, runs AS (SELECT model_name, id, created_at, CAST(f1_score AS DOUBLE) AS f1_score FROM summary WHERE f1_score IS NOT NULL),

@@ -8,13 +8,20 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from tablewright.plans.catalog import all_queries  # noqa: E402
 from tablewright.session import build_session  # noqa: E402
 from tests.oracle import connect, differences  # noqa: E402
 
 
 def main(folder: str, names: list[str]) -> int:
-    spark = build_session("check", "local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # A session without any of our settings, as another driver may bring it.
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate()
+        spark.sparkContext.setLogLevel("OFF")
+    else:
+        spark = build_session("check", "local[8]", 8)
     db = connect(folder)
     bad = 0
     for name, q in all_queries().items():
