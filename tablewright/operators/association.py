@@ -131,12 +131,17 @@ def training_rows(df: DataFrame, features: Sequence[str], label: str, keep: Sequ
 
 
 def fit_on(learner, rows: DataFrame):
-    """Fit an MLlib learner. A small table is spread over the cores and kept for the learner's
-    passes; a large one is left to the learner, which stores its own compact form of it."""
+    """Fit an MLlib learner.
+
+    A small table is spread over the cores and kept, because learners read their input several times
+    before they start. A large one is left to the learner. The learner is given a projection of the
+    kept table: on an input that is itself marked as kept it would skip storing its blocked form and
+    rebuild that in every iteration.
+    """
     if not is_small(rows):
         return learner.fit(rows)
     with reused(spread(rows)) as kept:
-        return learner.fit(kept)
+        return learner.fit(kept.select("*"))
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features", keep: Sequence[str] = ()) -> DataFrame:

@@ -17,10 +17,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col
+from tablewright.operators.association import fit_on
 from tablewright.operators.linear import balanced_weights
-from tablewright.session import reused
 
 
 @dataclass(frozen=True)
@@ -50,8 +49,8 @@ def scale_gamma(df: DataFrame, features: Sequence[str]) -> float:
     ).first()
     means = np.array([row[f"m{i}"] for i in range(len(features))])
     variances = np.array([row[f"v{i}"] for i in range(len(features))])
-    spread = variances.mean() + means.var()
-    return 1.0 / (len(features) * spread) if spread > 0 else 1.0
+    total = variances.mean() + means.var()
+    return 1.0 / (len(features) * total) if total > 0 else 1.0
 
 
 def fourier_map(features: Sequence[str], gamma: float, waves: int = 64, seed: int = 42) -> FourierMap:
@@ -100,11 +99,11 @@ def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0,
     machine = LinearSVC(
         labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
     )
-    with reused(lift.apply(spread(weighted), [label, "class_weight"])) as lifted:
-        machine = machine.fit(lifted)
-        margins = _margins(machine, lifted, [label])
-        vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
-        calibration = LogisticRegression(labelCol=label, featuresCol="features").fit(vector)
+    lifted = lift.apply(weighted, [label, "class_weight"])
+    machine = fit_on(machine, lifted)
+    margins = _margins(machine, lifted, [label])
+    vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
+    calibration = fit_on(LogisticRegression(labelCol=label, featuresCol="features"), vector)
     return KernelClassifier(lift, machine, calibration, label)
 
 
@@ -135,6 +134,5 @@ def fit_svr(df: DataFrame, features: Sequence[str], target: str, c: float = 1.0,
     machine = LinearRegression(
         labelCol=target, loss="huber", epsilon=1.35, regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=100
     )
-    with reused(lift.apply(spread(rows), [target])) as lifted:
-        machine = machine.fit(lifted)
+    machine = fit_on(machine, lift.apply(rows, [target]))
     return KernelRegressor(lift, machine, target, epsilon)
