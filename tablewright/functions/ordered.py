@@ -67,8 +67,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles: one ``array<double>`` per column, one row per group.
 
-    Nulls are ignored; a column without values gives null.
+    Nulls are ignored; a column without values gives null. Rows with a null group are ignored.
     """
+    for g in group:
+        df = df.filter(col(g).isNotNull())
     if small is None:
         small = is_small(df)
     keys = [col(g) for g in group]
@@ -217,6 +219,32 @@ def order_numbers(df: DataFrame, order: str, tie: str | None, descending: bool =
     return key, None if tie is None else sort_number(col(tie), df.schema[tie].dataType)
 
 
+def by_piece(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Shuffle chunked rows once, by (group hash, chunk).
+
+    Everything after it, the local windows, the per-piece summary and the join that brings carried
+    values back, is satisfied by this partitioning, so the rows are not shuffled again. The hash
+    is never null, so rows without a group are kept; equal hashes are told apart by the group itself.
+    """
+    key = F.xxhash64(*[col(g) for g in group]) if group else F.lit(0).cast("bigint")
+    return rows.withColumn("_piece", key).repartition("_piece", "_chunk")
+
+
+def piece_window(group: Sequence[str]):
+    return Window.partitionBy("_piece", "_chunk", *[col(g) for g in group])
+
+
+def join_pieces(rows: DataFrame, summary: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Attach a summary with one row per piece. The null-safe comparison of the group columns is kept
+    out of the join keys, which would otherwise ask for another shuffle."""
+    renamed = summary.withColumnsRenamed({"_piece": "_piece2", "_chunk": "_chunk2", **{g: f"_same_{i}" for i, g in enumerate(group)}})
+    on = (F.col("_piece") == F.col("_piece2")) & (F.col("_chunk") == F.col("_chunk2"))
+    for i, g in enumerate(group):
+        other = F.col(f"_same_{i}")
+        on = on & F.coalesce(col(g) == other, col(g).isNull() & other.isNull())
+    return rows.join(renamed, on, "inner")
+
+
 # --------------------------------------------------------------------------- positions
 
 
@@ -240,30 +268,24 @@ def positions(
     sort = [lead] if by_rank or tie is None else [lead, col(tie)]
     local = F.rank() if by_rank else F.row_number()
     if chunks is None and is_small(df):
-        return df.withColumn(name, local.over(Window.partitionBy(*keys).orderBy(*sort)))
+        return df.withColumn(name, local.over(Window.partitionBy(*keys).orderBy(*sort)).cast("bigint"))
 
     key, tie_key = order_numbers(df, order, tie, descending)
     plan = plan_chunks(df, key, tie_key, chunks)
-    rows = with_chunk(df, key, tie_key, plan)
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*sort)
-    sizes = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    rows = by_piece(with_chunk(df, key, tie_key, plan), group)
+    sizes = rows.groupBy("_piece", "_chunk", *keys).agg(F.count(F.lit(1)).alias("_rows"))
     if by_rank and plan.heavy and tie_key is not None:
         # Sub-chunks of one heavy value share the offset of the first of them.
         sizes = sizes.withColumn("_block", F.floor(F.col("_chunk") / (MAX_CHUNKS * 4)))
     else:
         sizes = sizes.withColumn("_block", F.col("_chunk"))
-    before = Window.partitionBy(*keys).orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys, "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    ranked = rows.withColumn("_local", local.over(in_chunk))
+    before = Window.partitionBy("_piece", *keys).orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_piece", "_chunk", *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    ranked = rows.withColumn("_local", local.over(piece_window(group).orderBy(*sort)))
     if by_rank and plan.heavy:
         ranked = ranked.withColumn("_local", F.when(key.isin(list(plan.heavy)), F.lit(1)).otherwise(F.col("_local")))
-    out = ranked.join(offsets, [*group, "_chunk"], "inner")
-    return out.select(*[col(c) for c in df.columns], (F.col("_local") + F.col("_offset")).cast("int").alias(name)) \
-        if by_rank else out.select(
-            *[col(c) for c in df.columns], (F.col("_local") + F.col("_offset")).cast("bigint").alias(name)
-        )
+    placed = (F.col("_local") + F.col("_offset")).cast("bigint").alias(name)
+    return join_pieces(ranked, offsets, group).select(*[col(c) for c in df.columns], placed)
 
 
 def previous_values(
@@ -286,9 +308,14 @@ def previous_values(
         return df.select("*", *[F.lag(col(src), steps).over(sort).alias(out) for out, src in columns.items()])
     placed = positions(df, order, tie, group, name="_pos", chunks=chunks)
     earlier = placed.select(
-        *keys, (F.col("_pos") + steps).alias("_pos"), *[col(src).alias(out) for out, src in columns.items()]
+        *[col(g).alias(f"_same_{i}") for i, g in enumerate(group)],
+        (F.col("_pos") + steps).alias("_pos2"),
+        *[col(src).alias(out) for out, src in columns.items()],
     )
-    return placed.join(earlier, [*group, "_pos"], "left").select(*[col(c) for c in df.columns], *columns)
+    on = F.col("_pos") == F.col("_pos2")
+    for i, g in enumerate(group):
+        on = on & col(g).eqNullSafe(F.col(f"_same_{i}"))
+    return placed.join(earlier, on, "left").select(*[col(c) for c in df.columns], *columns)
 
 
 # --------------------------------------------------------------------------- running totals
@@ -311,16 +338,15 @@ def running_totals(
 
     key, _ = order_numbers(df, order, None, descending)
     plan = plan_chunks(df, key, None, chunks)
-    rows = with_chunk(df, key, None, plan)
-    totals = rows.groupBy(*keys, "_chunk").agg(*[F.sum(col(src)).alias(f"_t_{out}") for out, src in sums.items()])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    rows = by_piece(with_chunk(df, key, None, plan), group)
+    totals = rows.groupBy("_piece", "_chunk", *keys).agg(*[F.sum(col(src)).alias(f"_t_{out}") for out, src in sums.items()])
+    before = Window.partitionBy("_piece", *keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        *keys, "_chunk", *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_c_{out}") for out in sums]
+        "_piece", "_chunk", *keys, *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_c_{out}") for out in sums]
     )
-    local = Window.partitionBy(*keys, "_chunk").orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
+    local = piece_window(group).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.select("*", *[F.sum(col(src)).over(local).alias(f"_l_{out}") for out, src in sums.items()])
-    joined = summed.join(carried, [*group, "_chunk"], "inner")
-    return joined.select(
+    return join_pieces(summed, carried, group).select(
         *[col(c) for c in df.columns], *[(F.col(f"_l_{out}") + F.col(f"_c_{out}")).alias(out) for out in sums]
     )
 
@@ -408,10 +434,15 @@ def hash_thresholds(
         .select(*keys, "_slot", "_at", (F.col("_rank") - (F.col("_seen") - F.col("_rows"))).alias("_inside"))
         .groupBy(*keys, "_slot")
         .agg(F.collect_list(F.struct("_at", "_inside")).alias("_wants"))
+        .withColumnsRenamed({"_slot": "_slot2", **{g: f"_same_{i}" for i, g in enumerate(group)}})
     )
+    # A label may be null, so it is compared null-safely.
+    on = F.col("_slot") == F.col("_slot2")
+    for i, g in enumerate(group):
+        on = on & col(g).eqNullSafe(F.col(f"_same_{i}"))
     in_slot = Window.partitionBy(*keys, "_slot").orderBy("_hash", "_key")
     hits = (
-        hashed.join(wanted, [*group, "_slot"], "inner")
+        hashed.join(wanted, on, "inner")
         .withColumn("_pos", F.row_number().over(in_slot))
         .select("*", F.explode("_wants").alias("_want"))
         .filter(F.col("_want._inside") == F.col("_pos"))

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ordered import (
+    by_piece,
     exact_quantiles,
     is_small,
+    join_pieces,
     order_numbers,
+    piece_window,
     plan_chunks,
     with_chunk,
 )
@@ -115,7 +118,8 @@ def interpolate(
 ) -> DataFrame:
     """Linear interpolation by row position inside each group, ordered by (order, tie).
 
-    Leading nulls stay null, trailing nulls repeat the last value. A large input is cut along the
+    Leading nulls stay null, trailing nulls repeat the last value; rows without a group are left as
+    they are. A large input is cut along the
     order key into chunks of about equal size: every chunk is scanned by itself and takes the last
     known value before it and the first known value after it from a summary with one row per group
     and chunk. A group holding a third of all rows is thereby spread over all chunks.
@@ -124,17 +128,17 @@ def interpolate(
         return _interpolate_whole(df, group, order, tie, columns)
     key, tie_key = order_numbers(df, order, tie)
     plan = plan_chunks(df, key, tie_key, chunks)
-    rows = with_chunk(df, key, tie_key, plan)
+    rows = by_piece(with_chunk(df, key, tie_key, plan), [group])
     sort = [col(order).asc_nulls_last(), col(tie)]
-    chunk = Window.partitionBy(col(group), "_chunk").orderBy(*sort)
+    chunk = piece_window([group]).orderBy(*sort)
     rows = rows.withColumn("_pos", F.row_number().over(chunk).cast("bigint"))
-    known = {c: F.when(col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), col(c).cast("double").alias("v"))) for c in columns}
-    summary = rows.groupBy(col(group), "_chunk").agg(
+    known = _known(columns)
+    summary = rows.groupBy("_piece", "_chunk", col(group)).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.max(known[c]).alias(f"_l_{c}") for c in columns],
         *[F.min(known[c]).alias(f"_f_{c}") for c in columns],
     )
-    by_chunk = Window.partitionBy(col(group)).orderBy("_chunk")
+    by_chunk = Window.partitionBy("_piece", col(group)).orderBy("_chunk")
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     later = by_chunk.rowsBetween(1, Window.unboundedFollowing)
     summary = summary.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
@@ -144,30 +148,36 @@ def interpolate(
         return F.when(edge.isNotNull(), F.struct((edge["p"] + F.col("_offset")).alias("p"), edge["v"].alias("v")))
 
     summary = summary.select(
-        col(group),
+        "_piece",
         "_chunk",
+        col(group),
         "_offset",
         *[shifted(f"_l_{c}").alias(f"_l_{c}") for c in columns],
         *[shifted(f"_f_{c}").alias(f"_f_{c}") for c in columns],
     ).select(
-        col(group).alias("_g"),
-        F.col("_chunk").alias("_c"),
+        "_piece",
+        "_chunk",
+        col(group),
         "_offset",
         *[F.last(col(f"_l_{c}"), ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
         *[F.first(col(f"_f_{c}"), ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
     )
-    joined = rows.join(summary, col(group).eqNullSafe(F.col("_g")) & (F.col("_chunk") == F.col("_c")), "inner")
-    joined = joined.withColumn("_pos", F.col("_pos") + F.col("_offset"))
+    joined = join_pieces(rows, summary, [group]).withColumn("_pos", F.col("_pos") + F.col("_offset"))
     past = chunk.rowsBetween(Window.unboundedPreceding, 0)
     future = chunk.rowsBetween(0, Window.unboundedFollowing)
-    known = {c: F.when(col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), col(c).cast("double").alias("v"))) for c in columns}
+    known = _known(columns)
     scanned = joined.select(
         *[col(c) for c in df.columns],
         "_pos",
         *[F.coalesce(F.last(known[c], ignorenulls=True).over(past), col(f"_before_{c}")).alias(f"_p_{c}") for c in columns],
         *[F.coalesce(F.first(known[c], ignorenulls=True).over(future), col(f"_after_{c}")).alias(f"_n_{c}") for c in columns],
     )
-    return _between(scanned, df.columns, columns)
+    return _between(scanned, group, df.columns, columns)
+
+
+def _known(columns: Sequence[str]) -> dict:
+    """(position, value) of the cells that hold a value."""
+    return {c: F.when(col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), col(c).cast("double").alias("v"))) for c in columns}
 
 
 def _interpolate_whole(df: DataFrame, group: str, order: str, tie: str, columns: Sequence[str]) -> DataFrame:
@@ -175,23 +185,23 @@ def _interpolate_whole(df: DataFrame, group: str, order: str, tie: str, columns:
     past = ordered.rowsBetween(Window.unboundedPreceding, 0)
     future = ordered.rowsBetween(0, Window.unboundedFollowing)
     rows = df.withColumn("_pos", F.row_number().over(ordered).cast("bigint"))
-    known = {c: F.when(col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), col(c).cast("double").alias("v"))) for c in columns}
+    known = _known(columns)
     scanned = rows.select(
         *[col(c) for c in df.columns],
         "_pos",
         *[F.last(known[c], ignorenulls=True).over(past).alias(f"_p_{c}") for c in columns],
         *[F.first(known[c], ignorenulls=True).over(future).alias(f"_n_{c}") for c in columns],
     )
-    return _between(scanned, df.columns, columns)
+    return _between(scanned, group, df.columns, columns)
 
 
-def _between(scanned: DataFrame, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _between(scanned: DataFrame, group: str, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
     def value(c: str):
         before, after = col(f"_p_{c}"), col(f"_n_{c}")
         slope = (after["v"] - before["v"]) / (after["p"] - before["p"])
         return (
             F.when(col(c).isNotNull(), col(c).cast("double"))
-            .when(before.isNull(), F.lit(None).cast("double"))
+            .when(before.isNull() | col(group).isNull(), F.lit(None).cast("double"))
             .when(after.isNull(), before["v"])
             .otherwise(before["v"] + slope * (F.col("_pos") - before["p"]))
         )

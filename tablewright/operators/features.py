@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.ordered import exact_quantiles
+from tablewright.functions.ordered import exact_quantiles, positions
 from tablewright.functions.scalar import attach_scalars, col, datetime_columns, numeric_columns
 from tablewright.operators.project import REGRESSION_NAMES, rename, require_columns
 
@@ -158,10 +158,11 @@ def transform_table(
 def fit_labels(train: DataFrame, column: str) -> DataFrame:
     """Lookup (value, id): ids run 0.. in alphabetical order of the training values.
 
-    Distinct values come first, so the ordering step sees one row per level.
+    Distinct values come first, so the ordering step sees one row per level; many levels are numbered
+    in chunks.
     """
     distinct = train.filter(col(column).isNotNull()).select(col(column).cast("string").alias("value")).distinct()
-    return distinct.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("id"))
+    return positions(distinct, "value", name="id").withColumn("id", (F.col("id") - 1).cast("int"))
 
 
 def apply_labels(df: DataFrame, column: str, labels: DataFrame, output: str, on_unseen: str = "next_id") -> DataFrame:

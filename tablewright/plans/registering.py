@@ -115,7 +115,7 @@ summary AS (SELECT m.*,
   (SELECT count(*) FROM parameters x WHERE x.model_id = m.id) AS hyperparameters_count
   FROM models m)"""
 BOARD = f"""{SUMMARY}, board AS (SELECT model_type, algorithm, model_name, version, primary_metric, created_at, status,
-  CAST(rank() OVER (PARTITION BY model_type ORDER BY primary_metric DESC NULLS LAST) AS INT) AS rank
+  rank() OVER (PARTITION BY model_type ORDER BY primary_metric DESC NULLS LAST) AS rank
   FROM summary WHERE status = 'active' AND primary_metric IS NOT NULL)"""
 
 

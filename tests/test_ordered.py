@@ -22,7 +22,7 @@ def skewed(spark):
     random.seed(7)
     rows = []
     for i in range(3000):
-        group = "hot" if i % 3 else f"g{i % 40}"
+        group = "hot" if i % 3 else (None if i % 27 == 0 else f"g{i % 40}")
         order = 5.0 if i % 3 == 1 else (None if i % 101 == 0 else float(random.randint(0, 60)))
         value = None if random.random() < 0.35 else round(random.random() * 100, 2)
         rows.append((i, group, order, value))
@@ -96,6 +96,7 @@ def test_interpolation_matches_pandas(spark, skewed, chunks):
     got = {r["id"]: r["v"] for r in C.interpolate(skewed, "g", "o", "id", ["v"], chunks).collect()}
     pdf = skewed.toPandas().sort_values(["g", "o", "id"], na_position="last")
     want = pdf.groupby("g")["v"].transform(lambda x: x.interpolate(method="linear"))
+    want = want.where(pdf["g"].notna(), pdf["v"])  # rows without a group keep what they have
     for i, w in zip(pdf["id"], want, strict=True):
         assert (got[i] is None and math.isnan(w)) or got[i] == pytest.approx(w, abs=1e-9)
 
@@ -163,7 +164,7 @@ def test_splits_are_exact(spark, skewed):
     assert all(r["t"] == math.ceil(r["n"] * 0.25) for r in got.collect())
     assert S.stratified_split(skewed, "id", None, 0.2).filter("not is_train").count() == math.ceil(n * 0.2)
     folds = S.stratified_folds(skewed, "id", "g", 5).groupBy("g", "fold").count().toPandas()
-    spread = folds.groupby("g")["count"].agg(["min", "max"])
+    spread = folds.groupby("g", dropna=False)["count"].agg(["min", "max"])
     assert (spread["max"] - spread["min"]).max() <= 1
     contiguous = S.contiguous_folds(skewed.filter("o is not null"), "o", "id", 4).toPandas().sort_values(["o", "id"])
     want = [4 * i // len(contiguous) for i in range(len(contiguous))]
@@ -173,7 +174,7 @@ def test_splits_are_exact(spark, skewed):
 def test_medians_match_pandas(spark, skewed):
     pdf = skewed.toPandas()
     got = {r["id"]: r["v"] for r in C.impute_group_median(skewed, "g", ["v"]).collect()}
-    filled = pdf.groupby("g")["v"].transform(lambda x: x.fillna(x.median()))
+    filled = pdf.groupby("g")["v"].transform(lambda x: x.fillna(x.median())).where(pdf["g"].notna(), pdf["v"])
     filled = filled.fillna(filled.median())
     assert all(got[i] == pytest.approx(w) for i, w in zip(pdf["id"], filled, strict=True))
     assert isinstance(pdf, pd.DataFrame)
