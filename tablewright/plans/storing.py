@@ -85,7 +85,7 @@ def create_then_fill(spark, folder):
     return S.read_table(spark, name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("model_store", "S10", "SELECT l_returnflag, count(*) AS n, 0.0 AS largest_difference FROM lineitem GROUP BY l_returnflag")
+@query("model_store", "S10", "SELECT l_returnflag, count(*) AS n, CAST(0 AS DOUBLE) AS largest_difference FROM lineitem GROUP BY l_returnflag")
 def model_store(spark, folder):
     from pyspark.ml.regression import LinearRegressionModel
 
