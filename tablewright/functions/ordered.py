@@ -219,15 +219,19 @@ def order_numbers(df: DataFrame, order: str, tie: str | None, descending: bool =
     return key, None if tie is None else sort_number(col(tie), df.schema[tie].dataType)
 
 
-def by_piece(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+def with_piece(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Add the group hash. It is never null, so rows without a group are kept; equal hashes are told
+    apart by the group itself."""
+    return rows.withColumn("_piece", F.xxhash64(*[col(g) for g in group]) if group else F.lit(0).cast("bigint"))
+
+
+def by_piece(rows: DataFrame) -> DataFrame:
     """Shuffle chunked rows once, by (group hash, chunk).
 
-    Everything after it, the local windows, the per-piece summary and the join that brings carried
-    values back, is satisfied by this partitioning, so the rows are not shuffled again. The hash
-    is never null, so rows without a group are kept; equal hashes are told apart by the group itself.
+    The local windows and the join that brings carried values back are satisfied by this
+    partitioning, so the rows are not shuffled again.
     """
-    key = F.xxhash64(*[col(g) for g in group]) if group else F.lit(0).cast("bigint")
-    return rows.withColumn("_piece", key).repartition("_piece", "_chunk")
+    return rows.repartition("_piece", "_chunk")
 
 
 def piece_window(group: Sequence[str]):
@@ -272,8 +276,9 @@ def positions(
 
     key, tie_key = order_numbers(df, order, tie, descending)
     plan = plan_chunks(df, key, tie_key, chunks)
-    rows = by_piece(with_chunk(df, key, tie_key, plan), group)
-    sizes = rows.groupBy("_piece", "_chunk", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    chunked = with_piece(with_chunk(df, key, tie_key, plan), group)
+    # Counted before the shuffle: one small row per task, group and chunk.
+    sizes = chunked.groupBy("_piece", "_chunk", *keys).agg(F.count(F.lit(1)).alias("_rows"))
     if by_rank and plan.heavy and tie_key is not None:
         # Sub-chunks of one heavy value share the offset of the first of them.
         sizes = sizes.withColumn("_block", F.floor(F.col("_chunk") / (MAX_CHUNKS * 4)))
@@ -281,7 +286,7 @@ def positions(
         sizes = sizes.withColumn("_block", F.col("_chunk"))
     before = Window.partitionBy("_piece", *keys).orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_piece", "_chunk", *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    ranked = rows.withColumn("_local", local.over(piece_window(group).orderBy(*sort)))
+    ranked = by_piece(chunked).withColumn("_local", local.over(piece_window(group).orderBy(*sort)))
     if by_rank and plan.heavy:
         ranked = ranked.withColumn("_local", F.when(key.isin(list(plan.heavy)), F.lit(1)).otherwise(F.col("_local")))
     placed = (F.col("_local") + F.col("_offset")).cast("bigint").alias(name)
@@ -338,14 +343,14 @@ def running_totals(
 
     key, _ = order_numbers(df, order, None, descending)
     plan = plan_chunks(df, key, None, chunks)
-    rows = by_piece(with_chunk(df, key, None, plan), group)
-    totals = rows.groupBy("_piece", "_chunk", *keys).agg(*[F.sum(col(src)).alias(f"_t_{out}") for out, src in sums.items()])
+    chunked = with_piece(with_chunk(df, key, None, plan), group)
+    totals = chunked.groupBy("_piece", "_chunk", *keys).agg(*[F.sum(col(src)).alias(f"_t_{out}") for out, src in sums.items()])
     before = Window.partitionBy("_piece", *keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         "_piece", "_chunk", *keys, *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_c_{out}") for out in sums]
     )
     local = piece_window(group).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
-    summed = rows.select("*", *[F.sum(col(src)).over(local).alias(f"_l_{out}") for out, src in sums.items()])
+    summed = by_piece(chunked).select("*", *[F.sum(col(src)).over(local).alias(f"_l_{out}") for out, src in sums.items()])
     return join_pieces(summed, carried, group).select(
         *[col(c) for c in df.columns], *[(F.col(f"_l_{out}") + F.col(f"_c_{out}")).alias(out) for out in sums]
     )

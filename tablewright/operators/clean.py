@@ -17,6 +17,7 @@ from tablewright.functions.ordered import (
     piece_window,
     plan_chunks,
     with_chunk,
+    with_piece,
 )
 from tablewright.functions.scalar import attach_scalars, col, unpivot
 from tablewright.operators.project import drop_null_rows, require_columns
@@ -128,7 +129,7 @@ def interpolate(
         return _interpolate_whole(df, group, order, tie, columns)
     key, tie_key = order_numbers(df, order, tie)
     plan = plan_chunks(df, key, tie_key, chunks)
-    rows = by_piece(with_chunk(df, key, tie_key, plan), [group])
+    rows = by_piece(with_piece(with_chunk(df, key, tie_key, plan), [group]))
     sort = [col(order).asc_nulls_last(), col(tie)]
     chunk = piece_window([group]).orderBy(*sort)
     rows = rows.withColumn("_pos", F.row_number().over(chunk).cast("bigint"))

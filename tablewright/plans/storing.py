@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,16 +13,13 @@ from tablewright.operators.compare import collect_metrics
 from tablewright.operators.project import WEATHER_COLUMNS, rename
 from tablewright.plans.registry import query
 from tablewright.plans.tables import GAPPY, gappy_events, table, trades
-from tablewright.session import CHECKPOINT_CONF
+from tablewright.session import shared_folder
 from tablewright.sources import tables as S
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared folder; a local one only where none is named."""
-    shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
-    if shared:
-        return f"{shared.rstrip('/')}/tablewright-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="tablewright-", dir=os.environ.get("TMPDIR", "/tmp"))
+    """A fresh folder below the cluster's shared folder."""
+    return f"{shared_folder(spark)}/tablewright-{uuid.uuid4().hex}"
 
 
 @query("csv_round_trip", "S1 S8", f"WITH {GAPPY} SELECT event_id, user_id, event_type, value, level FROM gappy")

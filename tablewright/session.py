@@ -36,16 +36,20 @@ def build_session(app: str = "tablewright", master: str | None = None, cpus: int
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; a local one only where none is named and the
+    master is local."""
+    shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
+    return tempfile.mkdtemp(prefix="tablewright-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tablewright-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
-    context.setCheckpointDir(shared)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 @contextmanager
