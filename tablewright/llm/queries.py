@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe
+from tablewright.llm import bpe, token_counts
 from tablewright.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,12 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    counted = token_counts.count_tokens(docs, path)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
