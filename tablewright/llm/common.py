@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -79,7 +80,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str | None, limit: int = PIE
             yield batch
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
         start, seen = 0, 0
         for i, n in enumerate(sizes):
             if seen and seen + n > limit:
@@ -106,15 +107,20 @@ def map_columns(
     text: str,
     added: list[tuple[str, T.DataType]],
     make: Callable[[list[str | None]], dict[str, pa.Array]],
+    keep_text: bool = True,
 ) -> DataFrame:
     """Add columns computed from one text column, a bounded piece of an Arrow batch at a time."""
     ship(df.sparkSession)
+    schema = with_fields(df.schema, added)
+    if not keep_text:
+        schema = T.StructType([f for f in schema.fields if f.name != text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
-            yield with_columns(piece, make(piece.column(piece.schema.get_field_index(text)).to_pylist()))
+            out = with_columns(piece, make(piece.column(piece.schema.get_field_index(text)).to_pylist()))
+            yield out if keep_text else out.drop_columns([text])
 
-    return df.mapInArrow(run, with_fields(df.schema, added))
+    return df.mapInArrow(run, schema)
 
 
 class Generations:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, token_counts
-from tablewright.llm.common import table
+from tablewright.llm import bpe, quality, token_counts
+from tablewright.llm.common import stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -46,3 +46,11 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
     counted = token_counts.count_tokens(docs, path)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    measured = stored(quality.features(docs, keep_text=False))
+    columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality_posterior"
+    return quality.judged(measured, quality.fit(measured)).select(*columns.split())
