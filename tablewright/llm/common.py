@@ -47,22 +47,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def stored(df: DataFrame, by: str | None = None) -> DataFrame:
+def new_folder(spark: SparkSession) -> str:
+    """A fresh place in the cluster's shared folder; it goes when the application's file systems close."""
+    path = f"{shared_folder(spark)}/tablewright-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{path}/data"
+
+
+def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the cluster's shared folder and read it back.
 
-    Cuts the lineage: later passes re-read stored rows, and a lost executor costs a re-read. The files
-    go when the application's file systems close.
+    Cuts the lineage: later passes re-read stored rows, and a lost executor costs a re-read.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tablewright-{uuid.uuid4().hex}"
-    writer = df.write
-    if by is not None:
-        writer = writer.partitionBy(by)
-    writer.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def model(kind: str, key: bytes, build: Callable[[], Any]) -> Any:

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, quality, token_counts
-from tablewright.llm.common import stored, table
+from tablewright.llm import bpe, quality, token_counts, token_files
+from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -54,3 +54,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     measured = stored(quality.features(docs, keep_text=False))
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept quality_posterior"
     return quality.judged(measured, quality.fit(measured)).select(*columns.split())
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = new_folder(spark)
+    token_files.write_files(table(spark, folder, "documents"), files, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_digests(spark, files)
