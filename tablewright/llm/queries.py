@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, quality, token_counts, token_files
+from tablewright.llm import bpe, decontaminate, quality, token_counts, token_files
 from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = new_folder(spark)
     token_files.write_files(table(spark, folder, "documents"), files, public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_digests(spark, files)
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
