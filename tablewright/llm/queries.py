@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, decontaminate, quality, token_counts, token_files
+from tablewright.llm import bpe, decontaminate, jaccard, quality, token_counts, token_files
 from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,28 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op3_jaccard_join",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM common WHERE 100 * k >= 75 * (n + m - k)),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce((SELECT min(v) FROM reach WHERE u = s.doc_id), s.doc_id)) AS component_id
+FROM sets s
+""",
+)
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents"))
