@@ -10,12 +10,14 @@ stored as one union, a query document is bounded against the union, and only gro
 2. Groups: documents that share a leading token are compared with the smallest of them; those that truly
    link, and equal sets, are one group (connected components).
 3. Matrix: one row per leading token and group, with the largest overlap that the token still allows to any
-   member. A query meets a group of at least its own group's size; members are opened where the bound holds
-   and then compared exactly. Groups that turn out linked are merged.
+   member. A query meets a group of higher rank (size, then id); the leading tokens that it shares with the
+   group's union bound its overlap with every member. Groups that pass are opened, their members bounded in
+   the same way one by one, and what is left compared exactly. Groups that turn out linked are merged.
 
 Exactness: the order only steers the work. A pair that links has a first common token; there, with n and m
-tokens from that place on, min(n, m) must reach the overlap that the threshold asks of their sizes, and this
-is the only pruning rule beside the sizes themselves. Sets are compared by 64-bit hashes.
+tokens from that place on, min(n, m) must reach the overlap that the threshold asks of their sizes; beside
+this, the sizes and the count of shared leading tokens (see ``enough``) prune. Sets are compared by 64-bit
+hashes.
 
 Skew: equal sets are reduced before the shuffle. Tokens outside the ``HOT`` list hold at most about two
 millionths of all tokens each. The list's own tokens, whose documents can be a large part of the corpus,
@@ -229,22 +231,42 @@ def may_link(n, left, m, right):
     return sizes & ((WHOLE + PART) * F.least(left, right) >= PART * (n + m))
 
 
+def enough(common, n, m, most):
+    """Can sets of n and m tokens link (other sets of up to ``most``) that share ``common`` leading tokens?
+
+    Take the set whose leading tokens end first in the common order: all it shares up to there is counted, so
+    it can share ceil(0.75 n) - 1 more at most, the tokens behind its leading ones.
+    """
+    behind = F.ceil(PART * F.greatest(n, most) / WHOLE) - 1
+    return (WHOLE + PART) * (common + behind) >= PART * (n + m)
+
+
 def shared_tokens(leading: DataFrame) -> DataFrame:
     """(token, doc, n, left, lead, lead_n, lead_left): leading tokens that two documents have, beside the
     smallest of those documents. ``left``: the document's tokens from this one on, it included."""
     from_cold = leading.select("doc", "n", F.posexplode("cold").alias("at", "token"))
     from_hot = leading.select("doc", "n", F.size("cold").alias("cold"), F.posexplode("hot").alias("at", "token"))
-    first = F.struct("doc", "n", "left")
-    cold = from_cold.select("token", "doc", "n", (F.col("n") - F.col("at")).alias("left"))
+    # Size and place travel in one number: most of the shuffle is these rows.
+    packed = F.shiftleft("n", 32)
+    first = F.struct("doc", "packed")
+    cold = from_cold.select("token", "doc", packed.bitwiseOR(F.col("at")).alias("packed"))
     same = Window.partitionBy("token")
     cold = cold.select("*", F.min(first).over(same).alias("least"), F.max("doc").over(same).alias("last"))
-    hot = from_hot.select("token", "doc", "n", (F.col("n") - F.col("cold") - F.col("at")).alias("left"))
+    hot = from_hot.select("token", "doc", packed.bitwiseOR(F.col("cold") + F.col("at")).alias("packed"))
     # At most HOT rows, which is what the list holds.
     ends = hot.groupBy("token").agg(F.min(first).alias("least"), F.max("doc").alias("last"))
     hot = hot.join(F.broadcast(ends), "token").select(*cold.columns)
     both = cold.filter("least.doc < last").unionAll(hot.filter("least.doc < last"))
+    n, lead_n = F.shiftright("packed", 32), F.shiftright("least.packed", 32)
+    at, lead_at = (F.col(c).bitwiseAND(F.lit((1 << 32) - 1)) for c in ("packed", "least.packed"))
     return both.select(
-        "token", "doc", "n", "left", F.col("least.doc").alias("lead"), F.col("least.n").alias("lead_n"), F.col("least.left").alias("lead_left")
+        "token",
+        "doc",
+        n.alias("n"),
+        (n - at).alias("left"),
+        F.col("least.doc").alias("lead"),
+        lead_n.alias("lead_n"),
+        (lead_n - lead_at).alias("lead_left"),
     )
 
 
@@ -325,12 +347,19 @@ def between_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
         & (WHOLE * F.col("q.n") >= PART * F.col("g.least_n"))
         & ((WHOLE + PART) * F.least(F.col("q.left"), F.col("g.most_left")) >= PART * (F.col("q.n") + F.col("g.least_n")))
     )
-    passed = queries.join(unions, bound).select(
-        "q.token", "q.doc", "q.n", "q.left", F.col("g.group").alias("group")
-    )
-    members = rows.select("token", "group", F.col("doc").alias("member"), F.col("n").alias("m"), F.col("left").alias("right"))
-    opened = passed.join(members, ["token", "group"]).filter(may_link(F.col("n"), F.col("left"), F.col("m"), F.col("right")))
-    return opened.select(F.col("member").alias("u"), F.col("doc").alias("v"))
+    met = queries.join(unions, bound).select("q.doc", F.col("g.group").alias("target")).distinct()
+    # The bound of the union: a member's common leading tokens are among those that the query shares with it.
+    asked = stored(rows.select("token", "doc", "n").join(met, "doc"))
+    unions = matrix.withColumnRenamed("group", "target")
+    shares = asked.join(unions, ["token", "target"]).groupBy("doc", "n", "target")
+    shares = shares.agg(F.count(F.lit(1)).alias("common"), F.min("least_n").alias("m"), F.max("most_n").alias("most"))
+    passed = shares.filter(enough(F.col("common"), F.col("n"), F.col("m"), F.col("most"))).select("doc", "target")
+    opened = asked.join(passed, ["doc", "target"])
+    members = rows.select("token", F.col("group").alias("target"), F.col("doc").alias("member"), F.col("n").alias("m"))
+    pairs = opened.join(members, ["token", "target"]).groupBy("doc", "n", "member", "m").agg(F.count(F.lit(1)).alias("common"))
+    sizes_fit = WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m")
+    pairs = pairs.filter(sizes_fit & enough(F.col("common"), F.col("n"), F.col("m"), F.col("m")))
+    return pairs.select(F.col("member").alias("u"), F.col("doc").alias("v"))
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -344,10 +373,14 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     equal = stored(known.join(repeated, ["set_hi", "set_lo"]).select(F.col("doc").alias("u"), "v").filter("u <> v"))
     shared = stored(shared_tokens(known.select("doc", "n", "cold", "hot")))
     stars = shared.filter("doc <> lead").filter(may_link(F.col("n"), F.col("left"), F.col("lead_n"), F.col("lead_left")))
-    first = linked(docs, key, text, stars.select(F.col("lead").alias("u"), F.col("doc").alias("v")))
+    stars = stored(stars.select(F.col("lead").alias("u"), F.col("doc").alias("v")).distinct())
+    first = linked(docs, key, text, stars)
     links = equal.unionAll(first)
     groups = stored(components(links))
-    second = linked(docs, key, text, between_groups(shared, groups))
+    met = between_groups(shared, groups)
+    for a, b in (("u", "v"), ("v", "u")):  # what was compared before
+        met = met.join(stars.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
+    second = linked(docs, key, text, met)
     found = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(second)) if not second.isEmpty() else groups
     placed = leading.select("doc", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc"), "doc", "left")
     return placed.select(F.col("doc").alias(key), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
