@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,19 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tablewright.llm.common import Generations, map_columns, model, pieces, ship, with_columns, with_fields
+from tablewright.llm.words import Words, WordTable
 
 SHORT = 48
+# Entries of a worker's table of encoded stretches.
+UNITS = 1_000_000
 NONE = np.int32(2**31 - 1)
 # Unicode's White_Space, which is what \s means in the library's patterns.
 SPACE = "\t-\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-# Separators that Python's split() takes for white space and the library does not.
-ODD_SPACE = regex.compile("[\x1c-\x1f]")
-BREAKS = regex.compile(f"[^{SPACE}]+")
 
 # Letters and numbers follow the pattern module's Unicode version; code points that only a newer or older
 # version assigns may fall into another class than in the library.
 WORDS = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|\\p{{L}}+|\\p{{N}}|[^{SPACE}\\p{{L}}\\p{{N}}]+")
 
+ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 bytes stand for themselves, the others
@@ -77,7 +80,8 @@ class RankArrays:
         self.tokens = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
         found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.split_special = regex.compile(f"({found})") if found else None
-        self.cache = Generations()
+        # Stretches between ASCII white space, and the words inside them.
+        self.units, self.word_cache = WordTable(UNITS), Generations()
 
     # ------------------------------------------------------------------ words
 
@@ -154,28 +158,31 @@ class RankArrays:
                 offer(before[i])
         return np.array([p for p in parts if p >= 0], "<i4").tobytes()
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
-        by_length: dict[int, list[tuple[str, bytes]]] = {}
-        out: dict[str, bytes] = {}
-        for w in words:
-            raw = w.encode()
-            if len(raw) > SHORT:
-                out[w] = self._encode_long(raw)
-            else:
-                by_length.setdefault(len(raw), []).append((w, raw))
-        for length, group in by_length.items():
-            raw = np.frombuffer(b"".join(r for _, r in group), np.uint8).reshape(-1, length)
-            ids, size = self._encode_rows(raw)
+        raw = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        out: list[bytes] = [b""] * len(raw)
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            out[i] = self._encode_long(raw[i])
+        for length in np.unique(sizes[sizes <= SHORT]).tolist():
+            places = np.flatnonzero(sizes == length).tolist()
+            rows = np.frombuffer(b"".join([raw[i] for i in places]), np.uint8).reshape(-1, length)
+            ids, kept = self._encode_rows(rows)
             data, step = ids.astype("<i4").tobytes(), 4 * length
-            for i, ((w, _), n) in enumerate(zip(group, size.tolist(), strict=True)):
-                out[w] = data[i * step : i * step + 4 * n]
+            for i, at, n in zip(places, range(0, step * len(places), step), kept.tolist(), strict=True):
+                out[i] = data[at : at + 4 * n]
         return out
 
     # ------------------------------------------------------------------ texts
 
     def _units(self, unit: str) -> list[str | int]:
         """Words, and ids of special tokens, in a stretch without white space."""
+        if unit.isascii():
+            if unit.isalpha():
+                return [unit.lower()]
+            if "<" not in unit:
+                return ASCII_WORDS.findall(unit.lower())
         out: list[str | int] = []
         for part in self.split_special.split(unit) if self.split_special and "<" in unit else [unit]:
             if part in self.special:
@@ -187,14 +194,18 @@ class RankArrays:
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         words = [self._units(u) for u in units]
-        ids = self.encode_words(list({w for ws in words for w in ws if isinstance(w, str)}))
-        return [b"".join(ids[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in ws) for ws in words]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
-        units = [BREAKS.findall(t) if ODD_SPACE.search(t) else t.split() for t in (x or "" for x in texts)]
-        known = self.cache.fill(set().union(*units), self.encode_units)
-        return [b"".join(map(known.__getitem__, u)) for u in units]
+        wanted = {w for ws in words for w in ws}
+        known = self.word_cache.fill({w for w in wanted if w.__class__ is str}, self.encode_words)
+        for i in wanted.intersection(self.special.values()):
+            known[i] = i.to_bytes(4, "little")
+        get = known.__getitem__
+        return [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in words]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the offset at which each text begins (and the end)."""
+        words = Words(texts)
+        ids, sizes = self.units.lookup(words, self.encode_units)
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[words.places]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Token texts joined by one space, which is what the library does for a file without decoder."""
@@ -214,10 +225,8 @@ def _without_nulls(lists: pa.ListArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(kept[lists.offsets.to_numpy()], pa.int32()), values.drop_null())
 
 
-def id_lists(encoded: list[bytes]) -> pa.ListArray:
-    offsets = np.zeros(len(encoded) + 1, np.int32)
-    np.cumsum([len(e) // 4 for e in encoded], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
+def id_lists(ids: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
 
 
 def vocabulary(df: DataFrame, path: str):
@@ -237,7 +246,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     """Add ``ids`` array<int>: the whole text under the vocabulary file at ``path`` (read on the driver)."""
     sent = vocabulary(df, path)
     return map_columns(
-        df, text, [(ids, T.ArrayType(T.IntegerType()))], lambda texts: {ids: id_lists(encoder(sent.value).encode(texts))}
+        df, text, [(ids, T.ArrayType(T.IntegerType()))], lambda texts: {ids: id_lists(*encoder(sent.value).encode(texts))}
     )
 
 

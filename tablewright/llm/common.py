@@ -19,7 +19,7 @@ from tablewright.session import shared_folder
 # Text handled at a time inside a worker; bounds the Python objects alive, not the results.
 PIECE_BYTES = 1 << 20
 # Entries of one generation of a worker's cache; two generations are alive at most.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 
 _shipped: set[str] = set()
 _models: dict[tuple[str, bytes], Any] = {}
@@ -108,7 +108,7 @@ def map_columns(
     df: DataFrame,
     text: str,
     added: list[tuple[str, T.DataType]],
-    make: Callable[[list[str | None]], dict[str, pa.Array]],
+    make: Callable[[pa.Array], dict[str, pa.Array]],
     keep_text: bool = True,
 ) -> DataFrame:
     """Add columns computed from one text column, a bounded piece of an Arrow batch at a time."""
@@ -119,7 +119,7 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
-            out = with_columns(piece, make(piece.column(piece.schema.get_field_index(text)).to_pylist()))
+            out = with_columns(piece, make(piece.column(piece.schema.get_field_index(text))))
             yield out if keep_text else out.drop_columns([text])
 
     return df.mapInArrow(run, schema)
@@ -138,13 +138,17 @@ class Generations:
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        missing = []
-        for k in keys - young.keys():
-            v = old.get(k)
-            if v is None:
-                missing.append(k)
-            else:
-                young[k] = v
-        if missing:
-            young.update(zip(missing, make(missing), strict=True))
+        missing = keys - young.keys()
+        again = missing & old.keys()
+        young.update(zip(again, map(old.__getitem__, again), strict=True))
+        new = list(missing - again)
+        if new:
+            young.update(zip(new, make(new), strict=True))
         return young
+
+
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Rename columns whose names an operator needs for itself; the mapping gives the old names back."""
+    taken = set(df.columns) & set(names)
+    renames = {n: f"_aside_{i}_{n}" for i, n in enumerate(sorted(taken))}
+    return df.withColumnsRenamed(renames), {new: old for old, new in renames.items()}

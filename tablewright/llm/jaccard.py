@@ -36,7 +36,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +43,7 @@ from pyspark.sql import types as T
 
 from tablewright.llm.common import model, pieces, ship, stored
 from tablewright.llm.components import components
+from tablewright.llm.words import Words, letters, mixed
 
 WIDTH = 5
 # The threshold as a fraction.
@@ -54,30 +54,7 @@ STRETCH, REPEATS = 4_000_000, 8
 # Documents compared with one common document in one salt, and ids that may be broadcast.
 SALT_ROWS, BROADCAST_IDS = 512, 1_000_000
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
-_rng = np.random.Generator(np.random.PCG64(5))
-LETTERS = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-LETTERS[65:91] = LETTERS[97:123]
-BLANK = np.zeros(256, bool)
-BLANK[[9, 10, 11, 12, 13, 32]] = True
-BASE = np.uint64(0xD6E8FEB86659FD93)
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((BASE, INVERSE)):
-            grown = np.full(1 << (n - 1).bit_length(), base, np.uint64)
-            grown[0] = 1
-            _powers[i] = np.multiply.accumulate(grown)
-    return _powers[0][:n], _powers[1][:n]
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * MIX
-    x = (x ^ (x >> np.uint64(29))) * BASE
-    return x ^ (x >> np.uint64(32))
+LETTERS = letters(5, fold=True)
 
 
 def runs(words: np.ndarray, width: int) -> np.ndarray:
@@ -90,34 +67,17 @@ def runs(words: np.ndarray, width: int) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; letters A-Z count as a-z."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    first, size = int(offsets[0]), int(offsets[-1] - offsets[0])
-    if not size:
-        return [np.zeros(0, np.uint64)] * len(texts)
-    raw = np.frombuffer(texts.buffers()[2], np.uint8)[first : first + size]
-    offsets = offsets - first
-    powers, inverse = _power(size + 1)
-    blank = BLANK[raw]
-    bound = np.zeros(size + 1, bool)
-    bound[offsets] = True
-    start = ~blank
-    start[1:] &= blank[:-1] | bound[1:-1]
-    stop = ~blank
-    stop[:-1] &= blank[1:] | bound[1:-1]
-    starts, stops = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    total = np.zeros(size + 1, np.uint64)
-    np.cumsum(LETTERS[raw] * powers[:-1], out=total[1:])
-    words = mixed((total[stops] - total[starts]) * inverse[starts])
+    found = Words(texts)
+    words = found.hashes(LETTERS)
     all_runs = runs(words, WIDTH)
-    places = np.searchsorted(starts, offsets).tolist()
+    places = found.places.tolist()
     out = []
     for a, b in zip(places, places[1:], strict=False):
         if b - a >= WIDTH:
-            found = np.sort(all_runs[a : b - WIDTH + 1])
-            out.append(found[np.concatenate([[True], found[1:] != found[:-1]])])
+            tokens = np.sort(all_runs[a : b - WIDTH + 1])
+            out.append(tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])])
         else:
-            out.append(runs(words[a:b], b - a) if b > a else np.zeros(0, np.uint64))
+            out.append(runs(words[a:b], b - a) if b > a else words[:0])
     return out
 
 
@@ -270,6 +230,12 @@ def shared_tokens(leading: DataFrame) -> DataFrame:
     )
 
 
+def join_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi- or anti-join with a table of ids: broadcast if a count shows that they are few, else shuffled."""
+    ids = stored(ids)
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
+
+
 def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v), u common to many, whose sets link. The sets are made again from the texts."""
     spark = docs.sparkSession

@@ -94,8 +94,8 @@ def measure(text: str | None) -> tuple[int, ...]:
 def features(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Add the counts named in FEATURES as bigint columns."""
 
-    def make(texts: list[str | None]) -> dict[str, pa.Array]:
-        found = np.array([measure(t) for t in texts], np.int64).reshape(-1, len(FEATURES))
+    def make(texts: pa.Array) -> dict[str, pa.Array]:
+        found = np.array([measure(t) for t in texts.to_pylist()], np.int64).reshape(-1, len(FEATURES))
         return {name: pa.array(found[:, i]) for i, name in enumerate(FEATURES)}
 
     return map_columns(df, text, [(name, T.LongType()) for name in FEATURES], make, keep_text)

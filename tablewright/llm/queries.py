@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, decontaminate, jaccard, quality, token_counts, token_files
+from tablewright.functions.scalar import md5_bits
+from tablewright.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters
 from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +92,99 @@ FROM sets s
 )
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar(table(spark, folder, "documents"))
+
+
+@query("op5_license_scans")
+def op5_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+START = 1_704_067_200  # 2024-01-01, in seconds
+
+
+def fetched() -> Column:
+    """Pages carry no fetch time; theirs is spread over two years by the page's number."""
+    return F.lit(START) + (F.col("page_id") * 7919 % 730) * url_filters.DAY
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated entries made from the pages: hosts listed once or twice, whole domains, and single URLs."""
+    day = url_filters.DAY
+    hosts = pages.select(url_filters.host(F.col("url")).alias("pattern")).filter("pattern is not null").distinct()
+    code = md5_bits(F.col("pattern"))
+    added = F.lit(START) + (F.floor(code / 5) % 300) * day
+    host = hosts.filter(code % 5 == 0).select(
+        F.lit("malware").alias("list"),
+        F.lit("host").alias("kind"),
+        "pattern",
+        F.explode(
+            F.array(
+                F.struct(F.lit("add").alias("action"), added.alias("at")),
+                F.struct(F.when(code % 2 == 0, "remove").alias("action"), (added + 120 * day).alias("at")),
+                F.struct(F.when(code % 3 == 0, "add").alias("action"), (added + 240 * day).alias("at")),
+            )
+        ).alias("e"),
+    )
+    domains = hosts.select(F.regexp_extract("pattern", r"[^.]+(\.[^.]+)?$", 0).alias("pattern")).distinct()
+    late = F.lit(START) + (100 + md5_bits(F.col("pattern")) % 200) * day
+    domain = domains.select(
+        F.lit("adult").alias("list"),
+        F.lit("domain").alias("kind"),
+        "pattern",
+        F.explode(
+            F.array(
+                F.struct(F.lit("add").alias("action"), late.alias("at")),
+                F.struct(F.lit("remove").alias("action"), (late + 90 * day).alias("at")),
+            )
+        ).alias("e"),
+    )
+    single = pages.filter("page_id % 17 = 0").select(
+        F.lit("spam").alias("list"),
+        F.lit("url").alias("kind"),
+        F.regexp_replace("url", "#.*$", "").alias("pattern"),
+        F.struct(F.lit("add").alias("action"), (fetched() - 10 * day).alias("at")).alias("e"),
+    )
+    return host.unionAll(domain).unionAll(single).select("list", "kind", "pattern", "e.action", "e.at")
+
+
+OP6_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, 1704067200 + (page_id * 7919 % 730) * 86400 AS fetched_at,
+         nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)), '') AS host,
+         regexp_replace(url, '#.*$', '') AS bare FROM pages),
+hosts AS (
+  SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 8))::BIGINT AS code FROM captures WHERE host IS NOT NULL),
+domains AS (
+  SELECT DISTINCT regexp_extract(host, '[^.]+(\.[^.]+)?$', 0) AS d FROM hosts),
+late AS (SELECT d, 1704067200 + (100 + ('0x' || substr(md5(d), 1, 8))::BIGINT % 200) * 86400 AS moment FROM domains),
+added AS (SELECT host, code, 1704067200 + ((code // 5) % 300) * 86400 AS moment FROM hosts WHERE code % 5 = 0),
+events AS (
+  SELECT 'malware' AS list, 'host' AS kind, host AS pattern, 'add' AS action, moment FROM added
+  UNION ALL SELECT 'malware', 'host', host, 'remove', moment + 120 * 86400 FROM added WHERE code % 2 = 0
+  UNION ALL SELECT 'malware', 'host', host, 'add', moment + 240 * 86400 FROM added WHERE code % 3 = 0
+  UNION ALL SELECT 'adult', 'domain', d, 'add', moment FROM late
+  UNION ALL SELECT 'adult', 'domain', d, 'remove', moment + 90 * 86400 FROM late
+  UNION ALL SELECT 'spam', 'url', bare, 'add', fetched_at - 10 * 86400 FROM captures WHERE page_id % 17 = 0),
+entries AS (SELECT DISTINCT list, kind, pattern FROM events),
+state AS (
+  SELECT list, kind, pattern, moment, CASE WHEN bool_or(action = 'remove') THEN 'remove' ELSE 'add' END AS action
+  FROM events GROUP BY ALL),
+met AS (
+  SELECT c.page_id, e.list, e.kind, e.pattern, arg_max(s.action, s.moment) AS action
+  FROM captures c JOIN entries e ON c.host IS NOT NULL AND (
+      (e.kind = 'host' AND e.pattern = c.host) OR (e.kind = 'url' AND e.pattern = c.bare)
+      OR (e.kind = 'domain' AND (c.host = e.pattern OR ends_with(c.host, '.' || e.pattern))))
+  JOIN state s ON s.list = e.list AND s.kind = e.kind AND s.pattern = e.pattern AND s.moment <= c.fetched_at
+  GROUP BY ALL),
+found AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, count(*) AS n FROM met WHERE action = 'add' GROUP BY 1)
+SELECT c.page_id, c.url, c.fetched_at, f.n IS NOT NULL AS blocked, coalesce(f.lists, '') AS lists,
+       CAST(coalesce(f.n, 0) AS BIGINT) AS n_entries
+FROM captures c LEFT JOIN found f USING (page_id)
+"""
+
+
+@query("op6_url_filters", OP6_SQL)
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url").withColumn("fetched_at", fetched())
+    return url_filters.judged(pages, list_events(pages), "page_id", "url", "fetched_at")

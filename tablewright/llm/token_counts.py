@@ -44,7 +44,7 @@ class PieceCounter:
         # Line breaks end a pre-token only where no piece holds one.
         self.lines = not any("\n" in n for n in names)
         self.frequent = frequent
-        self.cache = Generations()
+        self.cache = Generations(200_000)
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens. One that begins after a line break carries the break in front; all others have one
@@ -132,5 +132,5 @@ def count_tokens(
     packed = frequent_table(df, content, text, sample_rows, entries)
     sent = df.sparkSession.sparkContext.broadcast((content, packed))
     return map_columns(
-        df, text, [(tokens, T.LongType())], lambda texts: {tokens: pa.array(_counter(*sent.value).counts(texts), pa.int64())}
+        df, text, [(tokens, T.LongType())], lambda texts: {tokens: pa.array(_counter(*sent.value).counts(texts.to_pylist()), pa.int64())}
     )

@@ -157,7 +157,9 @@ def tokenized(df: DataFrame, path: str, key: str, text: str, end_id: int, bounds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
-            ids = [e + end for e in encoder(sent.value).encode(piece.column(piece.schema.get_field_index(text)).to_pylist())]
+            flat, offsets = encoder(sent.value).encode(piece.column(piece.schema.get_field_index(text)))
+            raw, offsets = memoryview(flat.astype("<u4").tobytes()), (offsets * 4).tolist()
+            ids = [bytes(raw[a:b]) + end for a, b in zip(offsets, offsets[1:], strict=False)]
             keys = piece.column(piece.schema.get_field_index(key)).cast(pa.int64())
             values = keys.fill_null(NULL_KEY).to_numpy(zero_copy_only=False)
             left, right = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, values, "right")
