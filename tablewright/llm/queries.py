@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import md5_bits
-from tablewright.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters
+from tablewright.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters, warc
 from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +188,83 @@ FROM captures c LEFT JOIN found f USING (page_id)
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url").withColumn("fetched_at", fetched())
     return url_filters.judged(pages, list_events(pages), "page_id", "url", "fetched_at")
+
+
+def archive_records(pages: DataFrame) -> DataFrame:
+    """Every page as a full response, and a 304 revisit for every second page: most of them later with the
+    same ETag or date, some before any response, some with another ETag, some without validators."""
+    n = F.col("page_id")
+    at = F.lit(START) + n * 37 % 1000 * 3600
+    etag = F.concat(F.lit('"'), F.substring(F.md5("html"), 1, 8), F.lit('"'))
+    modified = F.concat(F.lit("day "), (n % 365).cast("string"))
+    digest = F.md5("html")
+    text = F.lit(None).cast("string")
+    responses = pages.select(
+        (n * 2).alias("record_id"),
+        F.lit("response").alias("type"),
+        "url",
+        at.alias("at"),
+        etag.alias("etag"),
+        modified.alias("last_modified"),
+        F.create_map(
+            F.lit("Content-Type"), F.lit("text/html"), F.lit("ETag"), etag, F.lit("Date"), at.cast("string"), F.lit("X-Served"), n.cast("string")
+        ).alias("headers"),
+        digest.alias("payload_digest"),
+    )
+    later = at + F.when(n % 10 == 0, -7200).otherwise(F.lit(1800) + n % 7 * 86400)
+    revisits = pages.filter("page_id % 2 = 0").select(
+        (n * 2 + 1).alias("record_id"),
+        F.lit("revisit").alias("type"),
+        "url",
+        later.alias("at"),
+        F.when(n % 12 == 0, '"other"').when(n % 3 == 1, F.concat(F.lit("W/"), etag)).alias("etag"),
+        F.when(n % 3 == 2, modified).alias("last_modified"),
+        F.create_map(
+            F.lit("date"), later.cast("string"), F.lit("Expires"), F.lit("0"), F.lit("Content-Length"), F.lit("0")
+        ).alias("headers"),
+        text.alias("payload_digest"),
+    )
+    return responses.unionAll(revisits)
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id AS n, url, md5(html) AS digest, '"' || substr(md5(html), 1, 8) || '"' AS etag,
+         1704067200 + page_id * 37 % 1000 * 3600 AS moment, 'day ' || (page_id % 365) AS modified,
+         regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
+q AS (
+  SELECT *, lower(regexp_extract(bare, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+         lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)) AS host,
+         regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1) AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda a: a <> '')), '&') AS args
+  FROM p),
+c AS (
+  SELECT *, scheme || '://' || regexp_replace(host, CASE WHEN scheme = 'https' THEN ':443$' ELSE ':80$' END, '')
+         || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN coalesce(args, '') = '' THEN '' ELSE '?' || args END AS key
+  FROM q),
+v AS (
+  SELECT n, key, url, moment + CASE WHEN n % 10 = 0 THEN -7200 ELSE 1800 + n % 7 * 86400 END AS moment,
+         CASE WHEN n % 12 = 0 THEN '"other"' WHEN n % 3 = 1 THEN 'W/' || etag END AS etag,
+         CASE WHEN n % 3 = 2 THEN modified END AS modified
+  FROM c WHERE n % 2 = 0),
+best AS (
+  SELECT v.n, max((c.moment, c.n)) AS b FROM v JOIN c ON c.key = v.key AND c.moment < v.moment GROUP BY 1),
+j AS (
+  SELECT v.n, v.url, v.moment, v.etag AS ve, v.modified AS vm, r.n AS rn, r.etag AS re, r.modified AS rm, r.digest, r.moment AS rt
+  FROM v LEFT JOIN best ON best.n = v.n LEFT JOIN c r ON r.n = best.b[2]),
+s AS (
+  SELECT *, CASE WHEN rn IS NULL THEN 'no_response'
+    WHEN CASE WHEN ve IS NOT NULL THEN regexp_replace(ve, '^W/', '') = re WHEN vm IS NOT NULL THEN vm = rm ELSE true END
+    THEN 'resolved' ELSE 'changed' END AS state FROM j)
+SELECT n * 2 + 1 AS record_id, url, moment AS "at", state, rn * 2 AS response_id,
+       CASE WHEN state = 'resolved' THEN digest END AS response_digest,
+       CASE WHEN state = 'resolved' THEN 'content-type=text/html;date=' || moment || ';etag=' || re || ';expires=0;x-served=' || rn END AS headers
+FROM s
+"""
+
+
+@query("op7_warc_revisits", OP7_SQL)
+def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    resolved = warc.resolve(stored(archive_records(table(spark, folder, "pages"))))
+    fields = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return resolved.withColumn("headers", F.array_join(fields, ";"))
