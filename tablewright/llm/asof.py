@@ -34,7 +34,7 @@ def latest_before(left: DataFrame, right: DataFrame, by: str, at: str, row: str,
         probs = [i / parts for i in range(1, parts)]
         cuts = sorted({float(c) for c in points.select(F.percentile_approx(F.col(at), probs, 10 * parts + 10_000)).first()[0]})
     placed = points.withColumn("_time", F.col(at).cast("double"))
-    splits = [-math.inf, *cuts, math.inf]
+    splits = [-math.inf, *(cuts or [0.0]), math.inf]
     chunked = Bucketizer(splits=splits, inputCol="_time", outputCol="_chunk").transform(placed).drop("_time")
     inside = Window.partitionBy(by, "_chunk").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     local = chunked.withColumn("_local", F.last("_have", ignorenulls=True).over(inside))
