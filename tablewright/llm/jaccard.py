@@ -19,8 +19,8 @@ tokens from that place on, min(n, m) must reach the overlap that the threshold a
 this, the sizes and the count of shared leading tokens (see ``enough``) prune. Sets are compared by 64-bit
 hashes.
 
-Skew: equal sets are reduced before the shuffle. Tokens outside the ``HOT`` list hold at most about two
-millionths of all tokens each. The list's own tokens, whose documents can be a large part of the corpus,
+Skew: equal sets are reduced before the shuffle. Tokens outside the ``HOT`` list hold at most about a
+millionth of all tokens each. The list's own tokens, whose documents can be a large part of the corpus,
 are aggregated before the shuffle and reach the matrix once per group. Comparisons with one common document
 are dealt out by salt.
 
@@ -48,9 +48,9 @@ from tablewright.llm.words import Words, letters, mixed
 WIDTH = 5
 # The threshold as a fraction.
 PART, WHOLE = 75, 100
-HOT = 65_536
+HOT = 262_144
 # Tokens looked at together for repeats, and the count in such a stretch from which a token is reported.
-STRETCH, REPEATS = 4_000_000, 8
+STRETCH, REPEATS = 8_000_000, 3
 # Documents compared with one common document in one salt, and ids that may be broadcast.
 SALT_ROWS, BROADCAST_IDS = 512, 1_000_000
 
@@ -306,21 +306,28 @@ def between_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
     queries = sized(rows).alias("q")
     unions = sized(matrix).alias("g")
     # Only a group of higher rank is queried, so that a huge group meets few queries and asks none of small ones.
-    bound = (
+    meets = (
         (F.col("q.token") == F.col("g.token"))
         & (F.col("q.rank") < F.col("g.rank"))
         & (WHOLE * F.col("g.most_n") >= PART * F.col("q.n"))
         & (WHOLE * F.col("q.n") >= PART * F.col("g.least_n"))
-        & ((WHOLE + PART) * F.least(F.col("q.left"), F.col("g.most_left")) >= PART * (F.col("q.n") + F.col("g.least_n")))
     )
-    met = queries.join(unions, bound).select("q.doc", F.col("g.group").alias("target")).distinct()
+    # True for a token that can be the first one in common.
+    first = (WHOLE + PART) * F.least(F.col("q.left"), F.col("g.most_left")) >= PART * (F.col("q.n") + F.col("g.least_n"))
     # The bound of the union: a member's common leading tokens are among those that the query shares with it.
-    asked = stored(rows.select("token", "doc", "n").join(met, "doc"))
-    unions = matrix.withColumnRenamed("group", "target")
-    shares = asked.join(unions, ["token", "target"]).groupBy("doc", "n", "target")
-    shares = shares.agg(F.count(F.lit(1)).alias("common"), F.min("least_n").alias("m"), F.max("most_n").alias("most"))
-    passed = shares.filter(enough(F.col("common"), F.col("n"), F.col("m"), F.col("most"))).select("doc", "target")
-    opened = asked.join(passed, ["doc", "target"])
+    shares = (
+        queries.join(unions, meets)
+        .groupBy(F.col("q.doc").alias("doc"), F.col("q.n").alias("n"), F.col("g.group").alias("target"))
+        .agg(
+            F.count(F.lit(1)).alias("common"),
+            F.min("g.least_n").alias("m"),
+            F.max("g.most_n").alias("most"),
+            F.max(first).alias("first"),
+        )
+    )
+    passed = stored(shares.filter(F.col("first") & enough(F.col("common"), F.col("n"), F.col("m"), F.col("most"))).select("doc", "target"))
+    asked = rows.select("token", "doc", "n")
+    opened = asked.join(passed, "doc")
     members = rows.select("token", F.col("group").alias("target"), F.col("doc").alias("member"), F.col("n").alias("m"))
     pairs = opened.join(members, ["token", "target"]).groupBy("doc", "n", "member", "m").agg(F.count(F.lit(1)).alias("common"))
     sizes_fit = WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m")
