@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import md5_bits
-from tablewright.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters, warc
+from tablewright.llm import bpe, chat, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters, warc
 from tablewright.llm.common import new_folder, stored, table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -268,3 +268,99 @@ def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     resolved = warc.resolve(stored(archive_records(table(spark, folder, "pages"))))
     fields = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return resolved.withColumn("headers", F.array_join(fields, ";"))
+
+
+def tool_logs(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and schemas made from the conversations: every assistant turn calls a tool with its
+    own words as arguments and waits for an earlier call; most of the turns after it answer."""
+    turn, conv = F.col("turn"), F.col("conv_id")
+    mix = conv * 31 + turn * 7
+    words = F.filter(F.split("text", "[ \\n]"), lambda w: w != "")
+    made = F.map_from_entries(
+        F.filter(
+            F.array(
+                F.struct(F.lit("query").alias("key"), F.substring("text", 1, 40).alias("value")),
+                F.struct(F.when(mix % 5 != 0, "limit").alias("key"), F.when(mix % 11 == 0, "many").otherwise((mix % 50).cast("string")).alias("value")),
+                F.struct(F.when(mix % 4 == 0, "exact").alias("key"), F.when(mix % 8 == 0, "true").otherwise("false").alias("value")),
+                F.struct(F.when(mix % 13 == 0, "extra").alias("key"), F.size(words).cast("string").alias("value")),
+            ),
+            lambda e: e["key"].isNotNull(),
+        )
+    )
+    calls = turns.filter("role = 'assistant'").select(
+        "conv_id",
+        "turn",
+        F.concat(F.lit("c"), turn.cast("string")).alias("call_id"),
+        F.when(mix % 17 == 0, "unlisted").when(mix % 2 == 0, "search").otherwise("lookup").alias("tool"),
+        made.alias("arguments"),
+        F.when(mix % 3 != 0, F.concat(F.lit("c"), (turn - 2).cast("string"))).alias("after"),
+    )
+    results = turns.filter("role = 'user' and (conv_id + turn) % 7 <> 0").select(
+        "conv_id", (turn + 0).alias("turn"), F.concat(F.lit("c"), (turn - 1).cast("string")).alias("call_id"), F.col("text").alias("content")
+    )
+    spark = turns.sparkSession
+    schemas = spark.createDataFrame(
+        [
+            ("search", "query", "string", True),
+            ("search", "limit", "integer", True),
+            ("search", "exact", "boolean", False),
+            ("lookup", "query", "string", True),
+            ("lookup", "limit", "integer", False),
+            ("lookup", "exact", "boolean", False),
+        ],
+        "tool string, field string, kind string, required boolean",
+    )
+    return calls, results, schemas
+
+
+def _json_sql(text: str) -> str:
+    out = f"replace(replace({text}, '\\', '\\\\'), '\"', '\\\"')"
+    short = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}
+    for code in range(1, 32):
+        out = f"replace({out}, chr({code}), '{short.get(code, f'\\u{code:04x}')}')"
+    return f"'\"' || {out} || '\"'"
+
+
+OP10_SQL = rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, role, text, conv_id * 31 + turn * 7 AS mix, 'c' || turn AS call_id,
+         len(list_filter(regexp_split_to_array(text, '[ \n]'), lambda w: w <> '')) AS n_words
+  FROM conversations),
+every_call AS (
+  SELECT *, CASE WHEN mix % 17 = 0 THEN 'unlisted' WHEN mix % 2 = 0 THEN 'search' ELSE 'lookup' END AS tool,
+         CASE WHEN mix % 3 <> 0 THEN 'c' || (turn - 2) END AS after,
+         row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn) AS nth
+  FROM base WHERE role = 'assistant'),
+calls AS (SELECT * FROM every_call WHERE nth = 1),
+parts AS (
+  SELECT *, left(text, 40) AS q, CASE WHEN mix % 11 = 0 THEN 'many' ELSE CAST(mix % 50 AS VARCHAR) END AS lim,
+         CASE WHEN mix % 8 = 0 THEN 'true' ELSE 'false' END AS ex FROM calls),
+judged AS (
+  SELECT *, '{{' || array_to_string(list_filter([
+      CASE WHEN mix % 4 = 0 THEN '"exact":' || CASE WHEN tool = 'unlisted' THEN '"' || ex || '"' ELSE ex END END,
+      CASE WHEN mix % 13 = 0 THEN '"extra":"' || n_words || '"' END,
+      CASE WHEN mix % 5 <> 0 THEN '"limit":' || CASE WHEN tool = 'unlisted' OR mix % 11 = 0 THEN '"' || lim || '"' ELSE lim END END,
+      '"query":' || {_json_sql("q")}], lambda x: x IS NOT NULL), ',') || '}}' AS arguments,
+    CASE WHEN tool = 'unlisted' THEN 'unknown tool' ELSE array_to_string(list_filter([
+      CASE WHEN tool = 'search' AND mix % 5 = 0 THEN 'missing limit' END,
+      CASE WHEN mix % 5 <> 0 AND mix % 11 = 0 THEN 'type limit' END,
+      CASE WHEN mix % 13 = 0 THEN 'unknown extra' END], lambda x: x IS NOT NULL), ';') END AS problems
+  FROM parts),
+chain(conv_id, call_id, depth) AS (
+  SELECT c.conv_id, c.call_id, 0 FROM calls c LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.call_id = c.after WHERE p.call_id IS NULL
+  UNION ALL SELECT c.conv_id, c.call_id, k.depth + 1 FROM chain k JOIN calls c ON c.conv_id = k.conv_id AND c.after = k.call_id),
+results AS (
+  SELECT conv_id, 'c' || (turn - 1) AS call_id, count(*) AS n, min((turn, text)) AS r
+  FROM base WHERE role = 'user' AND (conv_id + turn) % 7 <> 0 GROUP BY ALL)
+SELECT j.conv_id, j.call_id, j.turn, CAST(k.depth AS BIGINT) AS depth,
+       CASE WHEN r.n IS NULL THEN 'open' WHEN r.r[1] < j.turn THEN 'early' ELSE 'answered' END AS status,
+       CAST(coalesce(r.n, 0) AS BIGINT) AS n_results, j.problems = '' AS valid, j.problems,
+       '{{"arguments":' || arguments || ',"id":"' || j.call_id || '","name":"' || j.tool || '","result":'
+         || coalesce({_json_sql("r.r[2]")}, 'null') || '}}' AS json
+FROM judged j LEFT JOIN chain k USING (conv_id, call_id) LEFT JOIN results r USING (conv_id, call_id)
+"""
+
+
+@query("op10_chat_formatting", OP10_SQL)
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.linked(*tool_logs(table(spark, folder, "conversations")))
