@@ -31,7 +31,7 @@ from tablewright.llm.words import Words, WordTable
 
 SHORT = 48
 # Entries of a worker's table of encoded stretches.
-UNITS = 1_000_000
+UNITS = 1_500_000
 NONE = np.int32(2**31 - 1)
 # Unicode's White_Space, which is what \s means in the library's patterns.
 SPACE = "\t-\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -40,6 +40,7 @@ SPACE = "\t-\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\
 # version assigns may fall into another class than in the library.
 WORDS = regex.compile(f"'s|'t|'re|'ve|'m|'ll|'d|\\p{{L}}+|\\p{{N}}|[^{SPACE}\\p{{L}}\\p{{N}}]+")
 
+PLAIN_MARKS = frozenset(".,;:!?")
 ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -178,11 +179,14 @@ class RankArrays:
 
     def _units(self, unit: str) -> list[str | int]:
         """Words, and ids of special tokens, in a stretch without white space."""
-        if unit.isascii():
-            if unit.isalpha():
-                return [unit.lower()]
-            if "<" not in unit:
-                return ASCII_WORDS.findall(unit.lower())
+        # Shortcuts for plain words, alone or before one ASCII mark; all else takes the patterns.
+        stem, mark = (unit[:-1], unit[-1:]) if unit[-1:] in PLAIN_MARKS else (unit, "")
+        if stem.isalpha() and (stem.isascii() or unicodedata.is_normalized("NFC", stem) and "Σ" not in stem):
+            lower = stem.lower()
+            if lower.isalpha():
+                return [lower, mark] if mark else [lower]
+        if unit.isascii() and "<" not in unit:
+            return ASCII_WORDS.findall(unit.lower())
         out: list[str | int] = []
         for part in self.split_special.split(unit) if self.split_special and "<" in unit else [unit]:
             if part in self.special:

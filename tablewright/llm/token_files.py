@@ -55,7 +55,15 @@ def _frequencies(counts: np.ndarray, bits: int) -> np.ndarray:
 def encode_segment(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """One segment; ``keys`` int64 and ``counts`` of each document, ``ids`` of all of them in order."""
     n = len(ids)
-    symbols, coded, seen = np.unique(ids, return_inverse=True, return_counts=True)
+    if ids.max() < 1 << 22:
+        counted = np.bincount(ids)
+        symbols = np.flatnonzero(counted)
+        seen = counted[symbols]
+        places = np.zeros(len(counted), np.int32)
+        places[symbols] = np.arange(len(symbols))
+        coded = places[ids]
+    else:
+        symbols, coded, seen = np.unique(ids, return_inverse=True, return_counts=True)
     bits = min(SCALE, max(8, int(len(symbols)).bit_length() + 4))
     if len(symbols) >= 1 << (SCALE - 1):
         raise ValueError("too many distinct ids for the scale of the format")
@@ -63,7 +71,7 @@ def encode_segment(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> byt
     first = np.concatenate([[0], np.cumsum(freq)[:-1]])
     blocks = max(1, -(-n // BLOCK))
     steps = -(-n // (blocks * LANES))
-    padded = np.full(blocks * steps * LANES, int(seen.argmax()), np.int64)
+    padded = np.full(blocks * steps * LANES, int(seen.argmax()), np.int32)
     padded[:n] = coded
     # (step, block, lane): all blocks and lanes advance together.
     grid = np.ascontiguousarray(padded.reshape(blocks, steps, LANES).transpose(1, 0, 2))
@@ -152,33 +160,26 @@ def tokenized(df: DataFrame, path: str, key: str, text: str, end_id: int, bounds
     """
     sent = vocabulary(df, path)
     ship(df.sparkSession)
-    end = end_id.to_bytes(4, "little")
     cuts = np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text):
             flat, offsets = encoder(sent.value).encode(piece.column(piece.schema.get_field_index(text)))
-            raw, offsets = memoryview(flat.astype("<u4").tobytes()), (offsets * 4).tolist()
-            ids = [bytes(raw[a:b]) + end for a, b in zip(offsets, offsets[1:], strict=False)]
+            # Ids for the shuffle: 16 bits each where all of the piece fit, which the first byte tells.
+            width = 2 if end_id < 1 << 16 and (not len(flat) or flat.max() < 1 << 16) else 4
+            raw, at = flat.astype(f"<u{width}").tobytes(), (offsets * width).tolist()
+            mark, end = bytes([width]), end_id.to_bytes(width, "little")
+            ids = [mark + raw[a:b] + end for a, b in zip(at, at[1:], strict=False)]
             keys = piece.column(piece.schema.get_field_index(key)).cast(pa.int64())
             values = keys.fill_null(NULL_KEY).to_numpy(zero_copy_only=False)
-            left, right = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, values, "right")
-            spread = np.fromiter((zlib.crc32(i) for i in ids), np.int64, len(ids))
-            narrow = [_narrow(i) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((left + spread % (right - left + 1)).astype(np.int32)), keys, pa.array(narrow, pa.binary())],
-                ["part", "key", "ids"],
-            )
+            part, right = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, values, "right")
+            for i in np.flatnonzero(right > part).tolist():
+                part[i] += zlib.crc32(ids[i]) % (right[i] - part[i] + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), keys, pa.array(ids, pa.binary())], ["part", "key", "ids"])
 
     return df.select(key, text).mapInArrow(run, "part int, key long, ids binary")
 
 
-def _narrow(ids: bytes) -> bytes:
-    """Ids for the shuffle: 16 bits each where all fit, marked by a first byte."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"\x02" + wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else b"\x04" + ids
-
-
 def _wide(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if ids[0] == 2 else "<u4", -1, 1).astype(np.uint32)
 

@@ -70,6 +70,15 @@ class Words:
         np.cumsum(table[self.raw] * powers[:-1], out=total[1:])
         return mixed((total[self.stops] - total[self.starts]) * inverse[self.starts])
 
+    def checks(self) -> np.ndarray:
+        """A second mark of each word: its first eight bytes and its length."""
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.lib.stride_tricks.as_strided(padded, (len(self.raw) + 1, 8), (1, 1))[self.starts]
+        head = np.ascontiguousarray(eight).view("<u8").reshape(-1)
+        sizes = self.stops - self.starts
+        shown = np.where(sizes >= 8, np.uint64(0), (np.uint64(8) - np.minimum(sizes, 8).astype(np.uint64)) * np.uint64(8))
+        return ((head << shown) >> shown) ^ (sizes.astype(np.uint64) * MIX)
+
     def text(self, i: int) -> str:
         return self.raw[self.starts[i] : self.stops[i]].tobytes().decode()
 
@@ -82,14 +91,14 @@ def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
 
 
 class WordTable:
-    """A bounded table from words to runs of numbers; open addressing over pairs of 64-bit hashes.
+    """A bounded table from words to runs of numbers, by open addressing.
 
-    Two independent hashes of 64 bits stand for a word. When ``entries`` is reached the table starts anew.
+    A 64-bit hash, the length and the first eight bytes stand for a word. When ``entries`` is reached the table starts anew.
     """
 
     def __init__(self, entries: int):
         self.entries = entries
-        self.first, self.second = letters(11), letters(12)
+        self.first = letters(11)
         self.clear()
 
     def clear(self) -> None:
@@ -143,7 +152,7 @@ class WordTable:
         32-bit numbers) of a list of words that the table does not hold."""
         if self.n > self.entries:
             self.clear()
-        keys, checks = words.hashes(self.first), words.hashes(self.second)
+        keys, checks = words.hashes(self.first), words.checks()
         found = self._find(keys, checks)
         missing = np.flatnonzero(found < 0)
         if len(missing):
