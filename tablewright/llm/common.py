@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -67,6 +68,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files behind tables that are stored by now.
+
+    Its cleaner acts when the driver's JVM collects the plans that own them, which a driver with free memory
+    may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def model(kind: str, key: bytes, build: Callable[[], Any]) -> Any:
     """One parsed model per worker process, kept between tasks."""
     found = _models.get((kind, key))

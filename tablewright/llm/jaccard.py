@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import model, pieces, ship, stored
+from tablewright.llm.common import model, pieces, release, ship, stored
 from tablewright.llm.components import components
 from tablewright.llm.words import Words, letters, mixed
 
@@ -202,7 +202,7 @@ def enough(common, n, m, most):
 
 
 def shared_tokens(leading: DataFrame) -> DataFrame:
-    """(token, doc, n, left, lead, lead_n, lead_left): leading tokens that two documents have, beside the
+    """(token, doc, n, left, lead, lead_n, lead_left, hot): leading tokens that two documents have, beside the
     smallest of those documents. ``left``: the document's tokens from this one on, it included."""
     from_cold = leading.select("doc", "n", F.posexplode("cold").alias("at", "token"))
     from_hot = leading.select("doc", "n", F.size("cold").alias("cold"), F.posexplode("hot").alias("at", "token"))
@@ -216,7 +216,8 @@ def shared_tokens(leading: DataFrame) -> DataFrame:
     # At most HOT rows, which is what the list holds.
     ends = hot.groupBy("token").agg(F.min(first).alias("least"), F.max("doc").alias("last"))
     hot = hot.join(F.broadcast(ends), "token").select(*cold.columns)
-    both = cold.filter("least.doc < last").unionAll(hot.filter("least.doc < last"))
+    both = cold.filter("least.doc < last").withColumn("hot", F.lit(False))
+    both = both.unionAll(hot.filter("least.doc < last").withColumn("hot", F.lit(True)))
     n, lead_n = F.shiftright("packed", 32), F.shiftright("least.packed", 32)
     at, lead_at = (F.col(c).bitwiseAND(F.lit((1 << 32) - 1)) for c in ("packed", "least.packed"))
     return both.select(
@@ -227,6 +228,7 @@ def shared_tokens(leading: DataFrame) -> DataFrame:
         F.col("least.doc").alias("lead"),
         lead_n.alias("lead_n"),
         (lead_n - lead_at).alias("lead_left"),
+        "hot",
     )
 
 
@@ -291,13 +293,18 @@ def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
 
 def between_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs (u, v) of documents of different groups that may link, by the token-group matrix."""
-    named = shared.select("token", "doc", "n", "left").join(groups.withColumnRenamed("node", "doc"), "doc", "left")
+    named = shared.select("token", "doc", "n", "left", "hot").join(groups.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.withColumn("group", F.coalesce("component", "doc")).drop("component")
+    # Tokens of one group only have done their work.
+    same = Window.partitionBy("token")
+    cold = named.filter("not hot").select("*", F.min("group").over(same).alias("a"), F.max("group").over(same).alias("b"))
+    ends = named.filter("hot").groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b"))
+    common = named.filter("hot").join(F.broadcast(ends.filter("a < b")), "token").select(*cold.columns)
+    rows = stored(cold.filter("a < b").unionAll(common).drop("a", "b", "hot"))
+    release(shared.sparkSession)
     # The matrix: unions of the groups' leading tokens.
-    matrix = named.groupBy("token", "group").agg(F.max("left").alias("most_left"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    several = matrix.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).filter("a < b").select("token")
-    matrix = stored(matrix.join(several, "token", "left_semi"))
-    rows = stored(named.join(several, "token", "left_semi"))
+    matrix = rows.groupBy("token", "group").agg(F.max("left").alias("most_left"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    matrix = stored(matrix)
     sizes = groups.groupBy(F.col("component").alias("group")).agg(F.count(F.lit(1)).alias("size"))
 
     def sized(df: DataFrame) -> DataFrame:
@@ -345,12 +352,15 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     repeated = least.filter("v < last").drop("last")
     equal = stored(known.join(repeated, ["set_hi", "set_lo"]).select(F.col("doc").alias("u"), "v").filter("u <> v"))
     shared = stored(shared_tokens(known.select("doc", "n", "cold", "hot")))
+    release(docs.sparkSession)
     stars = shared.filter("doc <> lead").filter(may_link(F.col("n"), F.col("left"), F.col("lead_n"), F.col("lead_left")))
     stars = stored(stars.select(F.col("lead").alias("u"), F.col("doc").alias("v")).distinct())
     first = linked(docs, key, text, stars)
+    release(docs.sparkSession)
     links = equal.unionAll(first)
     groups = stored(components(links))
     met = between_groups(shared, groups)
+    release(docs.sparkSession)
     for a, b in (("u", "v"), ("v", "u")):  # what was compared before
         met = met.join(stars.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
     second = linked(docs, key, text, met)

@@ -9,8 +9,8 @@ breaks do not matter. Winnowing finds every stretch of GRAM + WINDOW - 1 words t
 template (shorter templates: the whole of it).
 
 Defined cases: a null or empty text has no matches; a template of fewer than GRAM words is refused; every
-separate occurrence gives a row; of overlapping matches the one with the higher coverage stays, and equals stay
-together.
+separate occurrence gives a row; a match that overlaps one of higher coverage and no
+fewer words is left out.
 """
 
 from __future__ import annotations
@@ -109,14 +109,11 @@ def banded(pattern: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
 
 
 def better(matches: list[tuple]) -> list[tuple]:
-    """Leave out matches that overlap one with a higher coverage: a near relative of the license found."""
+    """Leave out matches that overlap one with a higher coverage and as many words: near relatives of it."""
     kept: list[tuple] = []
-    reach: list[tuple[int, int, float]] = []
     for m in sorted(matches, key=lambda m: -m[2] / m[3]):
-        share, start, end = m[2] / m[3], m[4], m[5]
-        if not any(a < end and start < b and share < s for a, b, s in reach):
+        if not any(k[4] < m[5] and m[4] < k[5] and m[2] / m[3] < k[2] / k[3] and m[2] <= k[2] for k in kept):
             kept.append(m)
-            reach.append((start, end, share))
     return sorted(kept, key=lambda m: (m[4], m[1]))
 
 
