@@ -4,13 +4,13 @@ Three building blocks live here.
 
 ``exact_quantiles``  quantiles per column, globally or per group. A mergeable sketch brackets the
                      wanted ranks, then only the rows inside the bracket are counted and ranked.
-``positions``        row_number / rank over a group of any size. The order key is cut into chunks of
-                     about equal row counts; every chunk is ranked locally and shifted by the row
-                     counts of the chunks before it.
+``positions``        row_number / rank over a group of any size. The total order is cut into chunks of
+                     about equal row counts at real values; every chunk is ranked locally and shifted by
+                     the row counts of the chunks before it.
 ``running_totals``   cumulative sums over a group of any size, by the same chunking.
 
 Plans whose estimated input is small (``spark.tablewright.smallPlanBytes``) use one ordinary
-aggregate or window. The result is the same either way.
+aggregate or window, which is the chunked plan with one chunk. The result is the same either way.
 """
 
 from __future__ import annotations
@@ -19,16 +19,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import attach_scalars, col, md5_bits, sort_number
+from tablewright.functions.scalar import attach_scalars, col, md5_bits
+from tablewright.session import durable
 
 SMALL_PLAN_CONF = "spark.tablewright.smallPlanBytes"
 SMALL_PLAN_BYTES = 64 * 1024 * 1024
-CHUNK_BYTES = 128 * 1024 * 1024
-MAX_CHUNKS = 4096
+CHUNK_ROWS = 1_000_000
+# Sampled rows behind each cut.
+SAMPLED = 64
 SKETCH_ACCURACY = 50_000
 # Below this many values a group is ranked whole; above it the sketch margin is tens of ranks wide.
 WHOLE_GROUP_VALUES = 1_000_000
@@ -160,63 +161,77 @@ def _bracketed_quantiles(
 
 @dataclass(frozen=True)
 class Chunks:
-    """Cut points of an order key (and, for values that fill whole chunks, of its tie key)."""
+    """Cut points: a stored one-row table with an array of real (order, tie) values, or None for one chunk."""
 
-    cuts: tuple[float, ...]
-    heavy: tuple[float, ...]
-    tie_cuts: tuple[float, ...]
+    cuts: DataFrame | None
+    count: int
+    descending: bool = False
 
 
-def _cuts(df: DataFrame, key: Column, parts: int) -> list[float]:
-    probs = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(key, probs, max(10_000, 4 * parts)).alias("cuts")).first()["cuts"]
-    return [] if found is None else list(found)
+def _point(order: str, tie: str | None) -> Column:
+    return F.struct(col(order).alias("o"), (F.lit(0) if tie is None else col(tie)).alias("t"))
 
 
-def plan_chunks(df: DataFrame, key: Column, tie: Column | None, parts: int | None = None) -> Chunks:
-    """Two bounded sketches: at most ``MAX_CHUNKS`` cut points reach the driver.
+def _precedes(a: Column, b: Column, descending: bool) -> Column:
+    """Whether a sorts strictly before b: null orders last, then by tie with nulls first."""
+    no = F.lit(False)
+    lead = F.coalesce(a["o"] > b["o"] if descending else a["o"] < b["o"], no) | (a["o"].isNotNull() & b["o"].isNull())
+    later = F.coalesce(a["t"] < b["t"], no) | (a["t"].isNull() & b["t"].isNotNull())
+    return lead | (a["o"].eqNullSafe(b["o"]) & later)
 
-    A value that appears twice among the cut points fills at least a whole chunk by itself. Rows
-    holding such a value are cut again by the tie key, so that no value, however frequent, makes a
-    chunk larger than its share.
+
+def _sorting(order: Column, tie: Column | None, descending: bool) -> list[Column]:
+    lead = order.desc_nulls_last() if descending else order.asc_nulls_last()
+    return [lead] if tie is None else [lead, tie.asc_nulls_first()]
+
+
+def chunk_count(df: DataFrame) -> int:
+    """One for a plan that is small by Catalyst's estimate; otherwise from the counted rows.
+
+    Rows are counted wherever the estimate cannot be trusted: Catalyst does not multiply by a generator.
+    The number of chunks changes the plan and never the result.
     """
-    if parts is None:
-        parts = max(2, min(MAX_CHUNKS, math.ceil(plan_bytes(df) / CHUNK_BYTES)))
-    found = _cuts(df, key, parts)
-    heavy = sorted({a for a, b in zip(found, found[1:], strict=False) if a == b})
-    tie_cuts: list[float] = []
-    if heavy and tie is not None:
-        tie_cuts = sorted(set(_cuts(df.filter(key.isin(heavy)), tie, parts)))
-    return Chunks(tuple(sorted(set(found))), tuple(heavy), tuple(tie_cuts))
-
-
-def _bucket(df: DataFrame, key: Column, cuts: Sequence[float], name: str) -> DataFrame:
-    if not cuts:
-        return df.withColumn(name, F.lit(0.0))
-    splits = [-math.inf, *cuts, math.inf]
-    bucketizer = Bucketizer(splits=splits, inputCol="_key", outputCol=name, handleInvalid="keep")
-    return bucketizer.transform(df.withColumn("_key", F.coalesce(key, F.lit(math.nan)))).drop("_key")
-
-
-def with_chunk(df: DataFrame, key: Column, tie: Column | None, chunks: Chunks, name: str = "_chunk") -> DataFrame:
-    """Add the chunk number; chunk numbers follow the order (key, tie), null keys come last."""
-    keyed = df.withColumn("_order", key).withColumn("_tie", tie if tie is not None else F.lit(0.0))
-    keyed = _bucket(keyed, F.col("_order"), chunks.cuts, "_lead")
-    if not chunks.heavy or tie is None:
-        return keyed.withColumn(name, F.col("_lead").cast("bigint") * 2).drop("_lead", "_order", "_tie")
-    is_heavy = F.col("_order").isin(list(chunks.heavy))
-    keyed = _bucket(keyed, F.when(is_heavy, F.col("_tie")), chunks.tie_cuts, "_sub")
-    lead = F.col("_lead").cast("bigint") * 2 + F.when(is_heavy, 0).otherwise(1)
-    sub = F.when(is_heavy, F.col("_sub").cast("bigint")).otherwise(0)
-    return keyed.withColumn(name, lead * (MAX_CHUNKS * 4) + sub).drop("_lead", "_order", "_tie", "_sub")
-
-
-def order_numbers(df: DataFrame, order: str, tie: str | None, descending: bool = False) -> tuple[Column, Column | None]:
-    """Numeric stand-ins for the order and tie columns, ascending."""
-    key = sort_number(col(order), df.schema[order].dataType)
-    if descending:
-        key = -key
-    return key, None if tie is None else sort_number(col(tie), df.schema[tie].dataType)
+    if is_small(df) and "Generate" not in df._jdf.queryExecution().optimizedPlan().toString():
+        return 1
+    rows = df.count()
+    return max(1 if is_small(df) else 2, math.ceil(rows / CHUNK_ROWS))
+
+
+def plan_chunks(df: DataFrame, order: str, tie: str | None, descending: bool = False, parts: int | None = None) -> Chunks:
+    """Cut the total order (order, tie) into ``parts`` chunks at values met in a sample.
+
+    The cuts are compared as what they are, of any type that sorts, so chunk order is row order: the sample
+    decides how even the chunks are and nothing else. Only a repeated (order, tie) pair cannot be cut.
+    """
+    parts = chunk_count(df) if parts is None else parts
+    if parts <= 1:
+        return Chunks(None, 1, descending)
+    points = df.select(_point(order, tie).alias("p"))
+    rows = points.count()
+    sample = points.sample(min(1.0, 1.2 * SAMPLED * parts / rows), 17) if rows > SAMPLED * parts else points
+    place = F.row_number().over(Window.orderBy(*_sorting(F.col("p.o"), F.col("p.t"), descending)))
+    counted = sample.select("p", place.alias("at"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    share = F.floor((F.col("at") - 1) * parts / F.col("n"))
+    last = F.floor(F.col("at") * parts / F.col("n"))
+    chosen = counted.filter((last > share) & (F.col("at") < F.col("n")))
+    cuts = durable(chosen.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "p"))), lambda x: x["p"]).alias("cuts")))
+    return Chunks(cuts, parts, descending)
+
+
+def with_chunk(df: DataFrame, order: str, tie: str | None, chunks: Chunks, name: str = "_chunk") -> DataFrame:
+    """Add the chunk number, the number of cuts before the row, by binary search."""
+    if chunks.cuts is None:
+        return df.withColumn(name, F.lit(0))
+    keyed = df.withColumn("_cuts", chunks.cuts.scalar()).withColumn("_point", _point(order, tie))
+    cuts, point = F.col("_cuts"), F.col("_point")
+    steps = [1 << i for i in reversed(range(chunks.count.bit_length()))]
+
+    def narrowed(low: Column, step: Column) -> Column:
+        further = (low + step <= F.size(cuts)) & _precedes(F.get(cuts, low + step - 1), point, chunks.descending)
+        return F.when(further, low + step).otherwise(low)
+
+    found = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), narrowed)
+    return keyed.withColumn(name, found).drop("_cuts", "_point")
 
 
 def with_piece(rows: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -264,35 +279,41 @@ def positions(
 ) -> DataFrame:
     """1-based position inside the group. ``method="rank"`` gives equal values the same position.
 
-    Null order values come last. ``chunks`` forces the chunked plan with that many cuts.
+    Null order values come last, null ties first. ``chunks`` forces the number of chunks.
     """
     keys = [col(g) for g in group]
-    lead = col(order).desc_nulls_last() if descending else col(order).asc_nulls_last()
     by_rank = method == "rank"
-    sort = [lead] if by_rank or tie is None else [lead, col(tie)]
-    local = F.rank() if by_rank else F.row_number()
-    if chunks is None and is_small(df):
+    sort = _sorting(col(order), None if by_rank or tie is None else col(tie), descending)
+    parts = chunk_count(df) if chunks is None else chunks
+    if parts == 1:
+        local = F.rank() if by_rank else F.row_number()
         return df.withColumn(name, local.over(Window.partitionBy(*keys).orderBy(*sort)).cast("bigint"))
-
-    key, tie_key = order_numbers(df, order, tie, descending)
-    plan = plan_chunks(df, key, tie_key, chunks)
-    chunked = with_piece(with_chunk(df, key, tie_key, plan), group)
+    if by_rank:
+        return _ranks(df, order, group, descending, name, parts)
+    plan = plan_chunks(df, order, tie, descending, parts)
+    chunked = with_piece(with_chunk(df, order, tie, plan), group)
     # Counted before the shuffle: one small row per task, group and chunk.
     sizes = chunked.groupBy("_piece", "_chunk", *keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if by_rank and plan.heavy and tie_key is not None:
-        # Sub-chunks of one heavy value share the offset of the first of them.
-        sizes = sizes.withColumn("_block", F.floor(F.col("_chunk") / (MAX_CHUNKS * 4)))
-    else:
-        sizes = sizes.withColumn("_block", F.col("_chunk"))
-    before = Window.partitionBy("_piece", *keys).orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_piece", *keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_piece", "_chunk", *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    ranked = by_piece(chunked).withColumn("_local", local.over(piece_window(group).orderBy(*sort)))
-    if by_rank and plan.heavy:
-        ranked = ranked.withColumn("_local", F.when(key.isin(list(plan.heavy)), F.lit(1)).otherwise(F.col("_local")))
+    ranked = by_piece(chunked).withColumn("_local", F.row_number().over(piece_window(group).orderBy(*sort)))
     placed = (F.col("_local") + F.col("_offset")).cast("bigint").alias(name)
     return join_pieces(ranked, offsets, group).select(*[col(c) for c in df.columns], placed)
 
 
+def _ranks(df: DataFrame, order: str, group: Sequence[str], descending: bool, name: str, parts: int) -> DataFrame:
+    """Ranks from counts: equal values are combined before any shuffle, summed up once, and joined back."""
+    named = [col(g).alias(f"_key_{i}") for i, g in enumerate(group)]
+    keys = [f"_key_{i}" for i in range(len(group))]
+    counted = df.groupBy(*named, col(order).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    summed = running_totals(counted, "_value", {"_seen": "_rows"}, keys, descending, parts)
+    starts = summed.select(*keys, "_value", (F.col("_seen") - F.col("_rows") + 1).cast("bigint").alias("_rank"))
+    on = col(order).eqNullSafe(F.col("_value"))
+    for i, g in enumerate(group):
+        on = on & col(g).eqNullSafe(F.col(f"_key_{i}"))
+    return df.join(starts, on, "left").select(*[col(c) for c in df.columns], F.col("_rank").alias(name))
+
+
 def previous_values(
     df: DataFrame,
     order: str,
@@ -308,8 +329,9 @@ def previous_values(
     so the pairing is spread over all keys.
     """
     keys = [col(g) for g in group]
-    if chunks is None and is_small(df):
-        sort = Window.partitionBy(*keys).orderBy(col(order).asc_nulls_last(), col(tie))
+    chunks = chunk_count(df) if chunks is None else chunks
+    if chunks == 1:
+        sort = Window.partitionBy(*keys).orderBy(*_sorting(col(order), col(tie), False))
         return df.select("*", *[F.lag(col(src), steps).over(sort).alias(out) for out, src in columns.items()])
     placed = positions(df, order, tie, group, name="_pos", chunks=chunks)
     earlier = placed.select(
@@ -336,14 +358,14 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive cumulative sums ``{output: input}`` by ``order``, whose values are unique per group."""
     keys = [col(g) for g in group]
-    sort = col(order).desc() if descending else col(order).asc()
-    if chunks is None and is_small(df):
+    sort = _sorting(col(order), None, descending)[0]
+    parts = chunk_count(df) if chunks is None else chunks
+    if parts == 1:
         frame = Window.partitionBy(*keys).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(col(src)).over(frame).alias(out) for out, src in sums.items()])
 
-    key, _ = order_numbers(df, order, None, descending)
-    plan = plan_chunks(df, key, None, chunks)
-    chunked = with_piece(with_chunk(df, key, None, plan), group)
+    plan = plan_chunks(df, order, None, descending, parts)
+    chunked = with_piece(with_chunk(df, order, None, plan), group)
     totals = chunked.groupBy("_piece", "_chunk", *keys).agg(*[F.sum(col(src)).alias(f"_t_{out}") for out, src in sums.items()])
     before = Window.partitionBy("_piece", *keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
@@ -359,62 +381,49 @@ def running_totals(
 # --------------------------------------------------------------------------- thresholds
 
 
-def nth_key(df: DataFrame, order: str, tie: str, n: int) -> tuple | None:
-    """The (order, tie) pair at 1-based position ``n`` of the whole table, or None when n < 1.
+def nth_keys(df: DataFrame, order: str, tie: str, ranks: Sequence[int], chunks: int | None = None) -> list[tuple | None]:
+    """The (order, tie) pairs at 1-based positions of the whole table, null orders last; None off the table.
 
-    Only counts and one narrow bracket are ever ranked, so a split at this key is a plain filter.
+    Rows are counted by chunk; only the chunks that hold a wanted position are ranked.
     """
-    if n < 1:
-        return None
-    pairs = df.select(col(order).alias("_o"), col(tie).alias("_t"))
-    key, tie_key = order_numbers(df, order, tie)
-    keyed = df.select(col(order).alias("_o"), col(tie).alias("_t"), key.alias("_k"), tie_key.alias("_u"))
-    if is_small(df):
-        ranked = pairs.withColumn("_n", F.row_number().over(Window.orderBy("_o", "_t")))
-        row = ranked.filter(F.col("_n") == n).first()
-        return None if row is None else (row["_o"], row["_t"])
-    found = _rank_value(keyed, "_k", n)
-    if found is None:
-        return None
-    value, inside = found
-    same = keyed.filter(F.col("_k") == value)
-    tie_found = _rank_value(same, "_u", inside)
-    row = same.filter(F.col("_u") == tie_found[0]).first()
-    return row["_o"], row["_t"]
-
-
-def _rank_value(df: DataFrame, key: str, n: int) -> tuple[float, int] | None:
-    """Value at 1-based rank ``n`` and the rank among rows equal to it."""
-    total = df.select(F.count(F.col(key)).alias("n")).first()["n"]
-    if n > total:
-        return None
-    low_p = max(0.0, n / total - 2.0 / SKETCH_ACCURACY)
-    high_p = min(1.0, n / total + 2.0 / SKETCH_ACCURACY)
-    if total <= WHOLE_GROUP_VALUES:
-        low, high = -math.inf, math.inf
-    else:
-        low, high = df.agg(F.percentile_approx(key, [low_p, high_p], SKETCH_ACCURACY).alias("e")).first()["e"]
-    counted = (
-        df.filter(F.col(key).isNotNull() & (F.col(key) <= high))
-        .groupBy(F.when(F.col(key) >= low, F.col(key)).alias("v"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    frame = Window.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    hit = (
-        counted.withColumn("seen", F.sum("rows").over(frame))
-        .filter((F.col("seen") >= n) & (F.col("seen") - F.col("rows") < n))
-        .first()
-    )
-    if hit is None or hit["v"] is None:
-        raise ValueError("rank bracket missed its target; raise the sketch accuracy")
-    return hit["v"], n - (hit["seen"] - hit["rows"])
+    plan = plan_chunks(df, order, tie, parts=chunks)
+    chunked = with_chunk(df.select(col(order).alias("_o"), col(tie).alias("_t")), "_o", "_t", plan)
+    sizes = sorted((r["_chunk"], r["count"]) for r in chunked.groupBy("_chunk").count().collect())
+    wanted: list[tuple[int, int, int]] = []
+    for at, rank in enumerate(ranks):
+        seen = 0
+        for chunk, rows in sizes:
+            if seen < rank <= seen + rows:
+                wanted.append((at, chunk, rank - seen))
+            seen += rows
+    found: list[tuple | None] = [None] * len(ranks)
+    if not wanted:
+        return found
+    local = Window.partitionBy("_chunk").orderBy(*_sorting(F.col("_o"), F.col("_t"), False))
+    needed = chunked.filter(F.col("_chunk").isin(sorted({c for _, c, _ in wanted}))).withColumn("_n", F.row_number().over(local))
+    hit = F.lit(False)
+    for _, chunk, rank in wanted:
+        hit = hit | ((F.col("_chunk") == chunk) & (F.col("_n") == rank))
+    rows = {(r["_chunk"], r["_n"]): (r["_o"], r["_t"]) for r in needed.filter(hit).collect()}
+    for at, chunk, rank in wanted:
+        found[at] = rows[chunk, rank]
+    return found
+
+
+def nth_key(df: DataFrame, order: str, tie: str, n: int, chunks: int | None = None) -> tuple | None:
+    """The (order, tie) pair at 1-based position ``n`` of the whole table, or None off the table."""
+    return nth_keys(df, order, tie, [n], chunks)[0]
 
 
 def at_or_before(order: Column, tie: Column, key: tuple | None) -> Column:
-    """True for rows whose (order, tie) does not come after ``key``."""
+    """True for rows whose (order, tie) does not come after ``key``, else false: null orders come last, null
+    ties first."""
     if key is None:
         return F.lit(False)
-    return (order < F.lit(key[0])) | ((order == F.lit(key[0])) & (tie <= F.lit(key[1])))
+    tied = tie.isNull() if key[1] is None else (tie.isNull() | (tie <= F.lit(key[1])))
+    if key[0] is None:
+        return order.isNotNull() | tied
+    return F.coalesce((order < F.lit(key[0])) | ((order == F.lit(key[0])) & tied), F.lit(False))
 
 
 def hash_thresholds(
@@ -428,7 +437,8 @@ def hash_thresholds(
     (hash, key) in the order of ``ranks``; a position below 1 gives a struct of nulls.
     """
     keys = [col(g) for g in group]
-    hashed = df.select(*keys, col(key).alias("_key"), md5_bits(col(key)).alias("_hash"))
+    # Null keys hash to 0 and sort first, so that they fall on one side and no row is lost.
+    hashed = df.select(*keys, col(key).alias("_key"), F.coalesce(md5_bits(col(key)), F.lit(0)).alias("_hash"))
     hashed = hashed.withColumn("_slot", F.shiftright("_hash", 32 - bits))
     slots = hashed.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
     frame = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)

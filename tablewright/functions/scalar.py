@@ -40,26 +40,6 @@ def datetime_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def sort_number(column: Column, dtype: T.DataType) -> Column:
-    """Map an ordered column to a double that never reverses its order; distinct values may tie."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # Built from the fields: a cast through the session's zone can reverse order around clock changes.
-        day = F.unix_date(column.cast("date")).cast("double") * 86400.0
-        within = F.hour(column) * 3600.0 + F.minute(column) * 60.0 + F.extract(F.lit("SECOND"), column).cast("double")
-        return day + within
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return column.cast("double")
-    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        # The first six bytes as one number: equal prefixes tie, which callers allow.
-        prefix = F.substring(F.encode(column, "UTF-8"), 1, 6)
-        return F.conv(F.rpad(F.hex(prefix), 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot order by {dtype.simpleString()} without a numeric key")
-
-
 def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str, cast: str) -> DataFrame:
     """Wide to long with one output type; rows are expanded in place, nothing is shuffled."""
     pairs = F.array(*[F.struct(F.lit(c).alias(name), col(c).cast(cast).alias(value)) for c in columns])

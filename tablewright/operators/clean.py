@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ordered import (
+    chunk_count,
     by_piece,
     exact_quantiles,
-    is_small,
     join_pieces,
-    order_numbers,
     piece_window,
     plan_chunks,
     with_chunk,
@@ -125,12 +124,12 @@ def interpolate(
     known value before it and the first known value after it from a summary with one row per group
     and chunk. A group holding a third of all rows is thereby spread over all chunks.
     """
-    if chunks is None and is_small(df):
+    parts = chunk_count(df) if chunks is None else chunks
+    if parts == 1:
         return _interpolate_whole(df, group, order, tie, columns)
-    key, tie_key = order_numbers(df, order, tie)
-    plan = plan_chunks(df, key, tie_key, chunks)
-    rows = by_piece(with_piece(with_chunk(df, key, tie_key, plan), [group]))
-    sort = [col(order).asc_nulls_last(), col(tie)]
+    plan = plan_chunks(df, order, tie, parts=parts)
+    rows = by_piece(with_piece(with_chunk(df, order, tie, plan), [group]))
+    sort = [col(order).asc_nulls_last(), col(tie).asc_nulls_first()]
     chunk = piece_window([group]).orderBy(*sort)
     rows = rows.withColumn("_pos", F.row_number().over(chunk).cast("bigint"))
     known = _known(columns)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.ordered import at_or_before, hash_thresholds, nth_key, positions
+from tablewright.functions.ordered import at_or_before, hash_thresholds, nth_key, nth_keys, positions
 from tablewright.functions.scalar import col, md5_bits
 
 TWO_POW_32 = 4294967296
@@ -24,7 +24,7 @@ def row_count(df: DataFrame) -> int:
 def chronological_split(df: DataFrame, order: str, tie: str, test_size: float = 0.2, output: str = "is_train") -> DataFrame:
     """The first int(n * (1 - test_size)) rows by (order, tie) are train.
 
-    The boundary row is found from counts; the split itself is then a filter on (order, tie), with
+    Null order values come last, so they are test rows. The boundary row is found from counts; the split itself is then a filter on (order, tie), with
     no shuffle of the data.
     """
     cut = nth_key(df, order, tie, int(row_count(df) * (1 - test_size)))
@@ -42,7 +42,10 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, output: str = "i
 
 
 def _within(hash_: Column, key: Column, cut: Column) -> Column:
-    return F.coalesce((hash_ < cut["hash"]) | ((hash_ == cut["hash"]) & (key <= cut["key"])), F.lit(False))
+    """Null keys hash to 0 and sort first, as in hash_thresholds."""
+    own = F.coalesce(hash_, F.lit(0))
+    same = F.coalesce(key <= cut["key"], key.isNull())
+    return F.coalesce((own < cut["hash"]) | ((own == cut["hash"]) & same), F.lit(False))
 
 
 def stratified_split(
@@ -68,9 +71,9 @@ def contiguous_folds(df: DataFrame, order: str, tie: str, k: int, output: str =
     """fold = floor(k * (rank - 1) / n) by (order, tie): k - 1 boundary rows, then a plain projection."""
     n = row_count(df)
     fold = F.lit(0)
-    for i in range(1, k):
-        # The first rank of fold i is ceil(i * n / k) + 1; all ranks up to the one before are below i.
-        last_before = nth_key(df, order, tie, math.ceil(i * n / k))
+    # The first rank of fold i is ceil(i * n / k) + 1; all ranks up to the one before are below i.
+    borders = nth_keys(df, order, tie, [math.ceil(i * n / k) for i in range(1, k)])
+    for i, last_before in enumerate(borders, 1):
         fold = F.when(~at_or_before(col(order), col(tie), last_before), i).otherwise(fold)
     return df.withColumn(output, fold)
 

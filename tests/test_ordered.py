@@ -2,6 +2,8 @@
 
 import math
 import random
+from datetime import datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -40,14 +42,61 @@ def test_positions(skewed, method, descending, group):
 
 
 def test_no_chunk_is_much_larger_than_its_share(skewed):
-    key, tie = O.order_numbers(skewed, "o", "id")
-    plan = O.plan_chunks(skewed, key, tie, 10)
-    assert plan.heavy
-    sizes = [r["count"] for r in O.with_chunk(skewed, key, tie, plan).groupBy("_chunk").count().collect()]
-    assert sum(sizes) == 3000
+    plan = O.plan_chunks(skewed, "o", "id", parts=10)
+    sizes = [r["count"] for r in O.with_chunk(skewed, "o", "id", plan).groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 10
     assert max(sizes) <= 2.5 * 3000 / 10
 
 
+KINDS = {
+    "text": lambda i: None if i % 41 == 0 else f"order-{i * 37 % 200:04d}",
+    "dates": lambda i: f"2024-{1 + i * 5 % 12:02d}-{1 + i * 7 % 28:02d}",
+    "wide": lambda i: 2**60 + i * 7 % 300,
+    "decimals": lambda i: None if i % 50 == 1 else Decimal(i * 13 % 400) / 8 + Decimal(2) ** 70,
+    "heavy": lambda i: "same" if i % 3 else f"s{i % 9}",
+    "moments": lambda i: datetime(2024, 1, 1) + timedelta(microseconds=i * 31 % 977),
+}
+
+
+@pytest.fixture(scope="module", params=sorted(KINDS))
+def typed(request, spark):
+    kind = {"wide": "bigint", "decimals": "decimal(38,4)", "moments": "timestamp"}.get(request.param, "string")
+    make = KINDS[request.param]
+    rows = [(f"k{i * 7919 % 600:05d}", f"g{i % 4}" if i % 11 else None, make(i), None if i % 3 == 0 else i * 1.5) for i in range(600)]
+    return spark.createDataFrame(rows, f"id string, g string, o {kind}, v double").repartition(3)
+
+
+@pytest.mark.parametrize("method", ["row_number", "rank"])
+def test_positions_of_any_type(typed, method):
+    for down in (False, True):
+        for group in ([], ["g"]):
+            plain = O.positions(typed, "o", "id", group, down, method=method, chunks=1).collect()
+            cut = O.positions(typed, "o", "id", group, down, method=method, chunks=4).collect()
+            assert {r["id"]: r["position"] for r in plain} == {r["id"]: r["position"] for r in cut} and len(cut) == 600
+
+
+def test_other_primitives_of_any_type(typed):
+    ranks = [0, 1, 50, 299, 300, 587, 600, 601]
+    assert O.nth_keys(typed, "o", "id", ranks, 1) == O.nth_keys(typed, "o", "id", ranks, 5)
+    for make in (
+        lambda n: O.previous_values(typed, "o", "id", {"p": "v"}, ["g"], chunks=n),
+        lambda n: C.interpolate(typed, "g", "o", "id", ["v"], chunks=n),
+    ):
+        assert sorted(map(str, make(1).collect())) == sorted(map(str, make(4).collect()))
+
+
+def test_splits_keep_every_row(typed):
+    rows = S.chronological_split(typed, "o", "id", 0.25).groupBy("is_train").count().collect()
+    assert {r["is_train"]: r["count"] for r in rows} == {True: 450, False: 150}
+    folds = S.contiguous_folds(typed, "o", "id", 5).groupBy("fold").count().collect()
+    assert {r["fold"]: r["count"] for r in folds} == dict.fromkeys(range(5), 120)
+    gaps = typed.withColumn("id", F.when(F.col("v").isNotNull(), F.col("id")))
+    for part in (S.stratified_split(gaps, "id", "g"), S.stratified_split(gaps, "id", None)):
+        counted = {r["is_train"]: r["count"] for r in part.groupBy("is_train").count().collect()}
+        assert sum(counted.values()) == 600 and counted[False] >= 120 and None not in counted
+    assert S.stratified_folds(gaps, "id", "g", 3).filter("fold is null").count() == 0
+
+
 def test_running_totals(spark):
     df = spark.range(500).select((F.col("id") * 7 % 500).cast("double").alias("o"), (F.col("id") % 5).alias("n"))
     for down in (False, True):
@@ -148,14 +197,6 @@ def test_ks_chunked(spark):
     assert a["statistic"] == pytest.approx(b["statistic"])
 
 
-def test_string_order_numbers_are_monotone(spark):
-    words = ["", "a", "ab", "abc", "abcdefgh", "abcdefzz", "b", "é", "z", "zz"]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    key, _ = O.order_numbers(df, "w", None)
-    got = [r["k"] for r in df.select("w", key.alias("k")).orderBy("w").collect()]
-    assert got == sorted(got)
-
-
 def test_splits_are_exact(spark, skewed):
     n = skewed.count()
     got = S.stratified_split(skewed, "id", "g", 0.25).groupBy("g").agg(
