@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.ordered import is_small, spread
 from tablewright.functions.scalar import attach_scalars, chi_square_tail, col, correlation, unpivot
 from tablewright.operators.project import require_columns
 from tablewright.session import reused
 
+# Rows of one partition of a learner's input.
+LAYOUT_ROWS = 20_000
+
 # Weight of each selection method, in voting order.
 VOTE_WEIGHTS = {"correlation": 1, "mutual_info": 2, "chi_square": 1, "feature_importance": 2, "rfe": 3}
 
@@ -131,19 +134,27 @@ def training_rows(df: DataFrame, features: Sequence[str], label: str, keep: Sequ
 
 
 def fit_on(learner, rows: DataFrame):
-    """Fit an MLlib learner.
+    """Fit an MLlib learner on rows in a layout that only the data decide.
 
-    A small table is spread over the cores and kept, because learners read their input several times
-    before they start. A large one is left to the learner. The learner is given a projection of the
-    kept table: on an input that is itself marked as kept it would skip storing its blocked form and
-    rebuild that in every iteration.
+    Learners read their input several times before they start, so it is kept. The learner is given a
+    projection of the kept table: on an input that is itself marked as kept it would skip storing its
+    blocked form and rebuild that in every iteration.
     """
-    if not is_small(rows):
-        return learner.fit(rows)
-    with reused(spread(rows)) as kept:
+    with reused(fixed_layout(rows)) as kept:
         return learner.fit(kept.select("*"))
 
 
+def fixed_layout(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by their own hash, into as many partitions as their number asks for, and sorted there.
+
+    MLlib samples by partition and place, so a model depends on the layout of its input: with this one it
+    is the same on any number of cores and for any way the table is stored.
+    """
+    digest = F.xxhash64(*[col(c) for c in rows.columns])
+    parts = max(4, math.ceil(rows.count() / LAYOUT_ROWS))
+    return rows.repartition(parts, digest).sortWithinPartitions(digest)
+
+
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 

@@ -15,9 +15,10 @@ LOG_TWO_PI = 1.8378770664093453
 def fit_gaussian(df: DataFrame, features: Sequence[str], label: str, smoothing: float = 1e-9) -> DataFrame:
     """One row per class: label, log_prior, means, variances (arrays in feature order).
 
-    Every variance gets ``smoothing`` times the largest feature variance of the whole table.
+    Every variance gets ``smoothing`` times the largest feature variance of the whole table. A null
+    feature counts as 0, here and in the scored rows.
     """
-    rows = df.filter(col(label).isNotNull())
+    rows = df.filter(col(label).isNotNull()).na.fill(0, subset=list(features))
     overall = rows.agg(
         F.count(F.lit(1)).alias("n"), F.array_max(F.array(*[F.var_pop(col(c)) for c in features])).alias("v")
     )
@@ -44,7 +45,7 @@ def posteriors(df: DataFrame, params: DataFrame, features: Sequence[str], output
     def likelihood(c):
         total = c["log_prior"]
         for i, name in enumerate(features):
-            gap = col(name) - c["means"][i]
+            gap = F.coalesce(col(name).cast("double"), F.lit(0.0)) - c["means"][i]
             total = total - 0.5 * (LOG_TWO_PI + F.log(c["variances"][i]) + gap * gap / c["variances"][i])
         return F.struct(c["label"].alias("label"), total.alias("ll"))
 

@@ -18,7 +18,7 @@ from tablewright.functions.ordered import (
     with_chunk,
     with_piece,
 )
-from tablewright.functions.scalar import attach_scalars, col, unpivot
+from tablewright.functions.scalar import attach_scalars, col, numeric_columns, unpivot
 from tablewright.operators.project import drop_null_rows, require_columns
 
 UNKNOWN = "Unknown"
@@ -37,14 +37,17 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with the most frequent value per column; ties give the smallest value.
+    """One row with the most frequent value per column; ties give the smallest value, by number in numeric
+    columns and by text in others.
 
     Counts are per distinct value and combined before the shuffle, so neither a frequent value nor a
     column of many values is gathered in one task.
     """
     counted = unpivot(df, [], columns, "column", "value", "string").filter("value is not null")
     counted = counted.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    best = counted.groupBy("column").agg(F.min_by("value", F.struct(-F.col("rows"), F.col("value"))).alias("value"))
+    numbers = [c for c in columns if c in numeric_columns(df)]
+    number = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double")) if numbers else F.lit(None).cast("double")
+    best = counted.groupBy("column").agg(F.min_by("value", F.struct(-F.col("rows"), number, F.col("value"))).alias("value"))
     return best.agg(
         *[F.coalesce(F.max(F.when(F.col("column") == c, F.col("value"))), F.lit(UNKNOWN)).alias(c) for c in columns]
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,13 +29,15 @@ def collect_metrics(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .json(list(paths.values()))
-        .withColumn("_file", F.url_decode(F.input_file_name()))
+        .withColumn("_file", F.regexp_replace(F.url_decode(F.input_file_name()), "^file:/+", "file:/"))
     )
     name = F.lit(None).cast("string")
     for model, path in paths.items():
-        # A document may be a file or a folder of part files.
-        tail = "/" + path.rstrip("/").rsplit("/", 1)[-1]
-        name = F.when(F.col("_file").endswith(tail) | F.col("_file").contains(tail + "/"), model).otherwise(name)
+        # Whole paths are compared. A document may be a file or a folder of part files.
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        whole = re.sub("^file:/+", "file:/", files.makeQualified(place).toString())
+        name = F.when((F.col("_file") == whole) | F.col("_file").startswith(whole + "/"), model).otherwise(name)
     good = read.filter(F.col("_corrupt_record").isNull())
     return good.select(name.alias("model"), "mse", "rmse", "mae", "r2", "cv_rmse").orderBy(F.desc_nulls_last("r2"), "model")
 

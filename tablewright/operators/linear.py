@@ -81,8 +81,10 @@ def cross_validate_linear(df: DataFrame, features: Sequence[str], target: str, f
     means first, which keeps the sums well scaled.
     """
     names = [*features, target]
+    # As in the fit: a null feature counts as 0, a row without target is left out.
+    df = df.na.drop(subset=[target]).na.fill(0, subset=list(features))
     means = df.agg(*[F.avg(col(c)).alias(c) for c in names])
-    centred = attach_scalars(df.na.drop(subset=names), means, "_m")
+    centred = attach_scalars(df, means, "_m")
     values = {c: col(c).cast("double") - F.col("_m")[c] for c in names}
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     sums = centred.groupBy(col(fold).alias("fold")).agg(
@@ -105,7 +107,8 @@ def cross_validate_linear(df: DataFrame, features: Sequence[str], target: str, f
     for name, held in parts:
         train = total - held
         penalty = np.diag([0.0] + [alpha] * len(features))
-        weights = np.linalg.solve(train[:-1, :-1] + penalty, train[:-1, -1])
+        # The smallest solution where a constant feature leaves several.
+        weights = np.linalg.lstsq(train[:-1, :-1] + penalty, train[:-1, -1], rcond=None)[0]
         error = held[-1, -1] - 2 * weights @ held[:-1, -1] + weights @ held[:-1, :-1] @ weights
         rows.append((int(name), int(held[0, 0]), float(error / held[0, 0])))
     return df.sparkSession.createDataFrame(rows, "fold int, rows bigint, mse double")

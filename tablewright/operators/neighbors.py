@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col, md5_bits
+from tablewright.session import ship_package
 
 MAX_PIVOTS = 256
 BLOCK_ROWS = 20_000
@@ -59,6 +60,7 @@ def nearest(
     Ids are integers. Both inputs are read more than once, so pass stored tables or cheap plans.
     """
     spark = queries.sparkSession
+    ship_package(spark)
     t = train.select(col(train_id).cast("bigint").alias("tid"), col(payload).cast("double").alias("value"), col(vector).cast("array<double>").alias("tv"))
     q = queries.select(col(query_id).cast("bigint").alias("qid"), col(vector).cast("array<double>").alias("qv"))
     # Of identical vectors only the k smallest ids can ever be neighbours. The limit is applied

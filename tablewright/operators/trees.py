@@ -10,9 +10,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.ordered import spread
 from tablewright.functions.scalar import col, md5_bits
-from tablewright.operators.association import assemble, fit_on, importance_frame, training_rows
+from tablewright.operators.association import assemble, fit_on, fixed_layout, importance_frame, training_rows
 from tablewright.operators.linear import balanced_weights
 from tablewright.session import reused
 
@@ -20,6 +19,12 @@ from tablewright.session import reused
 DEEPEST = 30
 
 
+def _depth(depth: int) -> int:
+    if depth > DEEPEST:
+        raise ValueError(f"trees deeper than {DEEPEST} are not to be had; got {depth}")
+    return depth
+
+
 def _rows(df: DataFrame, features: Sequence[str], target: str, balanced: bool, keep: Sequence[str] = ()) -> DataFrame:
     rows = balanced_weights(df, target) if balanced else df.withColumn("class_weight", F.lit(1.0))
     return training_rows(rows, features, target, ["class_weight", *keep])
@@ -27,7 +32,7 @@ def _rows(df: DataFrame, features: Sequence[str], target: str, balanced: bool, k
 
 def fit_forest_regressor(df, features, target, trees=100, depth=DEEPEST, min_leaf=1, seed=42, max_bins=32):
     learner = RandomForestRegressor(
-        labelCol=target, numTrees=trees, maxDepth=min(depth, DEEPEST), minInstancesPerNode=min_leaf, seed=seed, maxBins=max_bins, featureSubsetStrategy="all"
+        labelCol=target, numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf, seed=seed, maxBins=max_bins, featureSubsetStrategy="all"
     )
     return fit_on(learner, _rows(df, features, target, False))
 
@@ -39,7 +44,7 @@ def fit_boosting_regressor(df, features, target, rounds=100, rate=0.1, depth=3,
 
 def fit_forest_classifier(df, features, target, trees=200, depth=20, min_leaf=2, balanced=True, seed=42):
     learner = RandomForestClassifier(
-        labelCol=target, weightCol="class_weight", numTrees=trees, maxDepth=min(depth, DEEPEST), minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed
+        labelCol=target, weightCol="class_weight", numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed
     )
     return fit_on(learner, _rows(df, features, target, balanced))
 
@@ -164,7 +169,7 @@ def grid_search(df: DataFrame, learner, grid: Mapping[str, Sequence], features:
         else MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     )
     search = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol=fold, parallelism=parallelism)
-    with reused(spread(training_rows(df, features, label, [fold]))) as rows:
+    with reused(fixed_layout(training_rows(df, features, label, [fold]))) as rows:
         fitted = search.fit(rows)
     scores = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(score))

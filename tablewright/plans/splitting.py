@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.functions.ordered import positions, previous_values
 from tablewright.operators import split as S
+from tablewright.operators.clean import interpolate
 from tablewright.plans.registry import query
-from tablewright.plans.tables import md5_sql, table
+from tablewright.plans.tables import gappy_events, md5_sql, table
 
 
 @query(
@@ -110,3 +112,51 @@ def cv_classification(spark, folder):
     pairs = li.select("fold", (F.col("l_returnflag") == "R").alias("y"), (F.col("l_discount") >= 0.05).alias("p"))
     out = S.classification_cv(pairs, "fold", "y", "p")
     return out.select("folds", F.round("cv_mean", 6).alias("cv_mean"), F.round("cv_std", 6).alias("cv_std"))
+
+
+@query(
+    "numbered_by_name",
+    "T5 T6",
+    """SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_name, c_custkey) AS position FROM customer""",
+)
+def numbered_by_name(spark, folder):
+    """Text keys with one long common prefix, cut into several chunks."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return positions(customers, "c_name", "c_custkey", ["c_nationkey"], chunks=6).select("c_custkey", "position")
+
+
+@query("ranked_by_name", "K13", "SELECT p_partkey, rank() OVER (ORDER BY p_name DESC) AS position FROM part")
+def ranked_by_name(spark, folder):
+    return positions(table(spark, folder, "part").select("p_partkey", "p_name"), "p_name", None, [], True, method="rank", chunks=5).select(
+        "p_partkey", "position"
+    )
+
+
+@query(
+    "previous_by_text_date",
+    "D15 G15",
+    """SELECT event_id, lag(value, 2) OVER (PARTITION BY event_type ORDER BY strftime(ts, '%Y-%m-%d'), event_id) AS earlier FROM events""",
+)
+def previous_by_text_date(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return previous_values(events, "day", "event_id", {"earlier": "value"}, ["event_type"], steps=2, chunks=4).select("event_id", "earlier")
+
+
+@query(
+    "interpolated_by_text_date",
+    "C6",
+    """WITH e AS (
+      SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS day,
+             CASE WHEN (event_id * 7919) % 11 < 3 OR user_id % 50 = 0 THEN NULL ELSE value END AS v FROM events),
+    p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day, event_id) AS pos FROM e),
+    w AS (
+      SELECT *, max(CASE WHEN v IS NOT NULL THEN pos END) OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS lo,
+             min(CASE WHEN v IS NOT NULL THEN pos END) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi
+      FROM p)
+    SELECT w.event_id, round(CASE WHEN w.v IS NOT NULL THEN w.v WHEN a.v IS NULL THEN NULL WHEN b.v IS NULL THEN a.v
+             ELSE a.v + (b.v - a.v) / (w.hi - w.lo) * (w.pos - w.lo) END, 6) AS value
+    FROM w LEFT JOIN p a ON a.user_id = w.user_id AND a.pos = w.lo LEFT JOIN p b ON b.user_id = w.user_id AND b.pos = w.hi""",
+)
+def interpolated_by_text_date(spark, folder):
+    events = gappy_events(spark, folder).select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return interpolate(events, "user_id", "day", "event_id", ["value"], chunks=4).select("event_id", F.round("value", 6).alias("value"))

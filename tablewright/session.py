@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "tablewright", master: str | None = None, cpus: int = 8) -> SparkSession:
@@ -47,6 +49,25 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tablewright-", dir=os.environ.get("TMPDIR", "/tmp"))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python tasks can import it wherever
+    the application was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # else the package already came as an archive
+        archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), "tablewright_package.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.join("tablewright", os.path.relpath(path, package)))
+        spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))

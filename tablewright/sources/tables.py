@@ -17,19 +17,21 @@ from tablewright.functions.scalar import col
 # Texts that mean "no value" in the raw files.
 NULL_TOKENS = ("NA", "NaN", "", "null")
 VERSION_COLUMN = "version"
+EXTRA = "_field_too_many"
 
 
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS, header: bool = True
 ) -> DataFrame:
-    """CSV with null tokens and skipping of malformed lines.
+    """CSV with null tokens; lines with too many fields are skipped, short ones are padded with nulls.
 
     Columns are read as text first: with a typed schema a line holding ``NA`` in a number column
-    would count as malformed. Text that does not parse becomes null. Only the columns that are used
-    later are parsed.
+    would count as malformed. Text that does not parse becomes null. One more column takes the first
+    field too many and is read whatever is selected, so the rows are the same for every selection.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", header).option("mode", "DROPMALFORMED").option("encoding", "UTF-8").csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in [*schema.fields, T.StructField(EXTRA, T.StringType())]])
+    reader = spark.read.schema(text).option("header", header).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+    raw = reader.csv(path).filter(F.col(EXTRA).isNull())
     cleaned = []
     for f in schema.fields:
         value = F.when(~col(f.name).isin(*tokens), col(f.name))
@@ -117,8 +119,9 @@ def json_text(value: Any) -> str:
 
 
 def save_version(df: DataFrame, path: str, version: str) -> None:
-    """Add a version; each is a partition folder of its own."""
-    df.withColumn(VERSION_COLUMN, F.lit(version)).write.mode("append").partitionBy(VERSION_COLUMN).parquet(path)
+    """Write a version, a partition folder of its own; a version that exists is replaced, others stay."""
+    rows = df.withColumn(VERSION_COLUMN, F.lit(version))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VERSION_COLUMN).parquet(path)
 
 
 def load_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:

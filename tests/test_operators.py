@@ -282,3 +282,49 @@ def test_best_iteration(spark):
     df = spark.createDataFrame([(i + 1, s) for i, s in enumerate(scores)], "iteration int, accuracy double")
     out = trees.best_iteration(df).first()
     assert (out["best_iteration"], out["overfit_at"]) == (2, 12)
+
+
+def test_numeric_modes_break_ties_by_number(spark):
+    df = spark.createDataFrame([(9, "9"), (10, "10"), (None, None)], "n int, t string")
+    assert rows(C.impute_mode(df, ["n", "t"]))[2] == (9, "10")
+
+
+def test_csv_rows_do_not_depend_on_the_selection(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a,b,c\n1,2,3\n4,5\n6,7,8,9\nNA,x,0\n")
+    schema = T.StructType([T.StructField(c, T.IntegerType()) for c in "abc"])
+    read = S.read_csv(spark, str(tmp_path / "f.csv"), schema)
+    assert sorted(rows(read), key=str) == [(1, 2, 3), (4, 5, None), (None, None, 0)]
+    assert read.count() == 3 and read.select("a").collect() == [r[:1] for r in read.collect()]
+
+
+def test_a_saved_version_replaces_itself_only(spark, tmp_path):
+    for version, n in (("1", 3), ("2", 4), ("1", 5)):
+        S.save_version(spark.range(n), str(tmp_path / "v"), version)
+    assert [S.load_version(spark, str(tmp_path / "v"), v).count() for v in ("1", "2")] == [5, 4]
+
+
+def test_documents_of_one_name_keep_their_models(spark, tmp_path):
+    paths = {}
+    for i, model in enumerate(("ridge", "lasso")):
+        (tmp_path / model).mkdir()
+        (tmp_path / model / "metrics.json").write_text(f'{{"r2": {i / 10}}}')
+        paths[model] = str(tmp_path / model / "metrics.json")
+    assert {(r["model"], r["r2"]) for r in K.collect_metrics(spark, paths).collect()} == {("ridge", 0.0), ("lasso", 0.1)}
+
+
+def test_null_features_count_as_zero(spark):
+    df = spark.createDataFrame([(i, float(i % 5) if i % 4 else None, 5.0, float(i)) for i in range(40)], "i int, x double, c double, y double")
+    marked = df.withColumn("label", F.col("i") % 2)
+    scored = B.predict_gaussian(marked, B.fit_gaussian(marked, ["x", "c"], "label"), ["x", "c"])
+    assert scored.filter("y_pred is null").count() == 0 and scored.count() == 40
+    cv = L.cross_validate_linear(df.withColumn("fold", F.col("i") % 3), ["x", "c"], "y", "fold")
+    assert sum(r["rows"] for r in cv.collect()) == 40
+
+
+def test_models_do_not_depend_on_the_layout(spark):
+    df = spark.range(3000).select(*[(F.xxhash64("id", F.lit(j)) % 100).cast("double").alias(f"x{j}") for j in range(3)], "id")
+    df = df.withColumn("y", (F.col("x0") + F.col("x1") * 0.5 > 20).cast("int"))
+    found = [rows(A.forest_importance(d, ["x0", "x1", "x2"], "y", trees=5, depth=4)[0]) for d in (df.repartition(2), df.repartition(7, "x2"), df.coalesce(1))]
+    assert found[0] == found[1] == found[2]
+    with pytest.raises(ValueError):
+        trees.fit_forest_regressor(df, ["x0"], "y", depth=31)
