@@ -244,3 +244,21 @@ def fill_mean_unknown(spark, folder):
     sparse_gone = C.drop_sparse_columns(ev, 0.3)
     out = C.fill_missing(sparse_gone, ["level"], ["event_type"], "mean", "unknown")
     return out.select("event_id", "event_type", F.round("level", 4).alias("level"))
+
+
+@query(
+    "fill_mode_number",
+    "D1",
+    f"""WITH {GAPPY}, r AS (SELECT event_id, floor(level / 10) AS band, event_type FROM gappy),
+    best AS (SELECT band AS m FROM r WHERE band IS NOT NULL GROUP BY band ORDER BY count(*) DESC, band LIMIT 1)
+    SELECT event_id, CAST(coalesce(band, (SELECT m FROM best)) AS BIGINT) AS band FROM r WHERE event_type IS NOT NULL""",
+)
+def fill_mode_number(spark, folder):
+    """Mode for numbers, drop for text."""
+    ev = gappy_events(spark, folder).select("event_id", "event_type", F.floor(F.col("level") / 10).alias("band"))
+    return C.fill_missing(ev, ["band"], ["event_type"], "mode", "drop").select("event_id", "band")
+
+
+@query("fill_drop", "D1", f"WITH {GAPPY} SELECT event_id FROM gappy WHERE level IS NOT NULL AND event_type IS NOT NULL")
+def fill_drop(spark, folder):
+    return C.fill_missing(gappy_events(spark, folder), ["level"], ["event_type"], "drop", "drop").select("event_id")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.functions.scalar import md5_bits
 from tablewright.operators import association as A
 from tablewright.operators import metrics as M
 from tablewright.plans.registry import query
-from tablewright.plans.tables import SCORED, TRADES, scored, table, trades
+from tablewright.plans.tables import SCORED, TRADES, md5_sql, scored, table, trades
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FLAGS = ["l_returnflag", "l_linestatus"]
@@ -368,3 +369,46 @@ def evaluate_train_test(spark, folder):
 )
 def log_loss(spark, folder):
     return _rounded(M.log_loss(scored(spark, folder), "y_true", "score"))
+
+
+# Features with a known relation to the target: one strong, one weaker, one below the threshold, one constant.
+_PLANTED = f"""planted AS (
+  SELECT o_orderkey, CAST({md5_sql('o_orderkey')} % 2 AS INT) AS y, CAST({md5_sql('o_orderkey')} // 2 % 10 AS INT) AS noise FROM orders),
+f AS (SELECT o_orderkey, y, y * 3 + noise % 2 AS strong, y * 2 + noise AS weaker, noise AS none, 1 AS flat FROM planted)"""
+PLANTED = ["strong", "weaker", "none", "flat"]
+
+
+def _planted(spark, folder):
+    bits = md5_bits(F.col("o_orderkey"))
+    y, noise = (bits % 2).cast("int"), (F.floor(bits / 2) % 10).cast("int")
+    return table(spark, folder, "orders").select(
+        "o_orderkey", y.alias("y"), (y * 3 + noise % 2).alias("strong"), (y * 2 + noise).alias("weaker"), noise.alias("none"), F.lit(1).alias("flat")
+    )
+
+
+def _chosen(spark, names):
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "place int, feature string")
+
+
+@query(
+    "select_by_correlation",
+    "A9 D3",
+    f"""WITH {_PLANTED}, c AS (
+      SELECT 'strong' AS feature, abs(corr(strong, y)) AS r FROM f UNION ALL SELECT 'weaker', abs(corr(weaker, y)) FROM f
+      UNION ALL SELECT 'none', abs(corr(none, y)) FROM f)
+    SELECT CAST(row_number() OVER (ORDER BY r DESC) - 1 AS INT) AS place, feature FROM c WHERE r >= 0.1""",
+)
+def select_by_correlation(spark, folder):
+    """The threshold of the configured selector drops what is not related."""
+    return _chosen(spark, A.select_features(_planted(spark, folder), PLANTED, "y", "correlation", 20, 0.1))
+
+
+@query("select_by_mutual_information", "A9 D3", "SELECT * FROM (VALUES (0, 'strong'), (1, 'weaker')) t(place, feature)")
+def select_by_mutual_information(spark, folder):
+    return _chosen(spark, A.select_features(_planted(spark, folder), PLANTED, "y", "mutual_info", 2))
+
+
+@query("select_by_elimination", "A6 A9 D3", "SELECT 0 AS place, 'strong' AS feature")
+def select_by_elimination(spark, folder):
+    """Only the planted feature decides the target, so elimination keeps it."""
+    return _chosen(spark, A.select_features(_planted(spark, folder), PLANTED, "y", "rfe", 1))
