@@ -7,8 +7,9 @@ stored as one union, a query document is bounded against the union, and only gro
    for the whole corpus: rare ones by hash, then the ``HOT`` commonest by rising count. By the prefix
    principle two linked sets must share one of their leading tokens, the first n - ceil(0.75 n) + 1, so
    that only a quarter of the tokens is ever moved.
-2. Groups: documents that share a leading token are compared with the smallest of them; those that truly
-   link, and equal sets, are one group (connected components).
+2. Groups: documents that share leading tokens are compared with the smallest document that has them, then
+   with a member of the largest group beside them; those that truly link, and equal sets, are one group
+   (connected components).
 3. Matrix: one row per leading token and group, with the largest overlap that the token still allows to any
    member. A query meets a group of higher rank (size, then id); the leading tokens that it shares with the
    group's union bound its overlap with every member. Groups that pass are opened, their members bounded in
@@ -53,6 +54,8 @@ HOT = 262_144
 STRETCH, REPEATS = 8_000_000, 3
 # Documents compared with one common document in one salt, and ids that may be broadcast.
 SALT_ROWS, BROADCAST_IDS = 512, 1_000_000
+# Groups are formed from pairs that share one leading token for so many of the smaller set's tokens.
+LIKELY = 20
 
 LETTERS = letters(5, fold=True)
 
@@ -185,12 +188,6 @@ def leading_tokens(docs: DataFrame, key: str, text: str, hot: np.ndarray) -> Dat
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def may_link(n, left, m, right):
-    """Sizes n, m; tokens from a common first token on, it included, left and right: can the sets link?"""
-    sizes = (WHOLE * F.least(n, m) >= PART * F.greatest(n, m)) if m is not None else F.lit(True)
-    return sizes & ((WHOLE + PART) * F.least(left, right) >= PART * (n + m))
-
-
 def enough(common, n, m, most):
     """Can sets of n and m tokens link (other sets of up to ``most``) that share ``common`` leading tokens?
 
@@ -291,8 +288,8 @@ def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     return stored(dealt.mapInArrow(compare, "u long, v long").distinct())
 
 
-def between_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (u, v) of documents of different groups that may link, by the token-group matrix."""
+def across_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, doc, n, left, hot, group): the leading tokens that documents of different groups have."""
     named = shared.select("token", "doc", "n", "left", "hot").join(groups.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.withColumn("group", F.coalesce("component", "doc")).drop("component")
     # Tokens of one group only have done their work.
@@ -300,12 +297,39 @@ def between_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
     cold = named.filter("not hot").select("*", F.min("group").over(same).alias("a"), F.max("group").over(same).alias("b"))
     ends = named.filter("hot").groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b"))
     common = named.filter("hot").join(F.broadcast(ends.filter("a < b")), "token").select(*cold.columns)
-    rows = stored(cold.filter("a < b").unionAll(common).drop("a", "b", "hot"))
+    rows = stored(cold.filter("a < b").unionAll(common).drop("a", "b"))
     release(shared.sparkSession)
+    return rows
+
+
+def group_sizes(groups: DataFrame) -> DataFrame:
+    return groups.groupBy(F.col("component").alias("group")).agg(F.count(F.lit(1)).alias("size"))
+
+
+def likely(rows: DataFrame) -> DataFrame:
+    """Pairs (u, v) of rows (u, v, n), one a shared token, with so many in common that they may well link.
+
+    Only for forming groups: a pair that is left out here is met again between groups.
+    """
+    counted = rows.groupBy("u", "v", "n").agg(F.count(F.lit(1)).alias("common"))
+    return counted.filter(LIKELY * F.col("common") >= F.col("n")).select("u", "v")
+
+
+def strays(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (u, v): documents beside a member of the largest group that has a leading token of theirs."""
+    sized = rows.join(group_sizes(groups), "group", "left")
+    top = sized.groupBy("token").agg(F.max(F.struct(F.coalesce("size", F.lit(1)).alias("size"), "group", "doc")).alias("top"))
+    beside = rows.join(top, "token").filter(F.col("group") != F.col("top.group"))
+    return likely(beside.select(F.col("top.doc").alias("u"), F.col("doc").alias("v"), "n"))
+
+
+def between_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (u, v) of documents of different groups that may link, by the token-group matrix over the rows of
+    ``across_groups``."""
     # The matrix: unions of the groups' leading tokens.
     matrix = rows.groupBy("token", "group").agg(F.max("left").alias("most_left"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     matrix = stored(matrix)
-    sizes = groups.groupBy(F.col("component").alias("group")).agg(F.count(F.lit(1)).alias("size"))
+    sizes = group_sizes(groups)
 
     def sized(df: DataFrame) -> DataFrame:
         return df.join(sizes, "group", "left").withColumn("rank", F.struct(F.coalesce("size", F.lit(1)), "group")).drop("size")
@@ -353,17 +377,24 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     equal = stored(known.join(repeated, ["set_hi", "set_lo"]).select(F.col("doc").alias("u"), "v").filter("u <> v"))
     shared = stored(shared_tokens(known.select("doc", "n", "cold", "hot")))
     release(docs.sparkSession)
-    stars = shared.filter("doc <> lead").filter(may_link(F.col("n"), F.col("left"), F.col("lead_n"), F.col("lead_left")))
-    stars = stored(stars.select(F.col("lead").alias("u"), F.col("doc").alias("v")).distinct())
-    first = linked(docs, key, text, stars)
+    stars = shared.filter("doc <> lead").filter(WHOLE * F.least("n", "lead_n") >= PART * F.greatest("n", "lead_n"))
+    tried = stored(likely(stars.select(F.col("lead").alias("u"), F.col("doc").alias("v"), F.least("n", "lead_n").alias("n"))))
+    links = equal.unionAll(linked(docs, key, text, tried))
     release(docs.sparkSession)
-    links = equal.unionAll(first)
     groups = stored(components(links))
-    met = between_groups(shared, groups)
-    release(docs.sparkSession)
-    for a, b in (("u", "v"), ("v", "u")):  # what was compared before
-        met = met.join(stars.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
-    second = linked(docs, key, text, met)
-    found = components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(second)) if not second.isEmpty() else groups
+    rows = across_groups(shared, groups)
+    # Two more rounds: strays join the large group beside them, then every pair of groups is settled.
+    for meet in (strays, between_groups):
+        met = meet(rows, groups)
+        for a, b in (("u", "v"), ("v", "u")):  # what was compared before
+            met = met.join(tried.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
+        met = stored(met)
+        found = linked(docs, key, text, met)
+        release(docs.sparkSession)
+        if not found.isEmpty():
+            groups = stored(components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(found)))
+        if meet is strays:
+            rows, tried = across_groups(rows.drop("group"), groups), tried.unionAll(met)
+    found = groups
     placed = leading.select("doc", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc"), "doc", "left")
     return placed.select(F.col("doc").alias(key), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
