@@ -112,7 +112,7 @@ def encode_segment(keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> byt
 
 
 def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, counts, ids) of a segment; raises if a block's checksum does not hold."""
+    """(keys, counts, ids) of a segment; raises if a checksum or the end of a lane does not hold."""
     magic, n_docs, n, blocks, lanes, steps, n_symbols, bits = HEADER.unpack_from(data)
     if magic != MAGIC:
         raise ValueError("not a segment of token ids")
@@ -142,6 +142,8 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         following = words[np.minimum(place + taken - 1, len(words) - 1)]
         state = np.where(low, (state << WORD) | following, state)
         place += taken[:, -1:]
+    if (state != LOW).any():  # every lane ends where the encoder began
+        raise ValueError("a lane of the segment does not end in its first state")
     ids = symbols[out.transpose(1, 0, 2).reshape(-1)[:n]].astype("<u4")
     per = steps * lanes
     for b in range(blocks):

@@ -61,7 +61,6 @@ def test_latest_before_in_chunks(spark):
 
     for limit in (10, 37, 100_000):
         got = latest_before(rows, r, "by", "at", "id", "found", limit).collect()
-        assert sorted(map(str, got)) == sorted(map(str, [type(got[0])(*[]) if False else g for g in got]))
         assert len(got) == len(left) and all(g["found"] == want(g["by"], g["at"]) for g in got)
 
 
