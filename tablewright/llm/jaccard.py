@@ -145,7 +145,7 @@ def _order(packed: bytes) -> Order:
 def leading_tokens(docs: DataFrame, key: str, text: str, hot: np.ndarray) -> DataFrame:
     """(doc, n, set_hi, set_lo, cold, hot): set size, 128-bit set hash, leading tokens in order.
 
-    A task gives the tokens of equal sets once.
+    A task gives the tokens of equal sets once, for a row with a key: rows without one link with nothing.
     """
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(hot.tobytes())
@@ -158,9 +158,10 @@ def leading_tokens(docs: DataFrame, key: str, text: str, hot: np.ndarray) -> Dat
         for piece in pieces(batches, text):
             sets = _sets(piece, text)
             marks = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            keys = piece.column(piece.schema.get_field_index(key)).cast(pa.int64())
             cold, hot_, ends = [], [], [0]
-            for s, mark in zip(sets, marks, strict=True):
-                if len(s) and mark not in seen:
+            for s, mark, keyed in zip(sets, marks, keys.is_valid().to_pylist(), strict=True):
+                if keyed and len(s) and mark not in seen:
                     seen.add(mark)
                     tokens, n_cold = order.prefix(s)
                     cold.append(tokens[:n_cold])
@@ -176,7 +177,7 @@ def leading_tokens(docs: DataFrame, key: str, text: str, hot: np.ndarray) -> Dat
                 arrays.append(pa.ListArray.from_arrays(pa.array(ends), values).cast(lists))
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column(piece.schema.get_field_index(key)).cast(pa.int64()),
+                    keys,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(halves[:, 0]),
                     pa.array(halves[:, 1]),

@@ -92,6 +92,14 @@ def test_no_documents_and_null_keys(spark):
     assert {(r["doc_id"], r["component_id"]) for r in rows} == {(None, None), (1, 1)}
 
 
+def test_null_key_ahead_of_a_keyed_copy(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(None, text), (1, text), (2, text + " more"), (3, "of another kind")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similar(docs).collect()}
+    assert got == {(None, 36, None), (1, 36, 1), (2, 37, 1), (3, 1, 3)}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (130, 129)]
     random.Random(4).shuffle(chain)
