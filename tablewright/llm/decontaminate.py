@@ -12,7 +12,8 @@ edits, from the smallest up.
 Items are sent to the workers in blocks of at most ``BLOCK_BYTES``; more items mean more passes.
 
 Defined cases: a null or empty document has no matches; an item without letters or digits matches nothing;
-equal items are reported each; one row per document row and item: the least distance, then the earliest end.
+equal items are reported each; an item with a null key counts like any other and is reported under a null key;
+one row per document row and item: the least distance, then the earliest end.
 Offsets are code points of the original text.
 """
 
@@ -26,8 +27,8 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.llm.common import model, pieces, ship, with_fields
 
@@ -185,7 +186,7 @@ def item_blocks(items: DataFrame, key: str, text: str, percent: int, limit: int
     blocks: list[bytes] = []
     block: list[tuple[int, str]] = []
     size = 0
-    for r in items.select(key, text).filter(F.col(key).isNotNull()).orderBy(key, text).toLocalIterator():
+    for r in items.select(key, text).orderBy(key, text).toLocalIterator():
         t = normalise(r[text])
         if not t:
             continue
@@ -230,6 +231,7 @@ def matches(
         [T.StructField(n, t) for n, t in columns]
         + [T.StructField(n, T.LongType()) for n in ("distance", "budget", "start", "end")]
     )
+    arrow = to_arrow_schema(schema)  # named types, as a batch may hold null keys only
     out = spark.createDataFrame([], schema)
     for packed in item_blocks(items, item_key, item_text, percent):
         sent = spark.sparkContext.broadcast(packed)
@@ -243,7 +245,8 @@ def matches(
                         place = _original(t, m.start, m.end)
                         rows.append((k, matcher.items[m.item][0], m.distance, matcher.budget[m.item], *place))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=schema.names)
+                    columns = zip(zip(*rows, strict=True), arrow.types, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], schema=arrow)
 
         out = out.unionByName(docs.select(key, text).mapInArrow(run, schema))
     return out

@@ -280,6 +280,15 @@ def test_leaks_are_dropped(spark):
     assert decontaminate.matches(docs.limit(0), items).count() == 0
 
 
+def test_items_without_a_key_count(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, f"so {item} on"), (2, "clean text"), (None, item.replace("six", "sx"))], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (None, item), (None, None)], "item_id long, text string")
+    found = Counter((r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.matches(docs, items).collect())
+    assert found == {(1, None, 0): 2, (None, None, 1): 2}
+    assert [r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect()] == [2]
+
+
 def test_many_items_go_in_blocks(spark):
     items = spark.createDataFrame([(i, f"item number {i} of the list") for i in range(20)], "item_id long, text string")
     assert len(decontaminate.item_blocks(items, "item_id", "text", 8, limit=100)) > 3
