@@ -270,16 +270,18 @@ def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.withColumn("headers", F.array_join(fields, ";"))
 
 
-def tool_logs(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def tool_logs(turns: DataFrame, words_of: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Calls, results and schemas made from the conversations: every assistant turn calls a tool with its
-    own words as arguments and waits for an earlier call; most of the turns after it answer."""
+    own words as arguments (their first 40 characters, or ``words_of``) and waits for an earlier call; most
+    of the turns after it answer."""
+    words_of = F.substring("text", 1, 40) if words_of is None else words_of
     turn, conv = F.col("turn"), F.col("conv_id")
     mix = conv * 31 + turn * 7
     words = F.filter(F.split("text", "[ \\n]"), lambda w: w != "")
     made = F.map_from_entries(
         F.filter(
             F.array(
-                F.struct(F.lit("query").alias("key"), F.substring("text", 1, 40).alias("value")),
+                F.struct(F.lit("query").alias("key"), words_of.alias("value")),
                 F.struct(F.when(mix % 5 != 0, "limit").alias("key"), F.when(mix % 11 == 0, "many").otherwise((mix % 50).cast("string")).alias("value")),
                 F.struct(F.when(mix % 4 == 0, "exact").alias("key"), F.when(mix % 8 == 0, "true").otherwise("false").alias("value")),
                 F.struct(F.when(mix % 13 == 0, "extra").alias("key"), F.size(words).cast("string").alias("value")),
@@ -364,3 +366,9 @@ FROM judged j LEFT JOIN chain k USING (conv_id, call_id) LEFT JOIN results r USI
 @query("op10_chat_formatting", OP10_SQL)
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.linked(*tool_logs(table(spark, folder, "conversations")))
+
+
+@query("op10_whole_turns", OP10_SQL.replace("left(text, 40) AS q", "text AS q"))
+def op10_whole_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """The same calls with the whole turn as argument: every character is escaped and serialised."""
+    return chat.linked(*tool_logs(table(spark, folder, "conversations"), F.col("text")))

@@ -1,6 +1,7 @@
 """op6, op7, op10 and the pipeline: SQL on the driver's tables, edge rows by hand."""
 
 import gzip
+import json
 
 import pytest
 
@@ -135,6 +136,17 @@ def test_chat_links(spark):
     assert chat.linked(c.limit(0), r, s).count() == 0
 
 
+def test_whole_turns_are_arguments(spark):
+    from tablewright.llm.queries import ORACLES, QUERIES
+
+    df = QUERIES["op10_whole_turns"](spark, SMALL)
+    assert differences(connect(SMALL), df, ORACLES["op10_whole_turns"]) == ""
+    turns = table(spark, SMALL, "conversations").filter("role = 'assistant'")
+    texts = {(r["conv_id"], r["turn"]): r["text"] for r in turns.collect()}
+    asked = {(r["conv_id"], r["turn"]): json.loads(r["json"])["arguments"]["query"] for r in df.collect()}
+    assert asked == {k: texts[k] for k in asked} and any(len(t) > 1000 for t in asked.values())
+
+
 def test_long_chains_of_calls(spark):
     n = 300
     calls = spark.createDataFrame([(1, i, f"c{i}", "t", {}, f"c{i - 1}") for i in range(n)], "conv_id long, turn long, call_id string, tool string, arguments map<string,string>, after string")
