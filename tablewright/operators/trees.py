@@ -169,7 +169,8 @@ def grid_search(df: DataFrame, learner, grid: Mapping[str, Sequence], features:
         else MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     )
     search = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol=fold, parallelism=parallelism)
-    with reused(fixed_layout(training_rows(df, features, label, [fold]))) as rows:
+    weights = [learner.getWeightCol()] if learner.hasParam("weightCol") and learner.isSet("weightCol") else []
+    with reused(fixed_layout(training_rows(df, features, label, [fold, *weights]))) as rows:
         fitted = search.fit(rows)
     scores = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(score))

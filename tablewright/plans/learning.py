@@ -334,48 +334,48 @@ def _value_rows(spark, folder):
 @query("forest_regression", "M4 M17")
 def forest_regression(spark, folder):
     df = _value_rows(spark, folder)
-    model = R.algorithm("regression", "random_forest", trees=10, depth=6)(df.filter("is_train"), XS, "y")
+    model = R.algorithm("regression", "random_forest")(df.filter("is_train"), XS, "y")
     return M.regression_metrics(R.score_values(model, df.filter("not is_train"), XS, ["y"]), "y", "prediction")
 
 
 @query("boosting_regression", "M5 M19")
 def boosting_regression(spark, folder):
     df = _value_rows(spark, folder)
-    model = R.fit_boosting_regressor(df.filter("is_train"), XS, "y", rounds=8)
+    model = R.fit_boosting_regressor(df.filter("is_train"), XS, "y")
     return M.regression_metrics(R.score_values(model, df.filter("not is_train"), XS, ["y"]), "y", "prediction")
 
 
 @query("tree_classification", "M13 E12")
 def tree_classification(spark, folder):
     df = _class_rows(spark, folder)
-    model = R.fit_tree_classifier(df.filter("is_train"), XS, "returned", depth=5)
+    model = R.fit_tree_classifier(df.filter("is_train"), XS, "returned")
     return _classified(R.score_classes(model, df.filter("not is_train"), XS, ["returned"]), "returned")
 
 
 @query("tree_shape", "M13")
 def tree_shape(spark, folder):
     df = _class_rows(spark, folder)
-    return R.tree_shape(spark, R.fit_tree_classifier(df.filter("is_train"), XS, "returned", depth=4))
+    return R.tree_shape(spark, R.fit_tree_classifier(df.filter("is_train"), XS, "returned"))
 
 
 @query("forest_classification", "M14 M17")
 def forest_classification(spark, folder):
     df = _class_rows(spark, folder)
-    model = R.algorithm("classification", "random_forest", trees=10, depth=6)(df.filter("is_train"), XS, "returned")
+    model = R.algorithm("classification", "random_forest")(df.filter("is_train"), XS, "returned")
     return _classified(R.score_classes(model, df.filter("not is_train"), XS, ["returned"]), "returned")
 
 
 @query("boosting_classification", "M15")
 def boosting_classification(spark, folder):
     df = _class_rows(spark, folder)
-    model = R.fit_boosting_classifier(df.filter("is_train"), XS, "returned", "l_orderkey", rounds=6)
+    model = R.fit_boosting_classifier(df.filter("is_train"), XS, "returned", "l_orderkey")
     return _classified(R.score_classes(model, df.filter("not is_train"), XS, ["returned"]), "returned")
 
 
 @query("boosting_stages", "M18 M15")
 def boosting_stages(spark, folder):
     df = _class_rows(spark, folder)
-    model = R.fit_boosting_classifier(df.filter("is_train"), XS, "returned", "l_orderkey", rounds=6)
+    model = R.fit_boosting_classifier(df.filter("is_train"), XS, "returned", "l_orderkey")
     return R.staged_accuracy(model, df, XS, "returned", "is_train")
 
 
@@ -408,7 +408,7 @@ def svm_support_rows(spark, folder):
     df = _class_rows(spark, folder)
     df = apply_scaler(df, fit_scaler(df.filter("is_train"), XS), XS)
     train = df.filter("is_train")
-    return V.fit_svm(train, XS, "returned", waves=16).support_rows(train)
+    return V.fit_svm(train, XS, "returned").support_rows(train)
 
 
 @query("svr_regression", "M8 F9 F10")
@@ -428,6 +428,10 @@ def hyper_parameters(spark, folder):
 
 @query("grid_search", "T10 T8")
 def grid_search(spark, folder):
-    df = hashed_folds(_class_rows(spark, folder), "l_orderkey", 3)
-    learner = LogisticRegression(labelCol="returned", featuresCol="features", maxIter=20)
-    return R.grid_search(df, learner, {"regParam": [0.0, 0.1]}, XS, "returned", "fold", 3)[0]
+    df = _class_rows(spark, folder).filter("is_train")
+    df = L.balanced_weights(apply_scaler(df, fit_scaler(df, XS), XS), "returned")
+    df = hashed_folds(df, "l_orderkey", 5)
+    learner = LogisticRegression(labelCol="returned", featuresCol="features", weightCol="class_weight", maxIter=1000)
+    fitted_on = df.count() * 4 / 5
+    grid = {"regParam": [1 / (c * fitted_on) for c in (0.01, 0.1, 1.0, 10.0, 100.0)], "elasticNetParam": [1.0, 0.0]}
+    return R.grid_search(df, learner, grid, XS, "returned", "fold", 5)[0]

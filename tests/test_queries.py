@@ -26,6 +26,40 @@ def test_query(spark, db, name):
         assert differences(db, df, q.sql) == ""
 
 
+REFERENCE = {
+    "forest_regression": {"numTrees": 100, "maxDepth": 30},
+    "forest_classification": {"numTrees": 200, "maxDepth": 20},
+    "boosting_regression": {"maxIter": 100, "maxDepth": 3},
+    "boosting_classification": {"maxIter": 100, "maxDepth": 3},
+    "boosting_stages": {"maxIter": 100, "maxDepth": 3},
+    "tree_classification": {"maxDepth": 10},
+    "tree_shape": {"maxDepth": 10},
+    "forest_importance": {"numTrees": 100, "maxDepth": 30},
+    "eliminate_features": {"numTrees": 50, "maxDepth": 30},
+}
+
+
+@pytest.mark.parametrize("name", sorted(REFERENCE))
+def test_learners_have_the_reference_parameters(spark, monkeypatch, name):
+    from tablewright.operators import association, trees
+
+    class Stop(Exception):
+        pass
+
+    def stop(learner, rows):
+        raise Stop({n: learner.getOrDefault(n) for n in REFERENCE[name]})
+
+    monkeypatch.setattr(association, "fit_on", stop)
+    monkeypatch.setattr(trees, "fit_on", stop)
+    with pytest.raises(Stop) as seen:
+        all_queries()[name].run(spark, FOLDER)
+    assert seen.value.args[0] == REFERENCE[name]
+
+
+def test_grid_search_tries_every_pair(spark):
+    assert all_queries()["grid_search"].run(spark, FOLDER).count() == 10
+
+
 def test_entry_point(spark):
     import __spark_entry__ as entry
 
