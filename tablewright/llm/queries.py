@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,21 +9,10 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalar import md5_bits
 from tablewright.llm import bpe, chat, decontaminate, jaccard, licenses, quality, token_counts, token_files, url_filters, warc
 from tablewright.llm.common import new_folder, stored, table
+from tablewright.llm.registry import ORACLES, QUERIES, query
+from tablewright.llm.shared_queries import op11_prefix_trie, op12_source_mix, op13_spelling_variants
 
-Run = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Run] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
-    def register(run: Run) -> Run:
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLES[name] = sql
-        return run
-
-    return register
-
+__all__ = ["ORACLES", "QUERIES", "op11_prefix_trie", "op12_source_mix", "op13_spelling_variants"]
 
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
