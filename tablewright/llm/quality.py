@@ -1,16 +1,21 @@
 """Quality rules combined by weak supervision.
 
 Method: every rule votes good (1), bad (-1) or abstains (0) on a text. Expectation-maximisation over the
-counts of vote patterns estimates how accurate each rule is; the posterior probability of "good" then
-replaces passing every rule. The patterns are at most 2 ** (number of rules) whatever the input, so that
-many counts at most reach the driver; all rows are counted.
+counts of vote patterns estimates the share of good texts and, for each class and rule, how often it votes
+good, votes bad and abstains; the posterior probability of "good" then replaces passing every rule, so that
+a bad vote of a rule that is often wrong is outvoted. The patterns are at most 3 ** (number of rules)
+whatever the input, so that many counts at most reach the driver; all rows are counted.
+
+Abstentions are estimated and reported, and leave the odds alone: rules abstain on short texts, and that a
+text is short is no sign of its quality.
 
 Words are runs of characters other than ASCII white space. Windows of five words are compared by 64-bit
 hashes.
 
 Defined cases: a null or empty text has no words, all counts are 0, it fails the base rules and is not kept.
-With an empty table every rule keeps the accuracy it starts with.
-A text on which no rule votes has even odds and is kept.
+With an empty table the tables and the share are those that the estimate starts from. A text on which no
+rule votes has the estimated share as its posterior. An input column that has the name of a result is
+replaced, as withColumn does; ``set_aside`` keeps it.
 """
 
 from __future__ import annotations
@@ -29,12 +34,20 @@ from tablewright.llm.common import map_columns
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 FEATURES = (
-    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_distinct_words n_upper_words".split()
+    "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_distinct_words n_upper_words n_letters n_common_words n_full_stops n_links".split()
+)
+# Fixed: the commonest function words of English, German, French and Spanish.
+COMMON = frozenset(
+    "the of and to in a is that for it was on are as with at be this by from or an have not "
+    "der die das und ist nicht von zu mit den ein eine im für auf des dem sich "
+    "le la les un une est et que qui du dans pour par sur pas au en "
+    "el los las una y es por con para del se no su al lo".encode().split()
 )
+NO_LETTERS = bytes(i for i in range(128) if not chr(i).isalpha())
 MIX = np.uint64(0x9E3779B97F4A7C15)
-# Of the expectation-maximisation: rounds at most, the accuracy that rules start with, the number of texts
-# that this start counts for, and the bounds of an accuracy.
-ROUNDS, START, PRIOR_TEXTS, BOUNDS = 200, 0.85, 10.0, (0.6, 0.995)
+# Of the expectation-maximisation: rounds at most, the share of good texts that it starts with, P(vote good), P(vote
+# bad) of a good and a bad text (a bad one shows some faults, not all), and the votes a class that this counts for.
+ROUNDS, SHARE, START, PRIOR_VOTES = 500, 0.8, ((0.95, 0.05), (0.6, 0.4)), 5.0
 
 
 def windows(codes: np.ndarray, width: int = WINDOW) -> np.ndarray:
@@ -88,6 +101,10 @@ def measure(text: str | None) -> tuple[int, ...]:
         len(lines),
         len(set(words)),
         int(((first >= 65) & (first <= 90)).sum()),
+        len(raw.translate(None, NO_LETTERS).decode()),
+        sum(map(COMMON.__contains__, raw.lower().split())),
+        raw.count(b"."),
+        raw.count(b"://"),
     )
 
 
@@ -111,73 +128,97 @@ def _vote(good: Column, bad: Column) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Votes in terms of FEATURES; integer comparisons, so that every engine agrees. Most rules know one
-    fault and abstain where they do not see it: the lack of one fault says little about the others."""
+    """Votes in terms of FEATURES; integer comparisons, so that every engine agrees. A rule votes where its
+    measure is clear, one way or the other, and abstains between and on texts too short for it."""
     n, chars, symbols = F.col("n_words"), F.col("word_chars"), F.col("n_symbols")
     dup, repeats, lines = F.col("n_dup_lines"), F.col("n_repeat_words"), F.col("n_lines")
-    distinct, upper = F.col("n_distinct_words"), F.col("n_upper_words")
-    never = F.lit(False)
-    prose = chars.between(4 * n, 7 * n) & (100 * symbols <= n) & (10 * distinct >= 3 * n) & (10 * upper <= 4 * n)
+    distinct, upper, letters = F.col("n_distinct_words"), F.col("n_upper_words"), F.col("n_letters")
+    common, stops, links = F.col("n_common_words"), F.col("n_full_stops"), F.col("n_links")
     return {
-        "prose": _vote(prose & (n >= 10), never),
-        "length": _vote(never, n < 10),
-        "long_words": _vote(never, chars > 12 * n),
-        "short_words": _vote(never, chars < 2 * n),
-        "symbols": _vote(never, 100 * symbols > 10 * n),
-        "lines": _vote(never, 2 * dup > lines),
-        "repeats": _vote(never, 100 * repeats > 20 * n),
-        "variety": _vote(never, (100 * distinct < 10 * n) & (n >= 50)),
-        "capitals": _vote(never, (100 * upper > 80 * n) & (n >= 20)),
+        "word_length": _vote(chars.between(4 * n, 6 * n), (chars > 10 * n) | (chars < 3 * n)),
+        "letters": _vote(100 * letters >= 92 * chars, 100 * letters < 80 * chars),
+        "symbols": _vote(100 * symbols <= n, 10 * symbols > n),
+        "common_words": _vote((n >= 30) & (100 * common >= 15 * n), (n >= 30) & (100 * common < 8 * n)),
+        "repeats": _vote((n >= 30) & (100 * repeats <= 2 * n), (n >= 10) & (100 * repeats > 10 * n)),
+        "lines": _vote((lines >= 3) & (dup == 0), (lines >= 2) & (4 * dup > lines)),
+        "variety": _vote((n >= 30) & (100 * distinct >= 40 * n), (n >= 30) & (100 * distinct < 25 * n)),
+        "capitals": _vote((n >= 30) & (100 * upper).between(2 * n, 20 * n), (n >= 10) & (100 * upper > 50 * n)),
+        "sentences": _vote((n >= 30) & n.between(5 * stops, 30 * stops), (n >= 30) & ((n < 2 * stops) | (n > 60 * stops))),
+        "links": _vote((n >= 100) & (links == 0), 20 * links > n),
     }
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Estimated accuracy of each rule: how often its votes agree with the class."""
+    """The share of good texts, and for each rule a table of P(vote | class): rows good and bad, columns the votes
+    good, bad and none."""
+
+    share: float
+    tables: dict[str, tuple[tuple[float, float, float], tuple[float, float, float]]]
 
-    accuracy: dict[str, float]
+    def weights(self) -> dict[str, tuple[float, float]]:
+        """Log odds that a good and a bad vote of each rule give, among the texts on which it votes."""
+        out = {}
+        for name, (good, bad) in self.tables.items():
+            (g1, b1), (g2, b2) = ((row[0] / (row[0] + row[1]), row[1] / (row[0] + row[1])) for row in (good, bad))
+            out[name] = (float(np.log(g1 / g2)), float(np.log(b1 / b2)))
+        return out
 
     def posterior(self) -> Column:
-        """P(good | votes) with even odds before any vote; abstaining rules leave the odds alone."""
-        odds = F.lit(0.0)
+        """P(good | votes)."""
+        odds = F.lit(float(np.log(self.share / (1 - self.share))))
+        weights = self.weights()
         for name, vote in rules().items():
-            odds = odds + vote * F.lit(float(np.log(self.accuracy[name] / (1 - self.accuracy[name]))))
+            yes, no = weights[name]
+            odds = odds + F.when(vote == 1, yes).when(vote == -1, no).otherwise(0.0)
         return F.round(1 / (1 + F.exp(-odds)), 6)
 
 
-def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Accuracy of each rule from vote patterns: ``votes`` (pattern, rule), ``counts`` (pattern).
+def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray]:
+    """The share of good texts and P(vote | class) by (rule, class, vote) from vote patterns: ``votes`` (pattern, rule)
+    and ``counts`` (pattern). Rules err independently given the class.
 
-    Rules err independently given the class, and abstain independently of it; before the votes both classes
-    are equally likely. Every rule starts as START accurate, with the weight of PRIOR_TEXTS texts, and stays
-    within BOUNDS, so that a rule never votes against its own meaning.
+    The start (SHARE, START) names the classes and counts for PRIOR_VOTES votes a class and rule; nothing else holds
+    the estimates.
     """
-    accuracy = np.full(votes.shape[1], START)
+    cast = np.stack([votes > 0, votes < 0], 2).astype(float)
+    none = (votes == 0).astype(float)
+    prior = PRIOR_VOTES * np.array(START)
+    share, right = SHARE, np.broadcast_to(prior / PRIOR_VOTES, (votes.shape[1], 2, 2))
     for _ in range(rounds):
-        good = 1 / (1 + np.exp(-(votes @ np.log(accuracy / (1 - accuracy)))))
-        agree = np.where(votes > 0, good[:, None], np.where(votes < 0, 1 - good[:, None], 0.0))
-        right, cast = counts @ agree, counts @ (votes != 0)
-        new = np.clip((right + START * PRIOR_TEXTS) / (cast + PRIOR_TEXTS), *BOUNDS)
-        moved = np.abs(new - accuracy).max()
-        accuracy = new
-        if moved < 1e-9:
+        logs = np.einsum("prv,rcv->pc", cast, np.log(right)) + np.log([share, 1 - share])
+        good = 1 / (1 + np.exp(logs[:, 1] - logs[:, 0]))
+        weight = counts[:, None] * np.stack([good, 1 - good], 1)
+        seen = np.einsum("pc,prv->rcv", weight, cast) + prior
+        new, before = seen / seen.sum(2, keepdims=True), share
+        total = weight.sum(0) + PRIOR_VOTES * np.array([SHARE, 1 - SHARE])
+        share = float(total[0] / total.sum())
+        moved = max(np.abs(new - right).max(initial=0.0), abs(share - before))
+        right = new
+        if moved < 1e-10:
             break
-    return accuracy
+    logs = np.einsum("prv,rcv->pc", cast, np.log(right)) + np.log([share, 1 - share])
+    good = 1 / (1 + np.exp(logs[:, 1] - logs[:, 0]))
+    weight = counts[:, None] * np.stack([good, 1 - good], 1)
+    silent = (np.einsum("pc,pr->rc", weight, none) / np.maximum(weight.sum(0), 1e-300))[:, :, None]
+    return share, np.concatenate([right * (1 - silent), silent], 2)
 
 
 def fit(measured: DataFrame) -> QualityModel:
-    """Estimate the model from the vote patterns of all rows of a table with FEATURES."""
+    """Estimate the model from the vote patterns of all rows of a table with FEATURES that pass the base rules: on
+    those alone the posterior decides, and the gross faults of the others would be the whole of the class "bad"."""
     names = list(rules())
     patterns = (
-        measured.select(*[vote.alias(name) for name, vote in rules().items()])
+        measured.filter(~base_failed())
+        .select(*[vote.alias(name) for name, vote in rules().items()])
         .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("rows"))
         .orderBy(*names)
         .collect()
     )
     votes = np.array([[r[n] for n in names] for r in patterns], float).reshape(-1, len(names))
-    accuracy = expectation_maximisation(votes, np.array([r["rows"] for r in patterns], float))
-    return QualityModel(dict(zip(names, map(float, accuracy), strict=True)))
+    share, tables = expectation_maximisation(votes, np.array([r["rows"] for r in patterns], float))
+    return QualityModel(share, {n: tuple(map(tuple, t.tolist())) for n, t in zip(names, tables, strict=True)})
 
 
 def judged(measured: DataFrame, model: QualityModel, least: float = 0.5) -> DataFrame:
