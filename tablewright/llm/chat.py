@@ -56,14 +56,24 @@ def depths(calls: DataFrame) -> DataFrame:
     waits = calls.select("conv_id", "call_id", "after").join(ids.withColumn("_known", F.lit(True)), ["conv_id", "after"], "left")
     # ``to`` is the call that ``steps`` waits lead to; null where the chain has ended.
     state = waits.select("conv_id", "call_id", F.when(F.col("_known"), F.col("after")).alias("to"), F.when(F.col("_known"), 1).otherwise(0).alias("steps"))
-    state = stored(state)
-    rows = state.count()
+    # No chain is longer than its conversation: what has not ended by then waits in a circle.
+    state = stored(state.join(calls.groupBy("conv_id").agg(F.count(F.lit(1)).alias("calls")), "conv_id"))
+    done = []
     span = 1
-    while span <= rows and not state.filter("to is not null").isEmpty():
+    while True:
+        open_ = (F.col("to").isNotNull()) & (F.col("calls") >= span)
+        if state.filter(open_).isEmpty():
+            break
         ends = state.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"))
-        joined = state.join(ends, ["conv_id", "to"], "left")
-        state = stored(joined.select("conv_id", "call_id", F.col("_to").alias("to"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps")))
+        ahead = state.filter(open_).join(ends, ["conv_id", "to"], "left")
+        further = ahead.select("conv_id", "call_id", F.col("_to").alias("to"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), "calls")
+        # Only conversations with an open chain are looked at again.
+        active = state.filter(open_).select("conv_id").distinct()
+        done.append(state.join(active, "conv_id", "left_anti"))
+        state = stored(further.unionByName(state.filter(~open_).join(active, "conv_id", "left_semi")))
         span *= 2
+    for part in done:
+        state = state.unionByName(part)
     return state.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("steps")).cast("bigint").alias("depth"))
 
 

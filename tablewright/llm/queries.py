@@ -178,7 +178,7 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def archive_records(pages: DataFrame) -> DataFrame:
-    """Every page as a full response, and a 304 revisit for every second page: most of them later with the
+    """Every page as a full response, and as a 304 revisit: most of them later with the
     same ETag or date, some before any response, some with another ETag, some without validators."""
     n = F.col("page_id")
     at = F.lit(START) + n * 37 % 1000 * 3600
@@ -199,7 +199,7 @@ def archive_records(pages: DataFrame) -> DataFrame:
         digest.alias("payload_digest"),
     )
     later = at + F.when(n % 10 == 0, -7200).otherwise(F.lit(1800) + n % 7 * 86400)
-    revisits = pages.filter("page_id % 2 = 0").select(
+    revisits = pages.select(
         (n * 2 + 1).alias("record_id"),
         F.lit("revisit").alias("type"),
         "url",
@@ -233,7 +233,7 @@ v AS (
   SELECT n, key, url, moment + CASE WHEN n % 10 = 0 THEN -7200 ELSE 1800 + n % 7 * 86400 END AS moment,
          CASE WHEN n % 12 = 0 THEN '"other"' WHEN n % 3 = 1 THEN 'W/' || etag END AS etag,
          CASE WHEN n % 3 = 2 THEN modified END AS modified
-  FROM c WHERE n % 2 = 0),
+  FROM c),
 best AS (
   SELECT v.n, max((c.moment, c.n)) AS b FROM v JOIN c ON c.key = v.key AND c.moment < v.moment GROUP BY 1),
 j AS (
@@ -257,18 +257,17 @@ def op7_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.withColumn("headers", F.array_join(fields, ";"))
 
 
-def tool_logs(turns: DataFrame, words_of: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def tool_logs(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Calls, results and schemas made from the conversations: every assistant turn calls a tool with its
-    own words as arguments (their first 40 characters, or ``words_of``) and waits for an earlier call; most
-    of the turns after it answer."""
-    words_of = F.substring("text", 1, 40) if words_of is None else words_of
+    whole text as an argument and waits for an earlier call; the user turns after it answer, some of them
+    to a call that nobody made."""
     turn, conv = F.col("turn"), F.col("conv_id")
     mix = conv * 31 + turn * 7
     words = F.filter(F.split("text", "[ \\n]"), lambda w: w != "")
     made = F.map_from_entries(
         F.filter(
             F.array(
-                F.struct(F.lit("query").alias("key"), words_of.alias("value")),
+                F.struct(F.lit("query").alias("key"), F.col("text").alias("value")),
                 F.struct(F.when(mix % 5 != 0, "limit").alias("key"), F.when(mix % 11 == 0, "many").otherwise((mix % 50).cast("string")).alias("value")),
                 F.struct(F.when(mix % 4 == 0, "exact").alias("key"), F.when(mix % 8 == 0, "true").otherwise("false").alias("value")),
                 F.struct(F.when(mix % 13 == 0, "extra").alias("key"), F.size(words).cast("string").alias("value")),
@@ -284,8 +283,9 @@ def tool_logs(turns: DataFrame, words_of: Column | None = None) -> tuple[DataFra
         made.alias("arguments"),
         F.when(mix % 3 != 0, F.concat(F.lit("c"), (turn - 2).cast("string"))).alias("after"),
     )
-    results = turns.filter("role = 'user' and (conv_id + turn) % 7 <> 0").select(
-        "conv_id", (turn + 0).alias("turn"), F.concat(F.lit("c"), (turn - 1).cast("string")).alias("call_id"), F.col("text").alias("content")
+    known = F.when((conv + turn) % 7 == 0, "unknown").otherwise("c")
+    results = turns.filter("role = 'user'").select(
+        "conv_id", (turn + 0).alias("turn"), F.concat(known, (turn - 1).cast("string")).alias("call_id"), F.col("text").alias("content")
     )
     spark = turns.sparkSession
     schemas = spark.createDataFrame(
@@ -322,7 +322,7 @@ every_call AS (
   FROM base WHERE role = 'assistant'),
 calls AS (SELECT * FROM every_call WHERE nth = 1),
 parts AS (
-  SELECT *, left(text, 40) AS q, CASE WHEN mix % 11 = 0 THEN 'many' ELSE CAST(mix % 50 AS VARCHAR) END AS lim,
+  SELECT *, text AS q, CASE WHEN mix % 11 = 0 THEN 'many' ELSE CAST(mix % 50 AS VARCHAR) END AS lim,
          CASE WHEN mix % 8 = 0 THEN 'true' ELSE 'false' END AS ex FROM calls),
 judged AS (
   SELECT *, '{{' || array_to_string(list_filter([
@@ -339,8 +339,8 @@ chain(conv_id, call_id, depth) AS (
   SELECT c.conv_id, c.call_id, 0 FROM calls c LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.call_id = c.after WHERE p.call_id IS NULL
   UNION ALL SELECT c.conv_id, c.call_id, k.depth + 1 FROM chain k JOIN calls c ON c.conv_id = k.conv_id AND c.after = k.call_id),
 results AS (
-  SELECT conv_id, 'c' || (turn - 1) AS call_id, count(*) AS n, min((turn, text)) AS r
-  FROM base WHERE role = 'user' AND (conv_id + turn) % 7 <> 0 GROUP BY ALL)
+  SELECT conv_id, CASE WHEN (conv_id + turn) % 7 = 0 THEN 'unknown' ELSE 'c' END || (turn - 1) AS call_id, count(*) AS n, min((turn, text)) AS r
+  FROM base WHERE role = 'user' GROUP BY ALL)
 SELECT j.conv_id, j.call_id, j.turn, CAST(k.depth AS BIGINT) AS depth,
        CASE WHEN r.n IS NULL THEN 'open' WHEN r.r[1] < j.turn THEN 'early' ELSE 'answered' END AS status,
        CAST(coalesce(r.n, 0) AS BIGINT) AS n_results, j.problems = '' AS valid, j.problems,
@@ -355,7 +355,4 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.linked(*tool_logs(table(spark, folder, "conversations")))
 
 
-@query("op10_whole_turns", OP10_SQL.replace("left(text, 40) AS q", "text AS q"))
-def op10_whole_turns(spark: SparkSession, folder: str) -> DataFrame:
-    """The same calls with the whole turn as argument: every character is escaped and serialised."""
-    return chat.linked(*tool_logs(table(spark, folder, "conversations"), F.col("text")))
+query("op10_whole_turns", OP10_SQL)(op10_chat_formatting)  # the name that earlier versions gave to whole turns
