@@ -18,7 +18,7 @@ gets more than ``MOST`` times its own words, what is left over goes to the other
 
 Scale: a document's place in its source's stream comes from chunks of about ``CHUNK`` documents (by a hash of
 its id and size), so a source of any size is spread over many tasks; one row per chunk is summed in order.
-Slots are made from ranges of ``RANGE`` slots, dealt out before they are unrolled. All arithmetic is in whole
+Slots are made from ranges of ``RANGE`` slots, dealt out over as many tasks before they are unrolled. All arithmetic is in whole
 numbers, so that runs agree whatever the number of tasks.
 
 Defined cases: a null or empty text has no words and nothing of it is taken; null sources are one source;
@@ -39,7 +39,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST = 3
 BLOCK, SHARD = 64, 256
-CHUNK, RANGE = 4096, 16_384
+CHUNK, RANGE = 4096, 8_192
 SEED, ROUNDS = 20_011, 24
 # A prime below 2^31: products of two remainders fit into 64 bits.
 PRIME = 2_147_483_647
@@ -122,13 +122,15 @@ def slots(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, most: int
     # One row per source is summed in source order.
     before = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     placed = stored(counted.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0))))
-    total = whole(placed.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
+    total_slots = placed.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    total = whole(total_slots)
     epochs = placed.select("idx", "n_blocks", "first", "full", "part", F.explode(F.sequence(whole(0), whole(most))).alias("epoch"))
     length = F.when(F.col("epoch") < F.col("full"), F.col("n_blocks")).when(F.col("epoch") == F.col("full"), F.col("part")).otherwise(0)
     epochs = epochs.withColumn("length", length).filter("length > 0")
     ranges = epochs.select("*", F.explode(F.sequence(whole(0), quotient(F.col("length") - 1, RANGE))).alias("range"))
     stream = F.col("idx") * (most + 1) + F.col("epoch") + 1
-    dealt = ranges.repartition("idx", "epoch", "range").withColumn("keys", round_keys(F.col("n_blocks"), stream))
+    tasks = max(sources.sparkSession.sparkContext.defaultParallelism, total_slots // RANGE)
+    dealt = ranges.repartition(tasks, "idx", "epoch", "range").withColumn("keys", round_keys(F.col("n_blocks"), stream))
     low = F.col("range") * RANGE
     each = dealt.select("*", F.explode(F.sequence(low, F.least(low + RANGE, F.col("length")) - 1)).alias("i"))
     stratum = F.col("first") + F.col("epoch") * F.col("n_blocks") + F.col("i")
@@ -162,7 +164,8 @@ def mixed(
     """(key, size, source_size, target, taken) of every row: how many of its words the mix takes, repeats counted."""
     rows = stored(measured(docs, key, source, text))
     sources = stored(targets(rows))
-    taken = slots(sources, block, shard).groupBy("idx", "block").agg(F.count(F.lit(1)).alias("times"))
+    # Stored, so that the join knows its size: Catalyst's estimate does not see that ranges are unrolled.
+    taken = stored(slots(sources, block, shard).groupBy("idx", "block").agg(F.count(F.lit(1)).alias("times")))
     placed = stored(placed_rows(rows, sources))
     end = F.col("start") + F.col("size")
     blocks = F.sequence(quotient(F.col("start"), block), quotient(end - 1, block))
