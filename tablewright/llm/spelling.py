@@ -4,7 +4,7 @@ One inserted, deleted or replaced letter changes a word's letter counts by at mo
 takes one letter away and adds another, an insertion adds one. So the words that can be near lie in a small box
 around a word's count vector, one box for each pair of lengths (the same length, or one more).
 
-1. Count the words of all texts, combined in the workers before the shuffle.
+1. Count the words of all texts, combined before the shuffle.
 2. Of every length, a k-d tree over the count vectors: its upper levels are planned on the driver from at most
    ``SAMPLE`` words (they only decide how even the cells are) and have at most ``CELLS`` cells. Every word goes
    to the cell that holds its vector, and as a query to every cell that its box touches.
@@ -25,9 +25,7 @@ read.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,15 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import pieces, ship, stored
+from tablewright.llm.common import ship, stored
 
-RUN = re.compile("[a-z\u00c0-\u00ff]+")
+RUN = "[A-Za-z\u00c0-\u00ff]+"
 # Planned noise: one run of so many loses a letter.
 NOISE = 97
 SHORTEST, FEWEST, RATIO = 5, 3, 2
 SAMPLE, CELLS, CELL_ROWS, LEAF = 100_000, 16_384, 8_192, 24
-# Distinct words of one task that are held before they are passed on.
-HELD = 200_000
 # Queries that walk a tree together; words of many letters come in smaller blocks.
 BLOCK, BLOCK_LETTERS = 4_096, 1 << 20
 # Letters a-z and the 64 code points from U+00C0.
@@ -54,43 +50,22 @@ AXIS[ord("a") : ord("z") + 1] = np.arange(26)
 AXIS[0xC0:] = 26 + np.arange(64)
 
 
-def runs_of(ident: str, text: bytes) -> Counter:
-    """The words of one text (UTF-8) with their counts, planned noise applied."""
-    out: Counter = Counter()
-    start = zlib.crc32(f"{ident}:".encode())
-    for run, n in Counter(RUN.findall(text.lower().decode())).items():  # bytes: only A-Z change
-        mark = zlib.crc32(run.encode(), start)
-        if mark % NOISE == 0:
-            at = mark % len(run)
-            run = run[:at] + run[at + 1 :]
-        if len(run) >= SHORTEST:
-            out[run] += n
-    return out
-
-
 def word_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(word, n) of all words that occur often enough."""
-    ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            row = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-            held.clear()
-            return row
-
-        for piece in pieces(batches, "text"):
-            for ident, value in zip(piece.column("key").to_pylist(), piece.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                if value:
-                    held.update(runs_of("" if ident is None else str(ident), value))
-            if len(held) > HELD:
-                yield flush()
-        yield flush()
-
-    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
-    counted = slim.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= FEWEST)
+    """(word, n) of all words that occur often enough; planned noise applied."""
+    ident = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    runs = docs.select(ident.alias("ident"), F.explode(F.regexp_extract_all(F.col(text), F.lit(RUN), F.lit(0))).alias("run"))
+    size = F.length("run")
+    # Only A-Z change case; the noise only takes letters away, so that shorter runs are never words.
+    plain = F.octet_length("run") == size
+    lowered = F.when(plain, F.lower("run")).otherwise(F.translate("run", string.ascii_uppercase, string.ascii_lowercase))
+    marked = runs.filter(size >= SHORTEST).withColumn("run", lowered).withColumn("mark", F.crc32(F.concat("ident", F.lit(":"), "run").cast("binary")))
+    at = (F.col("mark") % size).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, size))
+    word = F.when(F.col("mark") % NOISE == 0, less).otherwise(F.col("run"))
+    counted = marked.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # Stored before the words that the noise made too short go: a filter on the word would be pushed below the
+    # aggregation, and every run be worked out twice.
+    return stored(counted.filter(F.col("n") >= FEWEST)).filter(F.length("word") >= SHORTEST)
 
 
 def vectors(words: list[bytes]) -> np.ndarray:
@@ -104,16 +79,17 @@ def vectors(words: list[bytes]) -> np.ndarray:
 
 def best_split(counts: np.ndarray) -> tuple[int, int] | None:
     """(axis, limit) that halves the rows best: at most ``limit`` goes left. None for equal rows."""
-    best, n = None, len(counts)
-    spread = np.flatnonzero(counts.min(0) != counts.max(0))
-    for axis in spread.tolist():
-        values, sizes = np.unique(counts[:, axis], return_counts=True)
-        left = np.cumsum(sizes)[:-1]
-        i = int(np.argmin(np.abs(2 * left - n)))
-        score = abs(2 * int(left[i]) - n)
-        if best is None or score < best[0]:
-            best = (score, axis, int(values[i]))
-    return best and best[1:]
+    n = len(counts)
+    axes = np.flatnonzero(counts.min(0) != counts.max(0))
+    if not len(axes):
+        return None
+    used = counts[:, axes]
+    # The best limit of an axis is its median or the number below.
+    middle = np.minimum(np.partition(used, n // 2, axis=0)[n // 2], used.max(0) - 1)
+    limits = np.stack([middle, np.maximum(middle - 1, used.min(0))])
+    uneven = np.abs(2 * (used[None, :, :] <= limits[:, None, :]).sum(1) - n)
+    row, axis = np.unravel_index(np.argmin(uneven), uneven.shape)
+    return int(axes[axis]), int(limits[row, axis])
 
 
 @dataclass(frozen=True)
@@ -394,7 +370,7 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(word, n, n_near, form, form_n, root) of every word: see the module's text."""
-    words = stored(word_counts(docs, key, text))
+    words = word_counts(docs, key, text)
     near = near_words(words)
     joined = words.join(near, "word", "left").withColumn("ok", F.col("best_n") >= RATIO * F.col("n"))
     known = stored(joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(F.col("ok"), F.col("best")).alias("form"), F.when(F.col("ok"), F.col("best_n")).alias("form_n")))
