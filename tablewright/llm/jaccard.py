@@ -12,18 +12,21 @@ stored as one union, a query document is bounded against the union, and only gro
    (connected components).
 3. Matrix: one row per leading token and group, with the largest overlap that the token still allows to any
    member. A query meets a group of higher rank (size, then id); the leading tokens that it shares with the
-   group's union bound its overlap with every member. Groups that pass are opened, their members bounded in
-   the same way one by one, and what is left compared exactly. Groups that turn out linked are merged.
+   group's union bound its overlap with every member. Groups that pass are opened.
+4. Opened groups lie in blocks by size band and hash. A query goes to the blocks of the bands that its size
+   allows, as one row with its leading tokens, and a block counts what it shares with every member. First only
+   the best member of a group is compared exactly with a query: one link merges the two groups, and most
+   queries are done. Those that did not link are then compared with every member that the count allows.
 
 Exactness: the order only steers the work. A pair that links has a first common token; there, with n and m
 tokens from that place on, min(n, m) must reach the overlap that the threshold asks of their sizes; beside
 this, the sizes and the count of shared leading tokens (see ``enough``) prune. Sets are compared by 64-bit
 hashes.
 
-Skew: equal sets are reduced before the shuffle. Tokens outside the ``HOT`` list hold at most about a
-millionth of all tokens each. The list's own tokens, whose documents can be a large part of the corpus,
+Skew: equal sets are reduced before the shuffle. Tokens outside the ``HOT`` list hold at most a few
+millionths of all tokens each. The list's own tokens, whose documents can be a large part of the corpus,
 are aggregated before the shuffle and reach the matrix once per group. Comparisons with one common document
-are dealt out by salt.
+are dealt out by salt. No pairs of a query and a group's members are made before they have passed the count.
 
 Defined cases: a null or empty text has no shingles and links with nothing; fewer words than five make one
 shingle of their own kind; rows with one key count as one document with several sets; a null key gives a
@@ -51,7 +54,9 @@ WIDTH = 5
 PART, WHOLE = 75, 100
 HOT = 262_144
 # Tokens looked at together for repeats, and the count in such a stretch from which a token is reported.
-STRETCH, REPEATS = 8_000_000, 3
+STRETCH, REPEATS = 1_000_000, 3
+# Leading tokens of the members in one block of an opened group.
+BLOCK_TOKENS = 262_144
 # Documents compared with one common document in one salt, and ids that may be broadcast.
 SALT_ROWS, BROADCAST_IDS = 512, 1_000_000
 # Groups are formed from pairs that share one leading token for so many of the smaller set's tokens.
@@ -236,6 +241,12 @@ def join_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
 
+def attached(rows: DataFrame, values: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join with a table that has one row per key: broadcast if a count shows that it is small, else shuffled."""
+    values = stored(values)
+    return rows.join(F.broadcast(values) if values.count() <= BROADCAST_IDS else values, on, how)
+
+
 def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v), u common to many, whose sets link. The sets are made again from the texts."""
     spark = docs.sparkSession
@@ -291,7 +302,7 @@ def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
 
 def across_groups(shared: DataFrame, groups: DataFrame) -> DataFrame:
     """(token, doc, n, left, hot, group): the leading tokens that documents of different groups have."""
-    named = shared.select("token", "doc", "n", "left", "hot").join(groups.withColumnRenamed("node", "doc"), "doc", "left")
+    named = attached(shared.select("token", "doc", "n", "left", "hot"), groups.withColumnRenamed("node", "doc"), ["doc"])
     named = named.withColumn("group", F.coalesce("component", "doc")).drop("component")
     # Tokens of one group only have done their work.
     same = Window.partitionBy("token")
@@ -316,27 +327,18 @@ def likely(rows: DataFrame) -> DataFrame:
     return counted.filter(LIKELY * F.col("common") >= F.col("n")).select("u", "v")
 
 
-def strays(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (u, v): documents beside a member of the largest group that has a leading token of theirs."""
-    sized = rows.join(group_sizes(groups), "group", "left")
-    top = sized.groupBy("token").agg(F.max(F.struct(F.coalesce("size", F.lit(1)).alias("size"), "group", "doc")).alias("top"))
-    beside = rows.join(top, "token").filter(F.col("group") != F.col("top.group"))
-    return likely(beside.select(F.col("top.doc").alias("u"), F.col("doc").alias("v"), "n"))
-
-
-def between_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (u, v) of documents of different groups that may link, by the token-group matrix over the rows of
-    ``across_groups``."""
+def meetings(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(doc, target): groups of higher rank that may hold a link of a document, by the token-group matrix over the
+    rows of ``across_groups``."""
     # The matrix: unions of the groups' leading tokens.
     matrix = rows.groupBy("token", "group").agg(F.max("left").alias("most_left"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    matrix = stored(matrix)
-    sizes = group_sizes(groups)
+    sizes = stored(group_sizes(groups))
 
     def sized(df: DataFrame) -> DataFrame:
-        return df.join(sizes, "group", "left").withColumn("rank", F.struct(F.coalesce("size", F.lit(1)), "group")).drop("size")
+        return attached(df, sizes, ["group"]).withColumn("rank", F.struct(F.coalesce("size", F.lit(1)), "group")).drop("size")
 
     queries = sized(rows).alias("q")
-    unions = sized(matrix).alias("g")
+    unions = sized(stored(matrix)).alias("g")
     # Only a group of higher rank is queried, so that a huge group meets few queries and asks none of small ones.
     meets = (
         (F.col("q.token") == F.col("g.token"))
@@ -357,19 +359,82 @@ def between_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
             F.max(first).alias("first"),
         )
     )
-    passed = stored(shares.filter(F.col("first") & enough(F.col("common"), F.col("n"), F.col("m"), F.col("most"))).select("doc", "target"))
-    asked = rows.select("token", "doc", "n")
-    opened = asked.join(passed, "doc")
-    members = rows.select("token", F.col("group").alias("target"), F.col("doc").alias("member"), F.col("n").alias("m"))
-    pairs = opened.join(members, ["token", "target"]).groupBy("doc", "n", "member", "m").agg(F.count(F.lit(1)).alias("common"))
-    sizes_fit = WHOLE * F.least("n", "m") >= PART * F.greatest("n", "m")
-    pairs = pairs.filter(sizes_fit & enough(F.col("common"), F.col("n"), F.col("m"), F.col("m")))
-    return pairs.select(F.col("member").alias("u"), F.col("doc").alias("v"))
+    return shares.filter(F.col("first") & enough(F.col("common"), F.col("n"), F.col("m"), F.col("most"))).select("doc", "target")
+
+
+def opened(lists: DataFrame, meets: DataFrame, every: bool) -> DataFrame:
+    """Pairs (u, v) of a member of a group and a document that meets it, by what they share of their leading tokens:
+    all that may link, or the best of each group. ``lists`` has doc, n, group and tokens."""
+    ratio = float(np.log(WHOLE / PART))
+    place = F.log("n") / ratio
+    members = lists.withColumnRenamed("group", "target")
+    members = join_ids(members, meets.select("target").distinct(), "target", "left_semi").withColumn("band", F.floor(place).cast("int"))
+    members = stored(members)
+    parts = members.groupBy("target", "band").agg(F.ceil(F.sum(F.size("tokens")) / BLOCK_TOKENS).cast("int").alias("parts"))
+    parts = stored(parts)
+    block = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("block")
+    held = attached(members, parts, ["target", "band"], "inner").select("target", "band", block, F.lit(0).alias("side"), "doc", "n", "tokens")
+    asked = meets.join(lists.select("doc", "n", "tokens"), "doc")
+    # Sizes that fit differ by one band at most.
+    bands = F.sequence(F.floor(place - 1 - 1e-9).cast("int"), F.floor(place + 1 + 1e-9).cast("int"))
+    asked = attached(asked.withColumn("band", F.explode(bands)), parts, ["target", "band"], "inner")
+    blocks = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block")
+    asked = asked.select("target", "band", blocks, F.lit(1).alias("side"), "doc", "n", "tokens")
+    ship(lists.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, member, tokens, owners = None, None, None, None
+        found: tuple[list, ...] = ([], [], [], [])
+        docs, ns, lists = [], [], []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("target", "band", "block", "side", "doc", "n"))
+            flat = batch.column("tokens")
+            ends, values = flat.offsets.to_numpy(), flat.values.to_numpy(zero_copy_only=False)
+            for i, (target, band, block, side, doc, n) in enumerate(zip(*columns, strict=True)):
+                own = values[ends[i] : ends[i + 1]]
+                if (target, band, block) != place:
+                    place, member = (target, band, block), None
+                    docs, ns, lists = [], [], []
+                if side == 0:
+                    docs.append(doc)
+                    ns.append(n)
+                    lists.append(own.copy())
+                    continue
+                if not docs:
+                    continue
+                if member is None:
+                    member, sizes = np.array(docs), np.array(ns)
+                    tokens = np.concatenate(lists)
+                    order = np.argsort(tokens, kind="stable")
+                    tokens, owners = tokens[order], np.repeat(np.arange(len(docs)), list(map(len, lists)))[order]
+                first, last = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+                spans = last - first
+                at = np.repeat(first - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+                common = np.bincount(owners[at], minlength=len(docs))
+                behind = -(-PART * np.maximum(sizes, n) // WHOLE) - 1
+                slack = (WHOLE + PART) * (common + behind) - PART * (sizes + n)
+                fits = (common > 0) & (slack >= 0) & (WHOLE * np.minimum(sizes, n) >= PART * np.maximum(sizes, n))
+                chosen = np.flatnonzero(fits)
+                if len(chosen) and not every:
+                    chosen = chosen[[np.argmax(slack[chosen] / (sizes[chosen] + n))]]
+                for column, value in zip(found, (member[chosen], np.full(len(chosen), doc), np.full(len(chosen), target), slack[chosen] / (sizes[chosen] + n)), strict=True):
+                    column.append(value)
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["u", "v", "target", "score"])
+                found = ([], [], [], [])
+
+    dealt = held.unionAll(asked).repartition("target", "band", "block").sortWithinPartitions("target", "band", "block", "side")
+    pairs = dealt.mapInArrow(count, "u long, v long, target long, score double")
+    if every:
+        return pairs.select("u", "v")
+    best = pairs.groupBy("v", "target").agg(F.max(F.struct("score", "u")).alias("best"))
+    return best.select(F.col("best.u").alias("u"), "v")
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) for every row: its set's size and the smallest key that it reaches
     over links."""
+    spark = docs.sparkSession
     hot = hot_tokens(docs, text)
     leading = stored(leading_tokens(docs, key, text, hot))
     known = leading.filter(F.col("doc").isNotNull())
@@ -377,25 +442,33 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     repeated = least.filter("v < last").drop("last")
     equal = stored(known.join(repeated, ["set_hi", "set_lo"]).select(F.col("doc").alias("u"), "v").filter("u <> v"))
     shared = stored(shared_tokens(known.select("doc", "n", "cold", "hot")))
-    release(docs.sparkSession)
+    release(spark)
     stars = shared.filter("doc <> lead").filter(WHOLE * F.least("n", "lead_n") >= PART * F.greatest("n", "lead_n"))
     tried = stored(likely(stars.select(F.col("lead").alias("u"), F.col("doc").alias("v"), F.least("n", "lead_n").alias("n"))))
     links = equal.unionAll(linked(docs, key, text, tried))
-    release(docs.sparkSession)
+    release(spark)
     groups = stored(components(links))
     rows = across_groups(shared, groups)
-    # Two more rounds: strays join the large group beside them, then every pair of groups is settled.
-    for meet in (strays, between_groups):
-        met = meet(rows, groups)
+    meets = stored(meetings(rows, groups))
+    release(spark)
+    askers = meets.select("doc").distinct()
+    wanted = attached(rows, meets.select(F.col("target").alias("group")).distinct().withColumn("_in", F.lit(True)), ["group"])
+    wanted = attached(wanted, askers.withColumn("_asks", F.lit(True)), ["doc"]).filter("_in or _asks")
+    lists = stored(wanted.groupBy("doc", "n", "group").agg(F.collect_list("token").alias("tokens")))
+    for every in (False, True):
+        pairs = opened(lists, meets, every)
         for a, b in (("u", "v"), ("v", "u")):  # what was compared before
-            met = met.join(tried.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
-        met = stored(met)
-        found = linked(docs, key, text, met)
-        release(docs.sparkSession)
+            pairs = pairs.join(tried.select(F.col(a).alias("u"), F.col(b).alias("v")), ["u", "v"], "left_anti")
+        pairs = stored(pairs)
+        found = linked(docs, key, text, pairs)
+        release(spark)
         if not found.isEmpty():
             groups = stored(components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(found)))
-        if meet is strays:
-            rows, tried = across_groups(rows.drop("group"), groups), tried.unionAll(met)
-    found = groups
-    placed = leading.select("doc", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("node", "doc"), "doc", "left")
+        if not every:
+            tried = tried.unionAll(pairs)
+            for column in ("doc", "target"):  # where the two are one group by now, nothing is left to find
+                now = groups.select(F.col("node").alias(column), F.col("component").alias(f"_{column}"))
+                meets = attached(meets, now, [column])
+            meets = stored(meets.filter(F.coalesce("_doc", "doc") != F.coalesce("_target", "target")).select("doc", "target"))
+    placed = leading.select("doc", F.col("n").alias("n_shingles")).join(groups.withColumnRenamed("node", "doc"), "doc", "left")
     return placed.select(F.col("doc").alias(key), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
