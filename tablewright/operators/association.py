@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import attach_scalars, chi_square_tail, col, correlation, unpivot
 from tablewright.operators.project import require_columns
-from tablewright.session import reused
+from tablewright.session import durable, reused
 
 # Rows of one partition of a learner's input.
 LAYOUT_ROWS = 20_000
@@ -164,15 +164,15 @@ def assemble(df: DataFrame, features: Sequence[str], output: str = "features", k
 
 
 def forest_importance(
-    df: DataFrame, features: Sequence[str], target: str, trees: int = 100, depth: int = 10, k: int = 10, seed: int = 42
+    df: DataFrame, features: Sequence[str], target: str, trees: int = 100, depth: int | None = None, k: int = 10, seed: int = 42
 ) -> tuple[DataFrame, float]:
     """Top features of a random forest fitted on all rows, and its accuracy on them."""
-    from pyspark.ml.classification import RandomForestClassifier
+    from tablewright.operators import trees as learners
 
-    data = training_rows(df, features, target).select("features", col(target).cast("double").alias("label"))
-    model = fit_on(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), data)
-    accuracy = model.transform(data).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")).first()["a"]
-    return importance_frame(df, features, model.featureImportances.toArray()).limit(k), accuracy
+    model = learners.fit_forest_classifier(df, features, target, trees, depth or learners.DEEPEST, 2, 1, False, seed=seed)
+    labelled = df.filter(col(target).isNotNull())
+    accuracy = model.score(labelled, [target]).agg(F.avg((F.col("y_pred") == col(target)).cast("double")).alias("a")).first()["a"]
+    return importance_frame(df, features, model.importances).limit(k), accuracy
 
 
 def importance_frame(df: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
@@ -183,25 +183,31 @@ def importance_frame(df: DataFrame, features: Sequence[str], values: Sequence[fl
 
 
 def eliminate_features(
-    df: DataFrame, features: Sequence[str], target: str, keep: int = 10, trees: int = 50, depth: int = 5, step: int = 1, seed: int = 42
+    df: DataFrame, features: Sequence[str], target: str, keep: int = 10, trees: int = 50, depth: int | None = None, step: int = 1, seed: int = 42
 ) -> DataFrame:
     """Recursive elimination by forest importance: (feature, rank), 1 = kept, 2 = dropped last.
 
-    The input should be a stored table or cheap to re-read: it is scanned once per round. ``step``
-    drops several features per round.
+    The labelled rows with all features are stored once, and the cut points of the bins are found once; every
+    round reads the columns that are left. ``step`` drops several features per round.
     """
-    from pyspark.ml.classification import RandomForestClassifier
+    from tablewright.operators import growing
+    from tablewright.operators import trees as learners
 
+    numbers = [F.coalesce(col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
+    rows = durable(df.filter(col(target).isNotNull()).select(col(target), *numbers, F.xxhash64(*[col(c) for c in df.columns]).alias("_key")))
+    classes = learners._classes(rows, target)
+    cuts = dict(zip(features, growing.limits(rows, features), strict=True))
     left, dropped = list(features), []
     while len(left) > keep:
-        data = training_rows(df, left, target).select("features", col(target).cast("double").alias("label"))
-        model = fit_on(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), data)
-        scores = dict(zip(left, model.featureImportances.toArray(), strict=True))
+        model = growing.fit(
+            rows, left, target, classes, trees, depth or growing.DEEPEST, subset="sqrt", bootstrap=True, seed=seed, cuts=[cuts[f] for f in left]
+        )
+        scores = dict(zip(left, model.importances, strict=True))
         worst = sorted(left, key=lambda f: (scores[f], f))[: min(step, len(left) - keep)]
         dropped.append(worst)
         left = [f for f in left if f not in worst]
-    rows = [(f, 1) for f in left] + [(f, len(dropped) - i + 1) for i, batch in enumerate(dropped) for f in batch]
-    return df.sparkSession.createDataFrame(rows, "feature string, rank int").orderBy("rank", "feature")
+    ranks = [(f, 1) for f in left] + [(f, len(dropped) - i + 1) for i, batch in enumerate(dropped) for f in batch]
+    return df.sparkSession.createDataFrame(ranks, "feature string, rank int").orderBy("rank", "feature")
 
 
 def vote(ranked: DataFrame, weights: Mapping[str, int] = VOTE_WEIGHTS, per_method: int = 10, take: int = 15) -> DataFrame:

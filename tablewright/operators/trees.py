@@ -1,28 +1,22 @@
-"""Tree learners on MLlib, with the parameters of the usual tabular forests."""
+"""Tree learners with the parameters of the usual tabular forests: trees and forests from ``growing``, boosting by MLlib."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col, md5_bits
+from tablewright.operators import growing
 from tablewright.operators.association import assemble, fit_on, fixed_layout, importance_frame, training_rows
 from tablewright.operators.linear import balanced_weights
 from tablewright.session import reused
 
-# MLlib refuses deeper trees.
-DEEPEST = 30
-
-
-def _depth(depth: int) -> int:
-    if depth > DEEPEST:
-        raise ValueError(f"trees deeper than {DEEPEST} are not to be had; got {depth}")
-    return depth
+DEEPEST = growing.DEEPEST
 
 
 def _rows(df: DataFrame, features: Sequence[str], target: str, balanced: bool, keep: Sequence[str] = ()) -> DataFrame:
@@ -30,11 +24,10 @@ def _rows(df: DataFrame, features: Sequence[str], target: str, balanced: bool, k
     return training_rows(rows, features, target, ["class_weight", *keep])
 
 
-def fit_forest_regressor(df, features, target, trees=100, depth=DEEPEST, min_leaf=1, seed=42, max_bins=32):
-    learner = RandomForestRegressor(
-        labelCol=target, numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf, seed=seed, maxBins=max_bins, featureSubsetStrategy="all"
-    )
-    return fit_on(learner, _rows(df, features, target, False))
+def fit_forest_regressor(df, features, target, trees=100, depth=DEEPEST, min_split=2, min_leaf=1, seed=42, bins=growing.BINS):
+    return growing.fit(
+        df, features, target, trees=trees, depth=depth, min_split=min_split, min_leaf=min_leaf, bootstrap=True, seed=seed, bins=bins
+    )
 
 
 def fit_boosting_regressor(df, features, target, rounds=100, rate=0.1, depth=3, subsample=1.0, seed=42):
@@ -42,18 +35,34 @@ def fit_boosting_regressor(df, features, target, rounds=100, rate=0.1, depth=3,
     return fit_on(learner, _rows(df, features, target, False))
 
 
-def fit_forest_classifier(df, features, target, trees=200, depth=20, min_leaf=2, balanced=True, seed=42):
-    learner = RandomForestClassifier(
-        labelCol=target, weightCol="class_weight", numTrees=trees, maxDepth=_depth(depth), minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed
+def _classes(df: DataFrame, target: str) -> list:
+    """The target's values, in order; a target of more than a hundred is no class."""
+    rows = df.select(col(target).alias("y")).filter("y is not null").distinct().orderBy("y").limit(101).collect()
+    if len(rows) > 100:
+        raise ValueError(f"{target} has more than a hundred classes")
+    return [int(r["y"]) for r in rows]
+
+
+def fit_forest_classifier(
+    df, features, target, trees=200, depth=20, min_split=5, min_leaf=2, balanced=True, subset="sqrt", seed=42, bins=growing.BINS
+):
+    """Rows are drawn with their class weights; a class's weight is of all rows, not of each draw."""
+    rows = balanced_weights(df, target) if balanced else df
+    return growing.fit(
+        rows, features, target, _classes(df, target), trees, depth, min_split, min_leaf, 0.0, subset, "gini", True,
+        "class_weight" if balanced else None, bins, seed,
     )
-    return fit_on(learner, _rows(df, features, target, balanced))
 
 
-def fit_tree_classifier(df, features, target, criterion="gini", depth=10, min_leaf=10, min_gain=0.0, balanced=True, seed=42):
-    learner = DecisionTreeClassifier(
-        labelCol=target, weightCol="class_weight", impurity=criterion, maxDepth=depth, minInstancesPerNode=min_leaf, minInfoGain=min_gain, seed=seed
+def fit_tree_classifier(
+    df, features, target, criterion="gini", depth=10, min_split=20, min_leaf=10, min_gain=0.0, balanced=True, seed=42, bins=growing.BINS
+):
+    """``min_gain``: the least fall of impurity, as a share of a node's weight, that a split must bring."""
+    rows = balanced_weights(df, target) if balanced else df
+    return growing.fit(
+        rows, features, target, _classes(df, target), 1, depth, min_split, min_leaf, min_gain, "all", criterion, False,
+        "class_weight" if balanced else None, bins, seed,
     )
-    return fit_on(learner, _rows(df, features, target, balanced))
 
 
 def fit_boosting_classifier(df, features, target, key, rounds=100, rate=0.1, depth=3, validation=0.1, tolerance=1e-4, seed=42):
@@ -69,6 +78,8 @@ def fit_boosting_classifier(df, features, target, key, rounds=100, rate=0.1, dep
 
 
 def score_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    if isinstance(model, growing.Forest):
+        return model.score(df, keep)
     scored = model.transform(assemble(df, features, keep=keep))
     return scored.select(
         *[col(c) for c in keep], F.col("prediction").cast("int").alias("y_pred"), vector_to_array("probability")[1].alias("score")
@@ -76,19 +87,48 @@ def score_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[
 
 
 def score_values(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    if isinstance(model, growing.Forest):
+        return model.score(df, keep)
     scored = model.transform(assemble(df, features, keep=keep))
     return scored.select(*[col(c) for c in keep], F.col("prediction"))
 
 
 def importances(df: DataFrame, features: Sequence[str], model, top: int | None = None) -> DataFrame:
-    out = importance_frame(df, features, model.featureImportances.toArray())
+    values = model.importances if isinstance(model, growing.Forest) else model.featureImportances.toArray()
+    out = importance_frame(df, features, values)
     return out if top is None else out.limit(top)
 
 
-def tree_shape(spark: SparkSession, model) -> DataFrame:
+def tree_shape(spark: SparkSession, model: growing.Forest) -> DataFrame:
     """Depth, node and leaf count and the printed rules of one tree."""
-    return spark.createDataFrame(
-        [(model.depth, model.numNodes, (model.numNodes + 1) // 2, model.toDebugString)], "depth int, nodes int, leaves int, rules string"
+    nodes = model.nodes()
+    leaves = sum(feature is None for _, feature, *_ in nodes)
+    return spark.createDataFrame([(model.depth(), len(nodes), leaves, tree_rules(model))], "depth int, nodes int, leaves int, rules string")
+
+
+def tree_rules(model: growing.Forest, levels: int | None = None) -> str:
+    """The tests of one tree, a line each, indented by depth; ``levels`` ends it early."""
+    nodes = {n: (feature, limit, rows, value) for n, feature, limit, rows, value in model.nodes()}
+    lines, stack = [], [(1, "")]
+    while stack:
+        n, test = stack.pop()
+        feature, limit, rows, value = nodes[n]
+        depth = n.bit_length() - 1
+        ended = feature is None or (levels is not None and depth >= levels)
+        said = f" -> {[round(v, 4) for v in value]} of {rows:g}" if ended else ""
+        lines.append("  " * depth + (test or "all") + said)
+        if not ended:
+            stack += [(2 * n + 1, f"{feature} > {limit:g}"), (2 * n, f"{feature} <= {limit:g}")]
+    return "\n".join(lines)
+
+
+def overfit_gap(model: growing.Forest, train: DataFrame, test: DataFrame, label: str) -> DataFrame:
+    """(train_accuracy, test_accuracy, gap) of a fitted tree or forest."""
+    right = F.avg((F.col("y_pred") == col(label)).cast("double"))
+    both = train.select("*", F.lit(True).alias("_train")).unionByName(test.select("*", F.lit(False).alias("_train")))
+    scored = model.score(both, [label, "_train"]).groupBy().pivot("_train", [True, False]).agg(right)
+    return scored.select(
+        F.col("true").alias("train_accuracy"), F.col("false").alias("test_accuracy"), (F.col("true") - F.col("false")).alias("gap")
     )
 
 

@@ -352,6 +352,48 @@ def tree_classification(spark, folder):
     return _classified(R.score_classes(model, df.filter("not is_train"), XS, ["returned"]), "returned")
 
 
+def _split_sql(node: int, where: str) -> str:
+    """Best split of the rows ``where``: the greatest fall of Gini impurity, then the first feature, then the lowest limit."""
+    each = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS v, returned AS y FROM rows_ WHERE {where}" for i, c in enumerate(XS))
+    return f"""c{node} AS (SELECT f, v, count(*) AS n, sum(y) AS p FROM ({each}) GROUP BY f, v),
+    w{node} AS (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS next, sum(n) OVER (PARTITION BY f ORDER BY v) AS n, sum(p) OVER (PARTITION BY f ORDER BY v) AS p,
+      sum(n) OVER (PARTITION BY f) AS tn, sum(p) OVER (PARTITION BY f) AS tp FROM c{node}),
+    g{node} AS (SELECT f, tn, tp, (SELECT list_sort(list(DISTINCT x.v)) FROM (SELECT v FROM (SELECT f, v FROM all_ GROUP BY ALL) a WHERE a.f = w{node}.f) x) AS vs, v,
+      round((tn - (tp ** 2 + (tn - tp) ** 2) / tn) - (n - (p ** 2 + (n - p) ** 2) / n) - ((tn - n) - ((tp - p) ** 2 + (tn - n - tp + p) ** 2) / (tn - n)), 6) AS gain
+      FROM w{node} WHERE next IS NOT NULL AND n >= 10 AND tn - n >= 10 AND tn >= 20),
+    s{node} AS (SELECT {node} AS node, f, tn AS rows, tp, gain, (v + vs[list_position(vs, v) + 1]) / 2 AS cut FROM g{node} WHERE gain > 0 ORDER BY gain DESC, f, v LIMIT 1)"""
+
+
+_CASE = " ".join(f"WHEN {i} THEN {c}::DOUBLE" for i, c in enumerate(XS))
+
+
+@query(
+    "tree_splits",
+    "M13",
+    f"""WITH {TRADES}, rows_ AS (SELECT *, row_number() OVER () AS rid FROM trades),
+    all_ AS ({" UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS v FROM rows_" for i, c in enumerate(XS))}),
+    {_split_sql(1, "true")},
+    {_split_sql(2, f"(SELECT CASE f {_CASE} END <= cut FROM s1)")},
+    {_split_sql(3, f"(SELECT CASE f {_CASE} END > cut FROM s1)")},
+    found AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)
+    SELECT node, {"CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(XS)) + " END"} AS feature, round(cut, 6) AS cut,
+      CAST(rows AS BIGINT) AS rows, round(tp / rows, 6) AS share FROM found""",
+)
+def tree_splits(spark, folder):
+    """The splits of a tree of two levels, with the reference's least rows of a split and of a leaf."""
+    model = R.fit_tree_classifier(trades(spark, folder), XS, "returned", depth=2, balanced=False)
+    nodes = [(n, f, round(cut, 6), int(rows), round(value[1], 6)) for n, f, cut, rows, value in model.nodes() if f is not None]
+    return spark.createDataFrame(nodes, "node int, feature string, cut double, rows bigint, share double")
+
+
+@query("tree_overfit", "M13")
+def tree_overfit(spark, folder):
+    """Accuracy of the tree on its own rows and on others."""
+    df = _class_rows(spark, folder)
+    train, test = df.filter("is_train"), df.filter("not is_train")
+    return R.overfit_gap(R.fit_tree_classifier(train, XS, "returned", min_gain=0.01), train, test, "returned")
+
+
 @query("tree_shape", "M13")
 def tree_shape(spark, folder):
     df = _class_rows(spark, folder)

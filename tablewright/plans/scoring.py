@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalar import md5_bits
 from tablewright.operators import association as A
 from tablewright.operators import metrics as M
-from tablewright.operators.trees import DEEPEST
 from tablewright.plans.registry import query
 from tablewright.plans.tables import SCORED, TRADES, md5_sql, scored, table, trades
 
@@ -102,13 +101,13 @@ def chi_square(spark, folder):
 
 @query("forest_importance", "A5")
 def forest_importance(spark, folder):
-    out, accuracy = A.forest_importance(trades(spark, folder), NUMBERS, "finished", depth=DEEPEST)
+    out, accuracy = A.forest_importance(trades(spark, folder), NUMBERS, "finished")
     return out.withColumn("train_accuracy", F.lit(accuracy))
 
 
 @query("eliminate_features", "A6")
 def eliminate_features(spark, folder):
-    return A.eliminate_features(trades(spark, folder), NUMBERS, "finished", keep=2, depth=DEEPEST)
+    return A.eliminate_features(trades(spark, folder), NUMBERS, "finished", keep=2)
 
 
 def ranked_methods(spark, folder):

@@ -18,6 +18,7 @@ from tablewright.operators import metrics as M
 from tablewright.operators import neighbors as N
 from tablewright.operators import project as P
 from tablewright.operators import registry as R
+from tablewright.operators import growing as G
 from tablewright.operators import trees
 from tablewright.sources import tables as S
 
@@ -255,7 +256,7 @@ def test_tree_learners(spark, separable):
         assert scored.filter("score < 0 or score > 1").count() == 0
     forest = trees.fit_forest_classifier(separable, names, "y", trees=5)
     again = trees.fit_forest_classifier(separable, names, "y", trees=5)
-    assert forest.featureImportances == again.featureImportances
+    assert forest.importances.tolist() == again.importances.tolist()
     weights = {r["feature"]: r["value"] for r in trees.importances(separable, names, forest).collect()}
     assert sum(weights.values()) == pytest.approx(1.0) and weights["x1"] > weights["x2"]
     ranks = dict(rows(A.eliminate_features(separable, names, "y", keep=1, trees=3)))
@@ -327,4 +328,53 @@ def test_models_do_not_depend_on_the_layout(spark):
     found = [rows(A.forest_importance(d, ["x0", "x1", "x2"], "y", trees=5, depth=4)[0]) for d in (df.repartition(2), df.repartition(7, "x2"), df.coalesce(1))]
     assert found[0] == found[1] == found[2]
     with pytest.raises(ValueError):
-        trees.fit_forest_regressor(df, ["x0"], "y", depth=31)
+        trees.fit_forest_regressor(df, ["x0"], "y", depth=61)
+
+
+def test_local_and_distributed_growth_agree(spark):
+    df = spark.range(4000).select(*[(F.xxhash64("id", F.lit(j)) % 40).cast("double").alias(f"x{j}") for j in range(11)], "id")
+    df = df.withColumn("y", (F.col("x0") + F.col("x1") * 0.5 + F.col("x10") > 20).cast("int")).withColumn("z", F.col("x0") * F.col("x1") + F.col("id") % 3)
+    names = [f"x{j}" for j in range(11)]
+    key = lambda m: [(n, f, None if f is None else cut, rows) for n, f, cut, rows, _ in m.nodes()]
+    for target, classes, criterion in (("y", [0, 1], "gini"), ("y", [0, 1], "entropy"), ("z", None, "gini")):
+        whole, split = (G.fit(df, names, target, classes, depth=6, min_split=20, min_leaf=5, criterion=criterion, local_cells=c) for c in (10**6, 300))
+        assert key(whole) == key(split)
+        assert [r for *_, r, _ in whole.nodes()][0] == 4000
+
+
+def test_trees_by_brute_force(spark):
+    rows_ = [(i, (i * 37 % 11) / 2, float(i * 13 % 7), (i * i) % 5 > 1, (i % 9) * 1.5) for i in range(300)]
+    df = spark.createDataFrame(rows_, "id int, a double, b double, c boolean, y double").withColumn("k", F.col("c").cast("int"))
+    model = G.fit(df, ["a", "b"], "k", [0, 1], depth=1, min_leaf=10)
+
+    def gini(part):
+        p = sum(r[3] for r in part)
+        return 2 * p * (len(part) - p) / len(part) if part else 0.0
+
+    best = None
+    for f, j in (("a", 1), ("b", 2)):
+        values = sorted({r[j] for r in rows_})
+        for low, high in zip(values, values[1:], strict=False):
+            left, right = [r for r in rows_ if r[j] <= low], [r for r in rows_ if r[j] > low]
+            gain = round(gini(rows_) - gini(left) - gini(right), 6)
+            if min(len(left), len(right)) >= 10 and (best is None or gain > best[0]):
+                best = (gain, f, (low + high) / 2)
+    root = model.nodes()[0]
+    assert (root[1], root[2]) == best[1:]
+    full = G.fit(df, ["a", "b"], "y")
+    cells = {}
+    for r in rows_:
+        cells.setdefault(r[1:3], []).append(r[4])
+    got = full.score(df, ["id", "a", "b"]).collect()
+    assert all(r["prediction"] == pytest.approx(np.mean(cells[r["a"], r["b"]])) for r in got)
+
+
+def test_trees_of_odd_rows(spark):
+    df = spark.createDataFrame([(1, None, 0), (2, 5.0, 1), (3, 5.0, None), (4, float(2**40), 1)], "id int, x double, y int")
+    model = trees.fit_tree_classifier(df, ["x"], "y", min_split=2, min_leaf=1)
+    assert {r["id"]: r["y_pred"] for r in model.score(df, ["id"]).collect()} == {1: 0, 2: 1, 3: 1, 4: 1}
+    constant = trees.fit_forest_regressor(df.withColumn("x", F.lit(1.0)), ["x"], "y", trees=3)
+    assert [len(t["id"]) for t in constant.trees] == [1] * len(constant.trees) and constant.importances.tolist() == [0.0]
+    gap = trees.overfit_gap(model, df.filter("id < 3"), df.filter("id = 4"), "y").first()
+    assert tuple(gap) == (1.0, 1.0, 0.0)
+    assert trees.tree_rules(model).splitlines()[0] == "all"
