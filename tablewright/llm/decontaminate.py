@@ -4,16 +4,21 @@ Method: pigeonhole edit matching. Texts are normalised to lower-case runs of let
 one space. An item of m characters may occur with k = m * percent // 100 edits; cut into k + 1 pieces, at
 least one piece must then occur exactly. All pieces of all items form one automaton that reads every whole
 document once; around each hit, Myers' bit-parallel algorithm finds the least edit distance of the item to
-any substring, and the hit counts if that is at most k.
+any substring, and the hit counts if that is at most k and the substring's words are whole words.
 
 Between piece and item, the halves of the item that hold the piece are checked with their share of the
-edits, from the smallest up.
+edits, from the smallest up. Items that share their text there share the stretch: it is stored once with its
+parents, and tested once for each place of a document, however many items hold it.
+
+An item of fewer than ``LEAST`` characters is no evidence of a leak (a document that says "no" does not hold
+the answer "no"): it matches nothing and ``short_items`` reports it.
 
 Items are sent to the workers in blocks of at most ``BLOCK_BYTES``; more items mean more passes.
 
 Defined cases: a null or empty document has no matches; an item without letters or digits matches nothing;
 equal items are reported each; an item with a null key counts like any other and is reported under a null key;
-one row per document row and item: the least distance, then the earliest end.
+one row per document row and item: the least distance, then the earliest end. An input column that has the
+name of a result stays out of it: results hold the two keys and their own columns.
 Offsets are code points of the original text.
 """
 
@@ -34,6 +39,8 @@ from tablewright.llm.common import model, pieces, ship, with_fields
 
 WORD = re.compile(r"[^\W_]+")
 PERCENT = 8
+# Characters of the normal form from which an item is looked for.
+LEAST = 12
 BLOCK_BYTES = 8 << 20
 
 
@@ -79,15 +86,24 @@ class Match:
     end: int
 
 
-@dataclass(frozen=True)
-class Node:
-    """A stretch of an item that may hold ``errors`` edits; it has errors + 1 pieces below it."""
+class Stretch:
+    """A stretch of text that may hold ``errors`` edits. ``parents``: (stretch, offset in it) of the stretches that it
+    is a half of; ``items``: those whose whole text it is."""
 
-    start: int
-    end: int
-    errors: int
-    masks: dict[str, int]
-    parent: Node | None
+    __slots__ = ("errors", "items", "length", "masks", "number", "parents")
+
+    def __init__(self, text: str, errors: int, number: int):
+        self.length, self.errors, self.number = len(text), errors, number
+        self.masks = masks(text)
+        self.parents: list[tuple[Stretch, int]] = []
+        self.items: list[int] = []
+
+
+def on_words(text: str, start: int, end: int) -> bool:
+    """Whether a stretch of normalised text begins and ends with whole words."""
+    return (start == 0 or text[start - 1] == " " or text[start : start + 1] == " ") and (
+        end == len(text) or text[end] == " " or text[end - 1 : end] == " "
+    )
 
 
 class Matcher:
@@ -96,63 +112,69 @@ class Matcher:
     The pieces of an item are the leaves of a tree. If a stretch with e edits is cut into two that may hold
     a and b edits, with a + b + 1 = e, one of the two keeps within its own budget. So a piece hit only
     matters if every stretch above it matches within its budget too, and most chance hits end at the first.
+    Stretches are known by their text and budget, so that items made from one template share them.
     """
 
-    def __init__(self, items: list[tuple[int, str]], percent: int):
+    def __init__(self, items: list[tuple[int, str]], percent: int, least: int = LEAST):
         import ahocorasick
 
         self.items = items
         self.budget = [len(t) * percent // 100 for _, t in items]
-        self.roots = []
-        self.backward = [masks(t[::-1]) for _, t in items]
-        found: dict[str, list[tuple[int, Node]]] = {}
-        for i, (_, text) in enumerate(items):
-            n, parts = len(text), self.budget[i] + 1
-            cuts = [n * p // parts for p in range(parts + 1)]
-
-            def grow(a: int, b: int, parent: Node | None) -> None:
-                node = Node(cuts[a], cuts[b], b - a - 1, masks(text[cuts[a] : cuts[b]]), parent)
-                if parent is None:
-                    self.roots.append(node)
+        self.backward: dict[int, dict[str, int]] = {}
+        known: dict[tuple[str, int], Stretch] = {}
+        leaves: dict[str, list[Stretch]] = {}
+
+        def stretch(text: str, cuts: list[int], a: int, b: int) -> Stretch:
+            part = text[cuts[a] : cuts[b]]
+            found = known.get((part, b - a - 1))
+            if found is None:
+                found = known[part, b - a - 1] = Stretch(part, b - a - 1, len(known))
                 if b - a == 1:
-                    found.setdefault(text[node.start : node.end], []).append((i, node))
-                else:
-                    grow(a, (a + b) // 2, node)
-                    grow((a + b) // 2, b, node)
+                    leaves.setdefault(part, []).append(found)
+            if b - a > 1:
+                middle = (a + b) // 2
+                for half, offset in ((stretch(text, cuts, a, middle), 0), (stretch(text, cuts, middle, b), cuts[middle] - cuts[a])):
+                    if (found, offset) not in half.parents:
+                        half.parents.append((found, offset))
+            return found
 
-            grow(0, parts, None)
+        for i, (_, text) in enumerate(items):
+            if len(text) < least:
+                continue
+            n, parts = len(text), self.budget[i] + 1
+            stretch(text, [n * p // parts for p in range(parts + 1)], 0, parts).items.append(i)
         self.automaton = ahocorasick.Automaton()
-        for piece, places in found.items():
+        for piece, places in leaves.items():
             self.automaton.add_word(piece, places)
-        if found:
+        if leaves:
             self.automaton.make_automaton()
-        self.any = bool(found)
-
-    @staticmethod
-    def near(node: Node, text: str, origin: int) -> bool:
-        """Whether the stretch matches about where it must if the item began at ``origin``."""
-        start = max(0, origin + node.start - node.errors)
-        part = text[start : origin + node.end + node.errors]
-        return any(d <= node.errors for d in distances(node.masks, node.end - node.start, part))
-
-    def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """Per item, the merged stretches of ``text`` that a match could lie in."""
-        out: dict[int, list[list[int]]] = {}
+        self.any = bool(leaves)
+
+    def windows(self, text: str) -> dict[Stretch, list[list[int]]]:
+        """For whole items, the merged stretches of ``text`` that a match could lie in."""
+        out: dict[Stretch, list[list[int]]] = {}
+        # Stretches and where they would begin: tested once, whatever piece or item led there.
+        tested: set[tuple[int, int]] = set()
         for end, places in self.automaton.iter(text):
-            for i, leaf in places:
-                origin = end + 1 - leaf.end
-                node = leaf.parent
-                while node is not None and node.parent is not None and self.near(node, text, origin):
-                    node = node.parent
-                if node is not None and node.parent is not None:
-                    continue
-                k, m = self.budget[i], len(self.items[i][1])
-                start, stop = max(0, origin - k), min(len(text), origin + m + k)
-                spans = out.setdefault(i, [])
-                if spans and start <= spans[-1][1]:
-                    spans[-1][0], spans[-1][1] = min(start, spans[-1][0]), max(stop, spans[-1][1])
-                else:
-                    spans.append([start, stop])
+            todo = [(leaf, end + 1 - leaf.length) for leaf in places]
+            while todo:
+                node, origin = todo.pop()
+                if node.items:
+                    start, stop = max(0, origin - node.errors), min(len(text), origin + node.length + node.errors)
+                    spans = out.setdefault(node, [])
+                    if spans and spans[-1][0] <= start <= spans[-1][1]:
+                        spans[-1][1] = max(stop, spans[-1][1])
+                    else:
+                        spans.append([start, stop])
+                for parent, offset in node.parents:
+                    place = (parent.number, origin - offset)
+                    if place in tested:
+                        continue
+                    tested.add(place)
+                    first = max(0, place[1] - parent.errors)
+                    part = text[first : place[1] + parent.length + parent.errors]
+                    if any(d <= parent.errors for d in distances(parent.masks, parent.length, part)):
+                        todo.append((parent, place[1]))
         return out
 
     def search(self, text: str, first_only: bool = False) -> list[Match]:
@@ -160,18 +182,26 @@ class Matcher:
         if not self.any or not text:
             return []
         out = []
-        for i, spans in self.windows(text).items():
-            m, k, best = len(self.items[i][1]), self.budget[i], None
+        for node, spans in self.windows(text).items():
+            m, k, best = node.length, node.errors, None
+            item = self.items[node.items[0]][1]
             for start, stop in spans:
-                for at, score in enumerate(distances(self.roots[i].masks, m, text[start:stop])):
-                    if score <= k and (best is None or score < best[0]):
-                        best = (score, start + at + 1)
+                for at, score in enumerate(distances(node.masks, m, text[start:stop])):
+                    end = start + at + 1
+                    if score > k or (best is not None and score >= best[0]) or not (end == len(text) or " " in text[end - 1 : end + 1]):
+                        continue
+                    # Of the starts at a word's begin the one with the least distance, the nearest first.
+                    before = text[max(0, end - m - k) : end][::-1]
+                    if node.number not in self.backward:
+                        self.backward[node.number] = masks(item[::-1])
+                    limit = k if best is None else best[0] - 1
+                    for n, d in enumerate(distances(self.backward[node.number], m, before, True)):
+                        if d <= limit and on_words(text, end - n - 1, end):
+                            best, limit = (d, end, n + 1), d - 1
             if best is None:
                 continue
-            score, end = best
-            before = text[max(0, end - m - k) : end][::-1]
-            length = next((n + 1 for n, d in enumerate(distances(self.backward[i], m, before, True)) if d == score), m)
-            out.append(Match(i, score, end - length, end))
+            score, end, length = best
+            out += [Match(i, score, end - length, end) for i in node.items]
             if first_only:
                 break
         return out
@@ -200,6 +230,22 @@ def item_blocks(items: DataFrame, key: str, text: str, percent: int, limit: int
     return blocks
 
 
+def short_items(items: DataFrame, item_key: str = "item_id", item_text: str = "text", least: int = LEAST) -> DataFrame:
+    """(key, n_chars) of the items that are too short to be looked for."""
+    ship(items.sparkSession)
+    kind = items.schema[item_key].dataType
+    schema = T.StructType([T.StructField(item_key, kind), T.StructField("n_chars", T.LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len(normalise(t)) for t in batch.column(1).to_pylist()]
+            short = [i for i, n in enumerate(sizes) if n < least]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(short, pa.int64())), pa.array([sizes[i] for i in short], pa.int64())], schema=arrow)
+
+    return items.select(item_key, item_text).mapInArrow(run, schema)
+
+
 def _original(text: str, start: int, end: int) -> tuple[int, int]:
     """Offsets in the text for offsets in its normal form; lower-casing may change lengths, so words carry them."""
     at, first, last = 0, 0, len(text)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -314,12 +315,66 @@ def test_leaks_by_brute_force(spark):
     for d, text in docs:
         for i, item in items:
             p, t = decontaminate.normalise(item), decontaminate.normalise(text)
+            k = len(p) * decontaminate.PERCENT // 100
             least = min(brute_distance(p, t), default=None) if p and t else None
-            if least is not None and least <= len(p) * decontaminate.PERCENT // 100:
-                want[d, i] = least
+            if least is not None and least <= k:
+                least = brute_on_words(p, t)
+                if least <= k:
+                    want[d, i] = least
     assert found == want and len(want) > 10
 
 
+def brute_on_words(pattern, text):
+    """The least distance to a stretch that begins and ends with whole words, or with the space beside one."""
+    starts = [0] + [i for i, c in enumerate(text) if c == " "] + [i + 1 for i, c in enumerate(text) if c == " "]
+    ends = {len(text)} | {i for i, c in enumerate(text) if c == " "} | {i + 1 for i, c in enumerate(text) if c == " "}
+    best = len(pattern)
+    for a in starts:
+        row = list(range(len(pattern) + 1))
+        for j, c in enumerate(text[a:]):
+            new = [j + 1]
+            for i, p in enumerate(pattern):
+                new.append(min(row[i + 1] + 1, new[i] + 1, row[i] + (p != c)))
+            row = new
+            if a + j + 1 in ends:
+                best = min(best, row[-1])
+    return best
+
+
+def test_short_items_and_parts_of_words_are_no_leaks(spark):
+    items = spark.createDataFrame([(1, "no"), (2, "The answer is no"), (3, None), (4, "in another country")], "item_id long, text string")
+    docs = [(1, "there is another one"), (2, "so the answer is no, he said"), (3, "the answer is nobody's"), (4, "within another country side"), (5, "no")]
+    rows = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, distance string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(rows, items).collect()}
+    assert got == {(2, 2)}
+    assert {r["doc_id"] for r in decontaminate.without_leaks(rows, items).collect()} == {1, 3, 4, 5}
+    assert {(r["item_id"], r["n_chars"]) for r in decontaminate.short_items(items).collect()} == {(1, 2), (3, 0)}
+
+
+def test_templated_items_cost_what_unlike_ones_do():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(3, 8)))
+    like = [(i, f"what is the capital city of the country number {i} and how many people live there in all") for i in range(500)]
+    unlike = [(i, " ".join(word() for _ in range(17))) for i in range(500)]
+    text = " ".join([*(word() for _ in range(300)), like[77][1], *(word() for _ in range(300)), unlike[99][1], "what is the capital city of the moon"])
+    spent = []
+    for items in (like, unlike):
+        matcher = decontaminate.Matcher(items, decontaminate.PERCENT)
+        began = time.process_time()
+        found = {m.item: m.distance for m in matcher.search(text)}
+        spent.append(time.process_time() - began)
+        assert min(found.values()) == 0
+    assert found == {99: 0}
+    assert spent[0] < 3.0
+
+
+def test_leaks_in_a_long_text():
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    matcher = decontaminate.Matcher([(1, item)], decontaminate.PERCENT)
+    text = "filler words " * 80_000 + item.replace("seven", "sevn") + " more filler" * 80_000
+    assert [(m.distance, text[m.start : m.end]) for m in matcher.search(text)] == [(1, item.replace("seven", "sevn"))]
+
+
 def test_leaks_are_dropped(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame(
