@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col
 from tablewright.operators.project import require_columns
-from tablewright.session import durable, ship_package
+from tablewright.session import durable, reused, ship_package
 
 BINS, LOCAL_CELLS, DEEPEST = 64, 200_000, 60
 # Cells of one histogram block.
@@ -242,6 +242,7 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
     level, width, k = int(np.log2(start)), bins.shape[1], sums.shape[1]
     random = np.random.default_rng([rules.seed, tree, start])
     values = np.column_stack([n, sums])
+    used = bins.max(0).astype(np.int64) + 1
     while len(ids):
         totals = np.stack([np.bincount(at, values[:, j], minlength=len(ids)) for j in range(k + 1)], 1)
         best = np.zeros(len(ids))
@@ -255,14 +256,17 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
                 own = impurity(list(totals[:, 1:].T), rules.kind, *IN_ARRAYS)
             least = np.maximum(1e-12, rules.min_gain) * weight
             chosen = random.random((len(ids), width)).argsort(1).argsort(1) < rules.subset if rules.subset < width else None
-            block = max(1, HISTOGRAM // rules.bins)
+            block = max(1, HISTOGRAM // int(used.max()))
             for first in range(0, len(ids), block):
                 last = min(first + block, len(ids))
                 a, b = np.searchsorted(at, [first, last])
-                for f in range(width):
-                    place = (at[a:b] - first) * rules.bins + bins[a:b, f]
-                    shape = (last - first, rules.bins)
-                    left = [np.bincount(place, values[a:b, j], minlength=shape[0] * shape[1]).reshape(shape).cumsum(1) for j in range(k + 1)]
+                for f in np.flatnonzero(used > 1).tolist():
+                    place, part = (at[a:b] - first) * used[f] + bins[a:b, f], values[a:b]
+                    if chosen is not None:  # only the nodes that drew this feature count
+                        drew = chosen[at[a:b], f]
+                        place, part = place[drew], part[drew]
+                    shape = (last - first, used[f])
+                    left = [np.bincount(place, part[:, j], minlength=shape[0] * shape[1]).reshape(shape).cumsum(1) for j in range(k + 1)]
                     right = [totals[first:last, j, None] - left[j] for j in range(k + 1)]
                     with np.errstate(all="ignore"):
                         gain = own[first:last, None] - impurity(left[1:], rules.kind, *IN_ARRAYS) - impurity(right[1:], rules.kind, *IN_ARRAYS)
@@ -289,13 +293,13 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
     return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
 
-def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, local_cells: int = LOCAL_CELLS) -> DataFrame:
-    """(tree, node, n, s..., feature, bin, gain) of all nodes of all trees."""
+def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, local_cells: int = LOCAL_CELLS) -> DataFrame:
+    """(tree, node, n, s..., feature, bin, gain) of all nodes of all trees. ``start`` is read twice or more."""
     spark = start.sparkSession
     names = [f"s{i}" for i in range(n_sums)]
     columns = ["tree", "node", "bins", "n", *names]
-    state, told = durable(start.select(*columns)), []
-    while True:
+    state, told = start.select(*columns), []
+    while start.count() > local_cells:  # else no node can have more
         large = durable(state.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > local_cells).select("tree", "node"))
         if large.isEmpty():
             break
@@ -339,8 +343,8 @@ def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, local_cells: in
         if held:
             yield finish()
 
-    roots = state.select("tree", "node").distinct().count()
-    tasks = max(1, min(roots, 4 * spark.sparkContext.defaultParallelism))
+    roots = state.select("tree", "node").distinct().count() if told else trees
+    tasks = max(1, min(roots, 4 * spark.sparkContext.defaultParallelism) if not told else -(-roots // 8))
     dealt = state.repartition(tasks, "tree", "node").sortWithinPartitions("tree", "node", "bins")
     out = dealt.mapInArrow(run, schema)
     for splits in told:
@@ -382,7 +386,8 @@ def fit(
     rules = Rules(kind, depth, min_split, min_leaf, min_gain, drawn, max(bins, 2), seed)
     n_sums = 3 if classes is None else len(classes)
     start = cells(labelled, features, target, cuts, classes, trees, bootstrap, weight, seed)
-    found = grow(start, size, n_sums, rules, local_cells).toPandas()
+    with reused(start) as kept:  # a lost block is drawn again, with the same draws
+        found = grow(kept, size, n_sums, rules, trees, local_cells).toPandas()
     out = []
     for _, rows in found.groupby("tree", sort=True):
         rows = rows.sort_values("node")

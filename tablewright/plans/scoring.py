@@ -9,6 +9,7 @@ from tablewright.operators import association as A
 from tablewright.operators import metrics as M
 from tablewright.plans.registry import query
 from tablewright.plans.tables import SCORED, TRADES, md5_sql, scored, table, trades
+from tablewright.session import durable
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FLAGS = ["l_returnflag", "l_linestatus"]
@@ -110,60 +111,87 @@ def eliminate_features(spark, folder):
     return A.eliminate_features(trades(spark, folder), NUMBERS, "finished", keep=2)
 
 
+# A planted table: ten features of four values that decide the label by falling weights, and ten that do not.
+WEIGHTS = [20, 16, 13, 10.5, 8.5, 5.5, 5.5, 5.5, 5.5, 5.5]
+SIGNALS, NOISE = [f"s{i:02d}" for i in range(1, 11)], [f"z{i:02d}" for i in range(1, 11)]
+_PLANT = {f: j for j, f in enumerate(SIGNALS + NOISE)}
+_SUM = " + ".join(f"{w} * {f}" for w, f in zip(WEIGHTS, SIGNALS, strict=True))
+PLANTED = f"""drawn AS (SELECT o_orderkey, {", ".join(f"{md5_sql(f"o_orderkey || '|{j}'")} % 4 AS {f}" for f, j in _PLANT.items())} FROM orders),
+planted AS (SELECT *, CAST({_SUM} > {1.5 * sum(WEIGHTS)} AS INT) AS y FROM drawn)"""
+
+
+def planted(spark, folder):
+    drawn = table(spark, folder, "orders").select(
+        "o_orderkey", *[(md5_bits(F.col("o_orderkey"), F.lit(j)) % 4).cast("double").alias(f) for f, j in _PLANT.items()]
+    )
+    return drawn.withColumn("y", F.expr(f"CAST({_SUM} > {1.5 * sum(WEIGHTS)} AS INT)"))
+
+
 def ranked_methods(spark, folder):
-    """Ranked lists of three methods, and importance / elimination stand-ins by mean size."""
+    """Ranked lists of the five methods on the planted table; the elimination names the ten features that it keeps."""
     from pyspark.sql import Window
 
-    li = trades(spark, folder)
+    df, names = durable(planted(spark, folder)), [*SIGNALS, *NOISE]
     place = F.row_number().over(Window.partitionBy("method").orderBy(F.desc("score"), "feature"))
-    means = M.describe(li, NUMBERS)
     lists = [
-        A.target_correlation(li, NUMBERS, "finished").select(F.lit("correlation").alias("method"), "feature", F.col("abs_correlation").alias("score")),
-        A.mutual_information(li, NUMBERS, "finished").select(F.lit("mutual_info").alias("method"), "feature", F.col("mi").alias("score")),
-        A.chi_square(chi_input(spark, folder), CHI_FEATURES, "finished").select(F.lit("chi_square").alias("method"), "feature", F.col("statistic").alias("score")),
-        means.select(F.lit("feature_importance").alias("method"), F.col("column_name").alias("feature"), F.col("mean").alias("score")),
-        means.select(F.lit("rfe").alias("method"), F.col("column_name").alias("feature"), F.col("std").alias("score")),
+        A.target_correlation(df, names, "y").select(F.lit("correlation").alias("method"), "feature", F.col("abs_correlation").alias("score")),
+        A.mutual_information(df, names, "y").select(F.lit("mutual_info").alias("method"), "feature", F.col("mi").alias("score")),
+        A.chi_square(df, names, "y").select(F.lit("chi_square").alias("method"), "feature", F.col("statistic").alias("score")),
+        A.forest_importance(df, names, "y")[0].select(F.lit("feature_importance").alias("method"), "feature", F.col("value").alias("score")),
+        A.eliminate_features(df, names, "y").filter("rank = 1").select(F.lit("rfe").alias("method"), "feature", F.lit(0.0).alias("score")),
     ]
     every = lists[0]
     for one in lists[1:]:
         every = every.unionByName(one)
-    return every.select("method", "feature", place.alias("place"))
+    return durable(every.select("method", "feature", place.alias("place")))
 
 
-_LISTS = f"""{TRADES}, {MI}, {CHI}, c AS ({CORR}),
-lists AS (SELECT 'correlation' AS method, feature, abs(correlation) AS score FROM c
-  UNION ALL SELECT 'mutual_info', feature, mi FROM mi
-  UNION ALL SELECT 'chi_square', feature, statistic FROM chi
-  {' '.join(f"UNION ALL SELECT 'feature_importance', '{c}', avg({c}) FROM trades" for c in NUMBERS)}
-  {' '.join(f"UNION ALL SELECT 'rfe', '{c}', stddev_samp({c}) FROM trades" for c in NUMBERS)}),
-ranked AS (SELECT method, feature, row_number() OVER (PARTITION BY method ORDER BY score DESC, feature) AS place FROM lists)"""
+# Correlations are computed; the other lists are known from the weights that were planted.
+_KNOWN = " UNION ALL ".join(
+    f"SELECT '{method}' AS method, '{f}' AS feature, {i + 1} AS place"
+    for method, features in (("mutual_info", _PLANT), ("chi_square", _PLANT), ("feature_importance", SIGNALS), ("rfe", SIGNALS))
+    for i, f in enumerate(features)
+)
+_LISTS = f"""{PLANTED}, c AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, abs(corr({f}, y)) AS score FROM planted" for f in _PLANT)}),
+ranked AS (SELECT 'correlation' AS method, feature, row_number() OVER (ORDER BY score DESC, feature) AS place FROM c UNION ALL {_KNOWN})"""
 
 
 @query(
     "vote_features",
-    "A7",
+    "A7 A5 A6",
     f"""WITH {_LISTS},
     v AS (SELECT feature,
             sum(CASE method WHEN 'correlation' THEN 1 WHEN 'mutual_info' THEN 2 WHEN 'chi_square' THEN 1
                             WHEN 'feature_importance' THEN 2 ELSE 3 END) AS votes,
             min(1000 * CASE method WHEN 'correlation' THEN 0 WHEN 'mutual_info' THEN 1 WHEN 'chi_square' THEN 2
                             WHEN 'feature_importance' THEN 3 ELSE 4 END + place) AS seen
-          FROM ranked GROUP BY feature),
+          FROM ranked WHERE place <= 10 GROUP BY feature),
     placed AS (SELECT feature, CAST(votes AS INT) AS votes, CAST(row_number() OVER (ORDER BY votes DESC, seen) AS INT) AS place FROM v)
-    SELECT feature, votes, place, CAST(coalesce((SELECT votes FROM placed WHERE place = 5), 0) AS INT) AS threshold FROM placed WHERE place <= 5""",
+    SELECT feature, votes, place, CAST(coalesce((SELECT votes FROM placed WHERE place = 15), 0) AS INT) AS threshold FROM placed WHERE place <= 15""",
 )
 def vote_features(spark, folder):
-    return A.vote(ranked_methods(spark, folder), take=5)
+    return A.vote(ranked_methods(spark, folder))
 
 
 @query(
     "selection_report",
-    "A8",
+    "A8 A5 A6",
     f"""WITH {_LISTS} SELECT method, count(*) AS features_named,
-         string_agg(feature, ',' ORDER BY place) FILTER (place <= 2) AS top_features FROM ranked GROUP BY method""",
+         string_agg(feature, ',' ORDER BY place) FILTER (place <= 5) AS top_features FROM ranked GROUP BY method""",
 )
 def selection_report(spark, folder):
-    return A.selection_report(ranked_methods(spark, folder), top=2)
+    return A.selection_report(ranked_methods(spark, folder))
+
+
+@query(
+    "select_by_chi_square",
+    "A4 A9 D3",
+    f"""WITH {TRADES}, {CHI} SELECT CAST(row_number() OVER (ORDER BY statistic DESC, feature) - 1 AS INT) AS place, feature
+    FROM chi WHERE p_value < 0.05""",
+)
+def select_by_chi_square(spark, folder):
+    chosen = A.select_features(chi_input(spark, folder), CHI_FEATURES, "finished", "chi2")
+    return spark.createDataFrame(list(enumerate(chosen)), "place int, feature string")
 
 
 REG = """count(*) AS rows, round(avg((actual - predicted) ** 2), 2) AS mse, round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,

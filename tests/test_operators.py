@@ -337,7 +337,7 @@ def test_local_and_distributed_growth_agree(spark):
     names = [f"x{j}" for j in range(11)]
     key = lambda m: [(n, f, None if f is None else cut, rows) for n, f, cut, rows, _ in m.nodes()]
     for target, classes, criterion in (("y", [0, 1], "gini"), ("y", [0, 1], "entropy"), ("z", None, "gini")):
-        whole, split = (G.fit(df, names, target, classes, depth=6, min_split=20, min_leaf=5, criterion=criterion, local_cells=c) for c in (10**6, 300))
+        whole, split = (G.fit(df, names, target, classes, depth=4, min_split=20, min_leaf=5, criterion=criterion, local_cells=c) for c in (10**6, 300))
         assert key(whole) == key(split)
         assert [r for *_, r, _ in whole.nodes()][0] == 4000
 
