@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -19,6 +20,8 @@ from tablewright.session import shared_folder
 
 # Text handled at a time inside a worker; bounds the Python objects alive, not the results.
 PIECE_BYTES = 1 << 20
+# Bytes of an Arrow batch that Spark sends to a worker: texts are of any length, so that rows bound nothing.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 # Entries of one generation of a worker's cache; two generations are alive at most.
 CACHE_ENTRIES = 100_000
 
@@ -58,13 +61,28 @@ def new_folder(spark: SparkSession) -> str:
     return f"{path}/data"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few megabytes for the jobs inside; the session's own setting comes back."""
+    before = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)
+        else:
+            spark.conf.set(BATCH_CONF, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the cluster's shared folder and read it back.
 
     Cuts the lineage: later passes re-read stored rows, and a lost executor costs a re-read.
     """
     path = new_folder(df.sparkSession)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -101,6 +119,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str | None, limit: int = PIE
                 start, seen = i, 0
             seen += int(n)
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
 
 def with_fields(schema: T.StructType, added: list[tuple[str, T.DataType]]) -> T.StructType:

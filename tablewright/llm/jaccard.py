@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import model, pieces, release, ship, stored
+from tablewright.llm.common import PIECE_BYTES, model, pieces, release, ship, small_batches, stored
 from tablewright.llm.components import components
 from tablewright.llm.words import Words, letters, mixed
 
@@ -117,7 +117,9 @@ def hot_tokens(docs: DataFrame, text: str, most: int = HOT) -> np.ndarray:
         yield repeats(held)
 
     found = docs.select(text).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "token").limit(most).toPandas()
+    top = found.orderBy(F.desc("n"), "token").limit(most)
+    with small_batches(docs.sparkSession):
+        top = top.toPandas()
     return top["token"].to_numpy(np.int64)[::-1].view(np.uint64)
 
 
@@ -242,8 +244,7 @@ def join_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
 
 
 def attached(rows: DataFrame, values: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join with a table that has one row per key: broadcast if a count shows that it is small, else shuffled."""
-    values = stored(values)
+    """Join with a stored table that has one row per key: broadcast if a count shows that it is small, else shuffled."""
     return rows.join(F.broadcast(values) if values.count() <= BROADCAST_IDS else values, on, how)
 
 
@@ -259,20 +260,24 @@ def linked(docs: DataFrame, key: str, text: str, pairs: DataFrame) -> DataFrame:
     texts = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")).join(side, "doc")
     ship(spark)
 
+    def packed(rows: tuple[list, ...]) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], ["u", "salt", "doc", "tokens"])
+
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            rows = ([], [], [], [])
+            rows, size = ([], [], [], []), 0
             places = piece.column(piece.schema.get_field_index("places")).to_pylist()
             for doc, s, at in zip(piece.column(0).to_pylist(), _sets(piece, "text"), places, strict=True):
                 data = s.tobytes()
                 for p in at:
                     for column, value in zip(rows, (p["u"], p["salt"], doc, data), strict=True):
                         column.append(value)
-            for i in range(0, len(rows[0]), 1000):
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[i : i + 1000], t) for c, t in zip(rows, types, strict=True)], ["u", "salt", "doc", "tokens"]
-                )
+                    size += len(data)
+                    if size > PIECE_BYTES:
+                        yield packed(rows)
+                        rows, size = ([], [], [], []), 0
+            yield packed(rows)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, common = None, []
@@ -451,9 +456,9 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = across_groups(shared, groups)
     meets = stored(meetings(rows, groups))
     release(spark)
-    askers = meets.select("doc").distinct()
-    wanted = attached(rows, meets.select(F.col("target").alias("group")).distinct().withColumn("_in", F.lit(True)), ["group"])
-    wanted = attached(wanted, askers.withColumn("_asks", F.lit(True)), ["doc"]).filter("_in or _asks")
+    targets = stored(meets.select(F.col("target").alias("group"), F.lit(True).alias("_in")).distinct())
+    askers = stored(meets.select("doc", F.lit(True).alias("_asks")).distinct())
+    wanted = attached(attached(rows, targets, ["group"]), askers, ["doc"]).filter("_in or _asks")
     lists = stored(wanted.groupBy("doc", "n", "group").agg(F.collect_list("token").alias("tokens")))
     for every in (False, True):
         pairs = opened(lists, meets, every)
