@@ -19,7 +19,7 @@ draws; a constant feature is never split; a table without rows gives trees that
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -37,6 +37,36 @@ BINS, LOCAL_CELLS, DEEPEST = 64, 200_000, 60
 HISTOGRAM = 1 << 20
 
 
+def values_at(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The values of the leaves that the rows of ``x`` fall into."""
+    at = np.zeros(len(x), np.int64)
+    while True:
+        feature = tree["feature"][at]
+        inner = np.flatnonzero(feature >= 0)
+        if not len(inner):
+            return tree["value"][at]
+        node = at[inner]
+        at[inner] = tree["left"][node] + (x[inner, feature[inner]] > tree["limit"][node])
+
+
+def scored(df: DataFrame, model, keep: Sequence[str], added: str, made: Callable[[object, np.ndarray], dict[str, pa.Array]]) -> DataFrame:
+    """The kept columns and those that ``made`` works out from the model's features, by Arrow batches."""
+    require_columns(df, *model.features, *keep)
+    ship_package(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    slim = df.select(*[col(c) for c in keep], F.array(*[F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in model.features]).alias("_x"))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]], added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(sent.value.features))
+            more = made(sent.value, x)
+            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*kept, *more.values()], [*batch.schema.names[:-1], *more])
+
+    return slim.mapInArrow(run, schema)
+
+
 @dataclass(frozen=True)
 class Forest:
     """Grown trees: for each tree heap numbers in order, the feature (-1 in a leaf), limit, gain, rows and value."""
@@ -49,16 +79,7 @@ class Forest:
         """Mean over the trees: class shares by row, or one value by row."""
         total = 0.0
         for tree in self.trees:
-            at = np.zeros(len(x), np.int64)
-            while True:
-                feature = tree["feature"][at]
-                inner = np.flatnonzero(feature >= 0)
-                if not len(inner):
-                    break
-                node = at[inner]
-                right = x[inner, feature[inner]] > tree["limit"][node]
-                at[inner] = tree["left"][node] + right
-            total = total + tree["value"][at]
+            total = total + values_at(tree, x)
         return total / max(len(self.trees), 1)
 
     @cached_property
@@ -78,27 +99,15 @@ class Forest:
 
     def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """The kept columns with ``prediction``, or with ``y_pred`` and ``score`` (the share of the last class)."""
-        require_columns(df, *self.features, *keep)
-        ship_package(df.sparkSession)
-        model = df.sparkSession.sparkContext.broadcast(self)
-        slim = df.select(*[col(c) for c in keep], F.array(*[F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in self.features]).alias("_x"))
-        added = "prediction double" if self.classes is None else "y_pred int, score double"
-        schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]], added])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            forest = model.value
-            for batch in batches:
-                x = batch.column(batch.num_columns - 1).values.to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(forest.features))
-                got = forest.predict(x) if len(x) else np.zeros((0, 2))
-                if forest.classes is None:
-                    more = {"prediction": pa.array(got.reshape(len(x), -1)[:, 0])}
-                else:
-                    names = np.array(forest.classes, np.int32)
-                    more = {"y_pred": pa.array(names[got.argmax(1)] if len(x) else names[:0]), "score": pa.array(got[:, -1])}
-                kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, *more.values()], [*batch.schema.names[:-1], *more])
-
-        return slim.mapInArrow(run, schema)
+
+        def made(forest: Forest, x: np.ndarray) -> dict[str, pa.Array]:
+            got = forest.predict(x) if len(x) else np.zeros((0, 2))
+            if forest.classes is None:
+                return {"prediction": pa.array(got.reshape(len(x), -1)[:, 0])}
+            names = np.array(forest.classes, np.int32)
+            return {"y_pred": pa.array(names[got.argmax(1)] if len(x) else names[:0]), "score": pa.array(got[:, -1])}
+
+        return scored(df, self, keep, "prediction double" if self.classes is None else "y_pred int, score double", made)
 
     def nodes(self, tree: int = 0) -> list[tuple]:
         """(node, feature, limit, rows, value) of one tree, in heap order."""
@@ -293,13 +302,15 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
     return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
 
-def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, local_cells: int = LOCAL_CELLS) -> DataFrame:
-    """(tree, node, n, s..., feature, bin, gain) of all nodes of all trees. ``start`` is read twice or more."""
+def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, local_cells: int = LOCAL_CELLS, cells: int | None = None) -> DataFrame:
+    """(tree, node, n, s..., feature, bin, gain) of all nodes of all trees. ``start`` has ``cells`` rows; without that
+    number it is counted, and so read twice."""
     spark = start.sparkSession
     names = [f"s{i}" for i in range(n_sums)]
     columns = ["tree", "node", "bins", "n", *names]
     state, told = start.select(*columns), []
-    while start.count() > local_cells:  # else no node can have more
+    total = start.count() if cells is None else cells
+    while total > local_cells:  # else no node can have more
         large = durable(state.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > local_cells).select("tree", "node"))
         if large.isEmpty():
             break
@@ -353,6 +364,15 @@ def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, loc
     return out
 
 
+def tree_of(rows, cuts: list[list[float]], value: np.ndarray) -> dict[str, np.ndarray]:
+    """The arrays of one tree from its rows in heap order (pandas)."""
+    ids, feature, at = rows["node"].to_numpy(), rows["feature"].to_numpy(), rows["bin"].to_numpy()
+    limit = np.array([cuts[f][b] if f >= 0 else np.nan for f, b in zip(feature, at, strict=True)])
+    left = np.searchsorted(ids, 2 * ids)
+    gain, n = rows["gain"].to_numpy(), rows["n"].to_numpy()
+    return {"id": ids, "feature": feature, "bin": at, "limit": limit, "gain": gain, "rows": n, "value": value, "left": left}
+
+
 def fit(
     df: DataFrame,
     features: Sequence[str],
@@ -391,10 +411,6 @@ def fit(
     out = []
     for _, rows in found.groupby("tree", sort=True):
         rows = rows.sort_values("node")
-        ids, feature, at = rows["node"].to_numpy(), rows["feature"].to_numpy(), rows["bin"].to_numpy()
-        limit = np.array([cuts[f][b] if f >= 0 else np.nan for f, b in zip(feature, at, strict=True)])
         sums = rows[[f"s{i}" for i in range(n_sums)]].to_numpy()
-        value = sums[:, 1:2] / sums[:, :1] if classes is None else sums / sums.sum(1, keepdims=True)
-        left = np.searchsorted(ids, 2 * ids)
-        out.append({"id": ids, "feature": feature, "limit": limit, "gain": rows["gain"].to_numpy(), "rows": rows["n"].to_numpy(), "value": value, "left": left})
+        out.append(tree_of(rows, cuts, sums[:, 1:2] / sums[:, :1] if classes is None else sums / sums.sum(1, keepdims=True)))
     return Forest(tuple(features), None if classes is None else tuple(classes), out)

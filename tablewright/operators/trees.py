@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col, md5_bits
-from tablewright.operators import growing
+from tablewright.operators import boosting, growing
 from tablewright.operators.association import assemble, fit_on, fixed_layout, importance_frame, training_rows
 from tablewright.operators.linear import balanced_weights
 from tablewright.session import reused
@@ -65,20 +64,19 @@ def fit_tree_classifier(
     )
 
 
-def fit_boosting_classifier(df, features, target, key, rounds=100, rate=0.1, depth=3, validation=0.1, tolerance=1e-4, seed=42):
-    """Boosting that stops early on a validation share chosen by key hash.
+def fit_boosting_classifier(
+    df, features, target, key, rounds=100, rate=0.1, depth=3, min_split=2, min_leaf=1, validation=0.1, patience=5, tolerance=1e-4, seed=42
+):
+    """Boosting that ends after ``patience`` rounds without progress on a validation share chosen by key hash.
 
     The hash is salted, so that the choice is independent of a train/test split on the plain key hash.
     """
-    marked = df.withColumn("_validate", md5_bits(col(key), F.lit("validation")) < int(validation * 4294967296))
-    learner = GBTClassifier(
-        labelCol=target, maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, validationIndicatorCol="_validate", validationTol=tolerance
-    )
-    return fit_on(learner, _rows(marked, features, target, False, keep=["_validate"]))
+    judges = md5_bits(col(key), F.lit("validation")) < int(validation * 4294967296)
+    return boosting.fit(df, features, target, True, rounds, rate, depth, min_split, min_leaf, judges, patience, tolerance, seed=seed)
 
 
 def score_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    if isinstance(model, growing.Forest):
+    if isinstance(model, (growing.Forest, boosting.Boosted)):
         return model.score(df, keep)
     scored = model.transform(assemble(df, features, keep=keep))
     return scored.select(
@@ -87,14 +85,14 @@ def score_classes(model, df: DataFrame, features: Sequence[str], keep: Sequence[
 
 
 def score_values(model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    if isinstance(model, growing.Forest):
+    if isinstance(model, (growing.Forest, boosting.Boosted)):
         return model.score(df, keep)
     scored = model.transform(assemble(df, features, keep=keep))
     return scored.select(*[col(c) for c in keep], F.col("prediction"))
 
 
 def importances(df: DataFrame, features: Sequence[str], model, top: int | None = None) -> DataFrame:
-    values = model.importances if isinstance(model, growing.Forest) else model.featureImportances.toArray()
+    values = model.importances if isinstance(model, (growing.Forest, boosting.Boosted)) else model.featureImportances.toArray()
     out = importance_frame(df, features, values)
     return out if top is None else out.limit(top)
 
@@ -137,6 +135,8 @@ def staged_accuracy(model, df: DataFrame, features: Sequence[str], label: str, s
 
     The trees add to a running margin column, and all rounds are scored in one aggregation.
     """
+    if isinstance(model, boosting.Boosted):
+        return model.staged(df, label, split)
     rows = assemble(df, features, keep=[label, split])
     margins, total = [], F.lit(0.0)
     for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights, strict=True)):

@@ -6,6 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from tablewright.operators import bayes as B
+from tablewright.operators import boosting as T
 from tablewright.operators import kernel as V
 from tablewright.operators import linear as L
 from tablewright.operators import metrics as M
@@ -414,6 +415,26 @@ def boosting_classification(spark, folder):
     return _classified(R.score_classes(model, df.filter("not is_train"), XS, ["returned"]), "returned")
 
 
+@query(
+    "boosting_first_round",
+    "M15 M5",
+    f"""WITH {TRADES}, e AS ({" UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, {c}::DOUBLE AS v, returned AS y FROM trades" for i, c in enumerate(XS))}),
+    c AS (SELECT f, feature, v, count(*) AS n, sum(y) AS p FROM e GROUP BY ALL),
+    w AS (SELECT f, feature, v, lead(v) OVER g AS next, sum(n) OVER g AS n, sum(p) OVER g AS p, sum(n) OVER (PARTITION BY f) AS tn, sum(p) OVER (PARTITION BY f) AS tp
+          FROM c WINDOW g AS (PARTITION BY f ORDER BY v)),
+    s AS (SELECT *, tp / tn AS s FROM w WHERE next IS NOT NULL),
+    b AS (SELECT *, round((p - n * s) ** 2 / n + (tp - p - (tn - n) * s) ** 2 / (tn - n), 6) AS gain FROM s ORDER BY gain DESC, f, v LIMIT 1)
+    SELECT feature, round((v + next) / 2, 6) AS cut, round(ln(s / (1 - s)), 6) AS base, round((p - n * s) / (n * s * (1 - s)), 6) AS below,
+      round((tp - p - (tn - n) * s) / ((tn - n) * s * (1 - s)), 6) AS above FROM b""",
+)
+def boosting_first_round(spark, folder):
+    """The split of the first tree of one level, and the Newton steps of its two leaves."""
+    model = T.fit(trades(spark, folder), XS, "returned", True, rounds=1, depth=1)
+    tree = model.trees[0]
+    row = (XS[tree["feature"][0]], round(float(tree["limit"][0]), 6), round(model.base, 6), *(round(float(v), 6) for v in tree["value"][1:, 0]))
+    return spark.createDataFrame([row], "feature string, cut double, base double, below double, above double")
+
+
 @query("boosting_stages", "M18 M15")
 def boosting_stages(spark, folder):
     df = _class_rows(spark, folder)

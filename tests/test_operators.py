@@ -18,6 +18,7 @@ from tablewright.operators import metrics as M
 from tablewright.operators import neighbors as N
 from tablewright.operators import project as P
 from tablewright.operators import registry as R
+from tablewright.operators import boosting
 from tablewright.operators import growing as G
 from tablewright.operators import trees
 from tablewright.sources import tables as S
@@ -378,3 +379,37 @@ def test_trees_of_odd_rows(spark):
     gap = trees.overfit_gap(model, df.filter("id < 3"), df.filter("id = 4"), "y").first()
     assert tuple(gap) == (1.0, 1.0, 0.0)
     assert trees.tree_rules(model).splitlines()[0] == "all"
+
+
+def test_boosting_stops_after_its_best_round(spark):
+    falling = [1 / (i + 1) for i in range(10)]
+    assert boosting.rounds_kept(falling, 5, 1e-4) == (10, False)
+    assert boosting.rounds_kept([*falling, *[0.2] * 4], 5, 1e-4) == (10, False)
+    assert boosting.rounds_kept([*falling, *[0.2] * 5], 5, 1e-4) == (10, True)
+    assert boosting.rounds_kept([1.0, 0.99995, 0.9999, 0.99985], 3, 1e-3) == (1, True)
+    df = spark.range(600).select("id", (F.col("id") % 10).cast("double").alias("a"), F.pmod(F.xxhash64("id"), F.lit(10)).cast("double").alias("b"))
+    df = df.withColumn("y", (F.col("a") + F.pmod(F.xxhash64("id", F.lit(3)), F.lit(7)) > 7).cast("int"))
+    model = trees.fit_boosting_classifier(df, ["a", "b"], "y", "id", rounds=40, rate=0.5)
+    held = [loss for _, loss in model.losses]
+    assert len(model.trees) == len(held) == model.best + 5 and min(held) >= held[model.best - 1] - 1e-4
+    got = {(r["split"], r["iteration"]): r["accuracy"] for r in trees.staged_accuracy(model, df.withColumn("part", F.col("id") < 500), ["a", "b"], "y", "part").collect()}
+    assert len(got) == 2 * len(held) and got[True, model.best] > 0.75
+    scored = model.score(df, ["id", "y"]).collect()
+    right = sum(r["y_pred"] == r["y"] for r in scored if r["id"] < 500) / 500
+    assert right == pytest.approx(got[True, model.best]) and all(0 < r["score"] < 1 for r in scored)
+    assert model.importances[0] > model.importances[1]
+
+
+def test_boosting_of_squares_by_brute_force(spark):
+    rows_ = [(i, float(i % 6), (i * 7 % 11) / 2.0) for i in range(60)]
+    df = spark.createDataFrame(rows_, "id int, x double, y double")
+    model = boosting.fit(df, ["x"], "y", False, rounds=3, rate=0.5, depth=1)
+    y, x = np.array([r[2] for r in rows_]), np.array([r[1] for r in rows_])
+    margin = np.full(60, y.mean())
+    for _ in range(3):
+        rest = y - margin
+        best = max(np.arange(5), key=lambda c: (round(rest[x <= c].sum() ** 2 / (x <= c).sum() + rest[x > c].sum() ** 2 / (x > c).sum(), 6), -c))
+        margin = margin + 0.5 * np.where(x <= best, rest[x <= best].mean(), rest[x > best].mean())
+    got = {r["id"]: r["prediction"] for r in model.score(df, ["id"]).collect()}
+    assert [got[i] for i in range(60)] == pytest.approx(margin.tolist())
+    assert model.best == 3 and model.losses[-1][0] == pytest.approx(((y - margin) ** 2).mean())
