@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import gc
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -17,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablewright.session import shared_folder
+from tablewright.session import ship_package as ship  # noqa: F401  (the operators take it from here)
 
 # Text handled at a time inside a worker; bounds the Python objects alive, not the results.
 PIECE_BYTES = 1 << 20
@@ -25,7 +23,6 @@ BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 # Entries of one generation of a worker's cache; two generations are alive at most.
 CACHE_ENTRIES = 100_000
 
-_shipped: set[str] = set()
 _models: dict[tuple[str, bytes], Any] = {}
 
 
@@ -33,24 +30,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that tasks can import it anywhere."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if os.path.isdir(package):  # else the package already came as an archive
-        archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), "tablewright_package.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        out.write(path, os.path.join("tablewright", os.path.relpath(path, package)))
-        spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
-
-
 def new_folder(spark: SparkSession) -> str:
     """A fresh place in the cluster's shared folder; it goes when the application's file systems close."""
     path = f"{shared_folder(spark)}/tablewright-{uuid.uuid4().hex}"
