@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.ordered import spread
@@ -29,6 +29,12 @@ def as_vector(df: DataFrame, features: Sequence[str], output: str = "vector") ->
     return df.withColumn(output, F.array(*[col(c).cast("double") for c in features]))
 
 
+def _whole(vector: str) -> Column:
+    """The vector as doubles; a null vector, or one that holds a null, stops the job: it has no distance."""
+    v = col(vector).cast("array<double>")
+    return F.when(v.isNotNull() & ~F.exists(v, lambda x: x.isNull()), v).otherwise(F.raise_error(F.lit(f"{vector} holds a null")).cast("array<double>"))
+
+
 def _matrix(series: pd.Series) -> np.ndarray:
     return np.asarray(series.tolist(), dtype=np.float64)
 
@@ -57,12 +63,12 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, distance, neighbor_id, payload): the k nearest by (distance, id), exactly.
 
-    Ids are integers. Both inputs are read more than once, so pass stored tables or cheap plans.
+    Ids are integers. A vector with a null raises; fill or drop such rows first. Both inputs are read more than once, so pass stored tables or cheap plans.
     """
     spark = queries.sparkSession
     ship_package(spark)
-    t = train.select(col(train_id).cast("bigint").alias("tid"), col(payload).cast("double").alias("value"), col(vector).cast("array<double>").alias("tv"))
-    q = queries.select(col(query_id).cast("bigint").alias("qid"), col(vector).cast("array<double>").alias("qv"))
+    t = train.select(col(train_id).cast("bigint").alias("tid"), col(payload).cast("double").alias("value"), _whole(vector).alias("tv"))
+    q = queries.select(col(query_id).cast("bigint").alias("qid"), _whole(vector).alias("qv"))
     # Of identical vectors only the k smallest ids can ever be neighbours. The limit is applied
     # before the shuffle, so a vector copied a billion times moves k rows per partition.
     copies = Window.partitionBy("tv").orderBy("tid")

@@ -413,3 +413,12 @@ def test_boosting_of_squares_by_brute_force(spark):
     got = {r["id"]: r["prediction"] for r in model.score(df, ["id"]).collect()}
     assert [got[i] for i in range(60)] == pytest.approx(margin.tolist())
     assert model.best == 3 and model.losses[-1][0] == pytest.approx(((y - margin) ** 2).mean())
+
+
+def test_vectors_with_nulls_raise(spark):
+    good = spark.createDataFrame([(1, [0.0, 1.0], 2.0), (2, [1.0, 1.0], 3.0)], "id int, vector array<double>, y double")
+    bad = spark.createDataFrame([(3, [0.0, None], 2.0)], "id int, vector array<double>, y double")
+    assert N.nearest(good, good, "id", "id", 1, "y").count() == 2
+    for queries, train in ((bad, good), (good, bad.unionAll(good))):
+        with pytest.raises(Exception, match="holds a null"):
+            N.nearest(queries, train, "id", "id", 1, "y").collect()
