@@ -150,19 +150,20 @@ def rules() -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class QualityModel:
-    """The share of good texts, and for each rule a table of P(vote | class): rows good and bad, columns the votes
-    good, bad and none."""
+    """The share of good texts, and for each rule by class (good, bad) how often it votes good and bad where it votes,
+    and how often it abstains."""
 
     share: float
-    tables: dict[str, tuple[tuple[float, float, float], tuple[float, float, float]]]
+    votes: dict[str, tuple[tuple[float, float], tuple[float, float]]]
+    silent: dict[str, tuple[float, float]]
+
+    def tables(self) -> dict[str, list[tuple[float, float, float]]]:
+        """P(vote | class) of each rule: rows good and bad, columns the votes good, bad and none."""
+        return {n: [(g * (1 - none), b * (1 - none), none) for (g, b), none in zip(self.votes[n], self.silent[n], strict=True)] for n in self.votes}
 
     def weights(self) -> dict[str, tuple[float, float]]:
         """Log odds that a good and a bad vote of each rule give, among the texts on which it votes."""
-        out = {}
-        for name, (good, bad) in self.tables.items():
-            (g1, b1), (g2, b2) = ((row[0] / (row[0] + row[1]), row[1] / (row[0] + row[1])) for row in (good, bad))
-            out[name] = (float(np.log(g1 / g2)), float(np.log(b1 / b2)))
-        return out
+        return {n: (float(np.log(g1 / g2)), float(np.log(b1 / b2))) for n, ((g1, b1), (g2, b2)) in self.votes.items()}
 
     def posterior(self) -> Column:
         """P(good | votes)."""
@@ -174,9 +175,9 @@ class QualityModel:
         return F.round(1 / (1 + F.exp(-odds)), 6)
 
 
-def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray]:
-    """The share of good texts and P(vote | class) by (rule, class, vote) from vote patterns: ``votes`` (pattern, rule)
-    and ``counts`` (pattern). Rules err independently given the class.
+def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray, np.ndarray]:
+    """The share of good texts, P(vote | class, voted) by (rule, class, vote) and P(none | class) by (rule, class) from
+    vote patterns: ``votes`` (pattern, rule) and ``counts`` (pattern). Rules err independently given the class.
 
     The start (SHARE, START) names the classes and counts for PRIOR_VOTES votes a class and rule; nothing else holds
     the estimates.
@@ -200,8 +201,7 @@ def expectation_maximisation(votes: np.ndarray, counts: np.ndarray, rounds: int
     logs = np.einsum("prv,rcv->pc", cast, np.log(right)) + np.log([share, 1 - share])
     good = 1 / (1 + np.exp(logs[:, 1] - logs[:, 0]))
     weight = counts[:, None] * np.stack([good, 1 - good], 1)
-    silent = (np.einsum("pc,pr->rc", weight, none) / np.maximum(weight.sum(0), 1e-300))[:, :, None]
-    return share, np.concatenate([right * (1 - silent), silent], 2)
+    return share, right, np.einsum("pc,pr->rc", weight, none) / np.maximum(weight.sum(0), 1e-300)
 
 
 def fit(measured: DataFrame) -> QualityModel:
@@ -217,8 +217,9 @@ def fit(measured: DataFrame) -> QualityModel:
         .collect()
     )
     votes = np.array([[r[n] for n in names] for r in patterns], float).reshape(-1, len(names))
-    share, tables = expectation_maximisation(votes, np.array([r["rows"] for r in patterns], float))
-    return QualityModel(share, {n: tuple(map(tuple, t.tolist())) for n, t in zip(names, tables, strict=True)})
+    share, right, silent = expectation_maximisation(votes, np.array([r["rows"] for r in patterns], float))
+    table = {n: tuple(map(tuple, t.tolist())) for n, t in zip(names, right, strict=True)}
+    return QualityModel(share, table, {n: tuple(t.tolist()) for n, t in zip(names, silent, strict=True)})
 
 
 def judged(measured: DataFrame, model: QualityModel, least: float = 0.5) -> DataFrame:
