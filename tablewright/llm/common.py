@@ -20,6 +20,8 @@ from tablewright.session import ship_package as ship  # noqa: F401  (the operato
 PIECE_BYTES = 1 << 20
 # Bytes of an Arrow batch that Spark sends to a worker: texts are of any length, so that rows bound nothing.
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+# Bytes of a row group of stored tables: a writer holds one in memory.
+ROW_GROUP = 16 << 20
 # Entries of one generation of a worker's cache; two generations are alive at most.
 CACHE_ENTRIES = 100_000
 
@@ -61,7 +63,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = new_folder(df.sparkSession)
     with small_batches(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
