@@ -30,8 +30,10 @@ from tablewright.llm.common import Generations, map_columns, model, pieces, ship
 from tablewright.llm.words import Words, WordTable
 
 SHORT = 48
-# Entries of a worker's table of encoded stretches.
-UNITS = 1_500_000
+# Entries of a worker's table of encoded stretches; of one that decodes as well.
+UNITS, FEW_UNITS = 1_500_000, 700_000
+# Text encoded and decoded at a time, and id lists decoded together.
+ROUND_BYTES, LISTS = 1 << 18, 256
 NONE = np.int32(2**31 - 1)
 # Unicode's White_Space, which is what \s means in the library's patterns.
 SPACE = "\t-\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -58,7 +60,7 @@ def byte_letters() -> list[str]:
 class RankArrays:
     """The merges and vocabulary of one file, and the encoder over them."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, units: int = UNITS):
         spec = json.loads(content)
         bpe = spec["model"]
         if bpe.get("type", "BPE") != "BPE" or not bpe.get("end_of_word_suffix") or spec.get("decoder") is not None:
@@ -82,7 +84,7 @@ class RankArrays:
         found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.split_special = regex.compile(f"({found})") if found else None
         # Stretches between ASCII white space, and the words inside them.
-        self.units, self.word_cache = WordTable(UNITS), Generations()
+        self.units, self.word_cache = WordTable(units), Generations()
 
     # ------------------------------------------------------------------ words
 
@@ -242,8 +244,9 @@ def vocabulary(df: DataFrame, path: str):
     return df.sparkSession.sparkContext.broadcast(content)
 
 
-def encoder(content: str) -> RankArrays:
-    return model("bpe", hashlib.sha256(content.encode()).digest(), lambda: RankArrays(content))
+def encoder(content: str, units: int = UNITS) -> RankArrays:
+    key = hashlib.sha256(content.encode()).digest() + units.to_bytes(8, "little")
+    return model("bpe", key, lambda: RankArrays(content, units))
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -261,9 +264,26 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, None):
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, LISTS):
+                part = batch.slice(start, LISTS)
                 lists = part.column(part.schema.get_field_index(ids)).cast(pa.list_(pa.int32()))
                 yield with_columns(part, {text: encoder(sent.value).decode(lists)})
 
     return df.mapInArrow(run, with_fields(df.schema, [(text, T.StringType())]))
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode`` after ``encode`` in one worker: adds ``ids`` and ``decoded`` and drops the text.
+
+    Two operators in a row keep two workers a core, each with the vocabulary; this takes one, with a smaller
+    table of stretches and less text at a time.
+    """
+    sent = vocabulary(df, path)
+
+    def make(texts: pa.Array) -> dict[str, pa.Array]:
+        ranks = encoder(sent.value, FEW_UNITS)
+        lists = id_lists(*ranks.encode(texts)).cast(pa.list_(pa.int32()))
+        return {ids: lists, decoded: ranks.decode(lists)}
+
+    added = [(ids, T.ArrayType(T.IntegerType())), (decoded, T.StringType())]
+    return map_columns(df, text, added, make, keep_text=False, limit=ROUND_BYTES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -78,13 +79,23 @@ def release(spark: SparkSession) -> None:
 
 
 def model(kind: str, key: bytes, build: Callable[[], Any]) -> Any:
-    """One parsed model per worker process, kept between tasks."""
+    """One parsed model per worker process, kept between tasks until the worker needs one of another kind."""
     found = _models.get((kind, key))
     if found is None:
+        for other in [k for k in _models if k[0] != kind]:
+            del _models[other]
         found = _models[(kind, key)] = build()
     return found
 
 
+def give_back() -> None:
+    """Return the worker's freed memory to the system, from Arrow's pool and, where the C library can, from its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str | None, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of column ``text`` each; one row at least."""
     for batch in batches:
@@ -100,7 +111,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str | None, limit: int = PIE
                 start, seen = i, 0
             seen += int(n)
         yield batch.slice(start)
-    pa.default_memory_pool().release_unused()  # the worker goes on to other stages
+    give_back()  # the worker goes on to other stages
 
 
 def with_fields(schema: T.StructType, added: list[tuple[str, T.DataType]]) -> T.StructType:
@@ -121,6 +132,7 @@ def map_columns(
     added: list[tuple[str, T.DataType]],
     make: Callable[[pa.Array], dict[str, pa.Array]],
     keep_text: bool = True,
+    limit: int = PIECE_BYTES,
 ) -> DataFrame:
     """Add columns computed from one text column, a bounded piece of an Arrow batch at a time."""
     ship(df.sparkSession)
@@ -129,7 +141,7 @@ def map_columns(
         schema = T.StructType([f for f in schema.fields if f.name != text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, text):
+        for piece in pieces(batches, text, limit):
             out = with_columns(piece, make(piece.column(piece.schema.get_field_index(text))))
             yield out if keep_text else out.drop_columns([text])
 

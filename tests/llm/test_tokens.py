@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewright.llm import bpe, token_counts, token_files
@@ -80,6 +81,11 @@ def test_decoding(spark, library):
     ids = wanted(library, ODD)
     assert [r["ids"] for r in rows] == ids
     assert [r["decoded"] for r in rows] == library.decode_batch(ids, skip_special_tokens=False)
+    both = bpe.round_trip(df.withColumn("decoded", F.lit("clash")), WORD).orderBy("id")
+    assert both.columns == ["id", "ids", "decoded"] and both.collect() == [r[:1] + r[2:] for r in rows]
+    assert bpe.round_trip(df.limit(0), WORD).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, "")], "id int, text string")
+    assert [tuple(r) for r in bpe.round_trip(nothing, WORD).collect()] == [(1, [], ""), (2, [], "")]
     odd = spark.createDataFrame([(None,), ([],), ([320, -1, 10**6, 321],)], "ids array<int>")
     assert [r["decoded"] for r in bpe.decode(odd, WORD).collect()] == [None, "", library.decode([320, 321])]
     assert bpe.encode(df.limit(0), WORD).count() == 0
