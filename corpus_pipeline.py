@@ -45,8 +45,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang and source with the token ids, their number, and the digest of the text decoded from them."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    decoded = bpe.decode(encoded, path)
+    decoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
     return decoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
