@@ -205,6 +205,23 @@ def new_models(candidates: DataFrame, registry: DataFrame, key: str = "model_nam
     return candidates.join(registry.select(key), key, "left_anti")
 
 
+def accepted_models(candidates: DataFrame, registry: DataFrame, key: str = "model_name", hash_column: str = "model_hash", model_id: str = "id") -> DataFrame:
+    """Candidates that may be registered: neither their key nor their content is registered yet, and of
+    candidates with one content the one with the smallest id. A null content hash repeats nothing.
+
+    A batch that was registered has nothing left to accept, so that a repeated run changes nothing.
+    """
+    fresh = new_models(candidates, registry, key).join(registry.select(hash_column), hash_column, "left_anti")
+    first = fresh.filter(col(hash_column).isNotNull()).groupBy(col(hash_column)).agg(F.min(col(model_id)).alias("_first"))
+    marked = fresh.join(first, hash_column, "left").filter(F.col("_first").isNull() | (F.col("_first") == col(model_id)))
+    return marked.select(*candidates.columns)
+
+
+def registered_parameters(accepted: DataFrame, parameters: DataFrame) -> DataFrame:
+    """The rows of the long parameter table (by model_id) that belong to the accepted models."""
+    return parameters.join(accepted.select(F.col("id").alias("model_id")), "model_id", "left_semi")
+
+
 def registration(candidates: DataFrame, registry: DataFrame, metric_columns: Sequence[str]) -> dict[str, DataFrame]:
     """A registration batch: rows for the registry, rows for the metric table, and a one-row summary.
 

@@ -275,6 +275,28 @@ def registration_metrics(spark, folder):
     return _plain(R.registration(m, m.filter("id % 10 < 4"), ["balance", "r2_score"])["metrics"])
 
 
+# Models of one algorithm and author count as one content here; every tenth model is registered already.
+ACCEPTED = f"""{MODELS}, hashed AS (SELECT id, model_name, sha256(algorithm || '|' || created_by) AS h FROM models),
+  known AS (SELECT * FROM hashed WHERE id % 10 < 1),
+  fresh AS (SELECT * FROM hashed WHERE model_name NOT IN (SELECT model_name FROM known) AND h NOT IN (SELECT h FROM known)),
+  accepted AS (SELECT min(id) AS id, h AS model_hash FROM fresh GROUP BY h)"""
+
+
+def _accepted(spark, folder):
+    m = models(spark, folder).withColumn("model_hash", R.content_hash(F.col("algorithm"), F.col("created_by")))
+    return R.accepted_models(m, m.filter("id % 10 < 1"))
+
+
+@query("registration_accepted", "G11 G12", f"WITH {ACCEPTED} SELECT a.id, m.model_name, a.model_hash FROM accepted a JOIN models m USING (id)")
+def registration_accepted(spark, folder):
+    return _accepted(spark, folder).select("id", "model_name", "model_hash")
+
+
+@query("registration_parameters", "G11 M21", f"WITH {ACCEPTED}, {PARAMETERS} SELECT p.* FROM parameters p WHERE model_id IN (SELECT id FROM accepted)")
+def registration_parameters(spark, folder):
+    return R.registered_parameters(_accepted(spark, folder), model_parameters(spark, folder))
+
+
 @query(
     "duplicate_hashes",
     "G12",

@@ -422,3 +422,18 @@ def test_vectors_with_nulls_raise(spark):
     for queries, train in ((bad, good), (good, bad.unionAll(good))):
         with pytest.raises(Exception, match="holds a null"):
             N.nearest(queries, train, "id", "id", 1, "y").collect()
+
+
+def test_registration_refuses_repeats(spark):
+    from tablewright.operators import registry as R
+
+    schema = "id long, model_name string, model_hash string, _note string"
+    known = spark.createDataFrame([(1, "a", "x", None), (2, "b", None, None)], schema)
+    rows = [(3, "a", "n", None), (4, "c", "x", None), (5, "d", "y", "p"), (6, "e", "y", None), (7, "f", None, None), (8, "g", None, None)]
+    batch = spark.createDataFrame(rows, schema)
+    taken = R.accepted_models(batch, known)
+    assert taken.columns == batch.columns and sorted(tuple(r) for r in taken.collect()) == [rows[2], rows[4], rows[5]]
+    assert R.accepted_models(batch, known.unionByName(taken)).count() == 0
+    assert R.accepted_models(batch.limit(0), known).count() == 0
+    parameters = spark.createDataFrame([(5, "k"), (6, "k"), (5, "j")], "model_id long, parameter_name string")
+    assert sorted(r[1] for r in R.registered_parameters(taken, parameters).collect()) == ["j", "k"]
