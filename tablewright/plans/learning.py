@@ -482,7 +482,15 @@ def svr_regression(spark, folder):
     return M.regression_metrics(model.predict(df.filter("not is_train"), ["y"]), "y", "prediction")
 
 
-@query("hyper_parameters", "M21 G14")
+@query(
+    "hyper_parameters",
+    "M21 G14",
+    """SELECT * FROM (VALUES ('aggregationDepth', '2', 'int'), ('elasticNetParam', '0.0', 'float'), ('epsilon', '1.35', 'float'),
+      ('featuresCol', 'features', 'str'), ('fitIntercept', 'True', 'bool'), ('labelCol', 'y', 'str'), ('loss', 'squaredError', 'str'),
+      ('maxBlockSizeInMB', '0.0', 'float'), ('maxIter', '100', 'int'), ('predictionCol', 'prediction', 'str'), ('regParam', '0.0', 'float'),
+      ('solver', 'normal', 'str'), ('standardization', 'True', 'bool'), ('tol', '1e-06', 'float'))
+      AS t(parameter_name, parameter_value, parameter_type)""",
+)
 def hyper_parameters(spark, folder):
     df = _value_rows(spark, folder)
     model = L.fit_ols(df.filter("is_train"), XS, "y")
