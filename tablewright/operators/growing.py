@@ -3,15 +3,17 @@
 1. Every feature is cut into at most ``bins`` bins: its own values if they are few, quantiles otherwise.
 2. Rows of the same bins are one cell of a tree, with the sums that a split needs: rows, and either the weight of
    each class or weight, weighted target and its square. Bootstrap draws (Poisson of mean one, from a hash of
-   the row and the tree) are made and summed in the JVM before the shuffle, so that all trees come from one
-   pass over the rows.
-3. Nodes with more than ``LOCAL_CELLS`` cells are split level by level: one aggregation over (tree, node, feature,
-   bin) for all of them, windows over the bins for the best split, and a join that sends the cells down.
+   the row and the tree) are made for all trees in one
+   pass over the rows: a task draws sorted rows by batches and sums them before the shuffle.
+3. Nodes with more than ``LOCAL_CELLS`` cells are split level by level: sums by (tree, node, feature, bin) in each
+   task, one small aggregation of them, and windows over the bins for the best split. The cells stay where they are;
+   the few splits so far tell a cell's node.
 4. A node with fewer cells is grown to the end in the task that its cells are sent to, again by levels.
 
 Nodes carry heap numbers (1, then 2n and 2n + 1), so a tree may be up to ``DEEPEST`` deep. A split must leave
 ``min_leaf`` rows on both sides and a node needs ``min_split`` rows to be split; ties go to the first feature, then
-the lowest limit. The model is collected: at most two nodes for each cell and tree.
+the lowest limit. The model is collected: at most two nodes for each cell and tree. Where only the gains or the
+accuracy are wanted (``keep``), the trees stay on the executors.
 
 Null features count as 0; rows without a target are left out; rows that are equal in every column share their
 draws; a constant feature is never split; a table without rows gives trees that predict null.
@@ -20,7 +22,7 @@ draws; a constant feature is never split; a table without rows gives trees that
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -32,9 +34,11 @@ from tablewright.functions.scalar import col
 from tablewright.operators.project import require_columns
 from tablewright.session import durable, reused, ship_package
 
-BINS, LOCAL_CELLS, DEEPEST = 64, 200_000, 60
+BINS, LOCAL_CELLS, DEEPEST = 64, 1_000_000, 60
 # Cells of one histogram block.
 HISTOGRAM = 1 << 20
+# Predictions that a worker remembers.
+KNOWN = 1 << 18
 
 
 def values_at(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -82,17 +86,48 @@ class Forest:
             total = total + values_at(tree, x)
         return total / max(len(self.trees), 1)
 
+    @cached_property
+    def _cuts(self) -> list[np.ndarray]:
+        """The limits that any tree has on each feature."""
+        pairs = [(t["feature"][t["feature"] >= 0], t["limit"][t["feature"] >= 0]) for t in self.trees]
+        feature, limit = (np.concatenate(p) for p in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0))
+        return [np.unique(limit[feature == f]) for f in range(len(self.features))]
+
+    @cached_property
+    def _known(self) -> dict[str, np.ndarray]:
+        return {"key": np.zeros(0, np.int64)}
+
+    def predict_each(self, x: np.ndarray) -> np.ndarray:
+        """``predict``, once for all rows that lie between the same limits; a worker remembers ``KNOWN`` of them."""
+        sizes = [len(c) + 1 for c in self._cuts]
+        if np.prod([float(s) for s in sizes]) >= 2.0**62 or not len(x) or not self.trees:
+            return self.predict(x)
+        key = np.zeros(len(x), np.int64)
+        for f, cuts in enumerate(self._cuts):
+            key = key * sizes[f] + np.where(np.isnan(x[:, f]), 0, np.searchsorted(cuts, x[:, f]))
+        unique, first, back = np.unique(key, return_index=True, return_inverse=True)
+        known = self._known
+        at = np.minimum(np.searchsorted(known["key"], unique), max(len(known["key"]) - 1, 0))
+        new = known["key"][at] != unique if len(known["key"]) else np.ones(len(unique), bool)
+        made = self.predict(x[first[new]])
+        out = np.empty((len(unique), *made.shape[1:]))
+        out[new] = made
+        if not new.all():
+            out[~new] = known["value"][at[~new]]
+        if new.any() and len(known["key"]) + new.sum() <= KNOWN:
+            spots = np.searchsorted(known["key"], unique[new])
+            value = np.insert(known["value"], spots, made, axis=0) if "value" in known else made
+            known["key"], known["value"] = np.insert(known["key"], spots, unique[new]), value
+        return out[back]
+
     @cached_property
     def importances(self) -> np.ndarray:
         """Gain by feature, a share in each tree, averaged over trees that have any."""
-        shares = []
+        gains = []
         for tree in self.trees:
             inner = tree["feature"] >= 0
-            gain = np.bincount(tree["feature"][inner], tree["gain"][inner], minlength=len(self.features))
-            if gain.sum() > 0:
-                shares.append(gain / gain.sum())
-        mean = np.mean(shares, axis=0) if shares else np.zeros(len(self.features))
-        return mean / mean.sum() if mean.sum() > 0 else mean
+            gains.append(np.bincount(tree["feature"][inner], tree["gain"][inner], minlength=len(self.features)))
+        return _mean_share(gains, len(self.features))
 
     def depth(self, tree: int = 0) -> int:
         return int(np.log2(self.trees[tree]["id"].max())) if len(self.trees) > tree else 0
@@ -101,7 +136,7 @@ class Forest:
         """The kept columns with ``prediction``, or with ``y_pred`` and ``score`` (the share of the last class)."""
 
         def made(forest: Forest, x: np.ndarray) -> dict[str, pa.Array]:
-            got = forest.predict(x) if len(x) else np.zeros((0, 2))
+            got = forest.predict_each(x) if len(x) else np.zeros((0, 2))
             if forest.classes is None:
                 return {"prediction": pa.array(got.reshape(len(x), -1)[:, 0])}
             names = np.array(forest.classes, np.int32)
@@ -116,6 +151,29 @@ class Forest:
         return list(zip(t["id"].tolist(), names, t["limit"].tolist(), t["rows"].tolist(), t["value"].tolist(), strict=True))
 
 
+def _mean_share(gains: Sequence[np.ndarray], size: int) -> np.ndarray:
+    shares = [gain / gain.sum() for gain in gains if gain.sum() > 0]
+    mean = np.mean(shares, axis=0) if shares else np.zeros(size)
+    return mean / mean.sum() if mean.sum() > 0 else mean
+
+
+def mean_shares(rows: Sequence, size: int) -> np.ndarray:
+    """Importances from gains by (tree, node, feature): as ``Forest.importances`` has them."""
+    gains: dict[int, np.ndarray] = {}
+    for r in sorted(rows, key=lambda r: (r["tree"], r["node"], r["feature"])):
+        gains.setdefault(r["tree"], np.zeros(size))[r["feature"]] += r["gain"]
+    return _mean_share(list(gains.values()), size)
+
+
+@dataclass(frozen=True)
+class Weighed:
+    """What is left of a forest whose trees stayed on the executors: importances, and the accuracy on its own rows."""
+
+    features: tuple[str, ...]
+    importances: np.ndarray
+    accuracy: float | None
+
+
 def limits(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """Cut points of each feature; a value belongs to the first bin whose cut point is not below it."""
     value = {c: F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in features}
@@ -146,39 +204,102 @@ def bin_of(value: Column, cuts: Sequence[float]) -> Column:
     return F.when(value <= float(cuts[middle]), bin_of(value, cuts[:middle])).otherwise(further)
 
 
-def _draws(seed: int) -> Column:
-    """A Poisson number of mean one for a row (its hash) and a tree."""
-    u = F.pmod(F.xxhash64(F.col("_row"), F.col("tree"), F.lit(seed)), F.lit(1 << 32)) / float(1 << 32)
-    total, term, out = 0.0, float(np.exp(-1)), F.lit(0)
-    for k in range(1, 9):
-        total += term
-        out = F.when(u >= total, k).otherwise(out)
-        term /= k
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _mixed(state: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """One more 32-bit number hashed into 64-bit states (XXH64, as the column function does it)."""
+    p1, p2, p3, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    h = (state + np.uint64(p5 + np.uint64(4))) ^ (number.astype(np.uint64) * p1)
+    h = _turned(h, 23) * p2 + p3
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+# Shares of the Poisson distribution of mean one that are below 1, 2, ... 8, in units of 2 ** -32.
+_BELOW = np.ceil(np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 8)])) * 2.0**32).astype(np.uint32)
+# Draws that are made at once.
+DRAWS = 1 << 14
+
+
+def _draws(row: np.ndarray, trees: np.ndarray, seed: int) -> np.ndarray:
+    """(trees, rows): Poisson numbers of mean one from the rows' hashes and the trees."""
+    low = _mixed(_mixed(row[None, :], trees[:, None]), np.array([[seed & 0xFFFFFFFF]])).astype(np.uint32)
+    out = np.zeros(low.shape, np.uint8)
+    for below in _BELOW:
+        out += low >= below
     return out
 
 
+def _drawn(rows: DataFrame, names: list[str], trees: int, sums: int, seed: int, undrawn: bool) -> DataFrame:
+    """(tree, packed bins, n, s0, ...) of the draws of all trees, summed by cell as far as a partition's order allows.
+
+    The rows of a partition are sorted by cell and drawn a batch at a time, so that a task holds one batch and no table
+    of cells, and the trees times the rows are never rows themselves.
+    """
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            packed = [batch.column(n).to_numpy() for n in names]
+            row = batch.column("_state").to_numpy().view(np.uint64)
+            values = [batch.column(f"_v{i}").to_numpy() for i in range(sums)]
+            new = np.concatenate([[True], np.any([p[1:] != p[:-1] for p in packed], axis=0)]) if len(row) > 1 else np.array([True])
+            edges = np.flatnonzero(new)
+            step = max(1, DRAWS // len(row))
+            for first in range(0, trees, step):
+                tree = np.arange(first, min(first + step, trees))
+                k = _draws(row, tree, seed).astype(np.float64)
+                n = np.add.reduceat(k, edges, axis=1)
+                some = np.ones(n.shape, bool) if undrawn else n > 0
+                at, cell = np.nonzero(some)
+                arrays = [pa.array(tree[at], pa.int32()), *[pa.array(p[edges][cell]) for p in packed], pa.array(n[some].astype(np.int64))]
+                arrays += [pa.array(np.add.reduceat(k * v, edges, axis=1)[some]) for v in values]
+                yield pa.RecordBatch.from_arrays(arrays, ["tree", *names, "n", *[f"s{i}" for i in range(sums)]])
+
+    schema = f"tree int, {', '.join(f'{n} long' for n in names)}, n long, {', '.join(f's{i} double' for i in range(sums))}"
+    # Scans may have few tasks, and the draws are the work. A cell's rows go to a sixth of the tasks, so that they are
+    # summed there and yet one large cell is no task's alone.
+    spark = rows.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartition(tasks, *names, F.pmod(F.xxhash64("_state"), F.lit(max(4, tasks // 6))))
+    return dealt.sortWithinPartitions(*names).mapInArrow(run, schema)
+
+
+def _packed(features: Sequence[str], cuts: list[list[float]]) -> list[Column]:
+    """Nine bins of seven bits in one number, which groups faster than an array does."""
+    values = [F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in features]
+    found = [bin_of(v, c).cast("bigint") for v, c in zip(values, cuts, strict=True)]
+    return [sum((F.shiftleft(b, 7 * j) for j, b in enumerate(found[i + 1 : i + 9], 1)), found[i]).alias(f"_p{i}") for i in range(0, len(found), 9)]
+
+
 def cells(
-    df: DataFrame, features: Sequence[str], target: str, cuts: list[list[float]], classes: Sequence | None, trees: int, bootstrap: bool, weight: str | None, seed: int
+    df: DataFrame, features: Sequence[str], target: str, cuts: list[list[float]], classes: Sequence | None, trees: int, bootstrap: bool, weight: str | None, seed: int, undrawn: bool = False
 ) -> DataFrame:
-    """(tree, node, bins, n, s0, s1, ...): the cells of all trees, all at their root."""
+    """(tree, node, bins, n, s0, s1, ...): the cells of all trees, all at their root; ``undrawn`` keeps those that a tree
+    drew no row of, with n = 0."""
     w = F.lit(1.0) if weight is None else col(weight).cast("double")
     y = col(target).cast("double")
-    values = [F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in features]
-    # Nine bins of seven bits go into one number, which groups faster than an array does.
-    found = [bin_of(v, c).cast("bigint") for v, c in zip(values, cuts, strict=True)]
-    packed = [sum((F.shiftleft(b, 7 * j) for j, b in enumerate(found[i + 1 : i + 9], 1)), found[i]).alias(f"_p{i}") for i in range(0, len(found), 9)]
-    names = [f"_p{i}" for i in range(0, len(found), 9)]
+    names = [f"_p{i}" for i in range(0, len(features), 9)]
     rows = df.filter(col(target).isNotNull()).select(
-        *packed, y.alias("_y"), w.alias("_w"), F.xxhash64(*[col(c) for c in df.columns]).alias("_row")
+        *_packed(features, cuts), y.alias("_y"), w.alias("_w"), F.xxhash64(*[col(c) for c in df.columns]).alias("_row")
     )
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("_k", _draws(seed) if bootstrap else F.lit(1))
-    k = F.col("_k")
     if classes is None:
-        sums = [k * F.col("_w"), k * F.col("_w") * F.col("_y"), k * F.col("_w") * F.col("_y") ** 2]
+        sums = [F.col("_w"), F.col("_w") * F.col("_y"), F.col("_w") * F.col("_y") ** 2]
     else:
-        sums = [F.when(F.col("_y") == float(c), k * F.col("_w")).otherwise(0.0) for c in classes]
-    summed = rows.filter(k > 0).groupBy("tree", *names).agg(F.sum(k).alias("n"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(sums)])
-    bins = [F.shiftright(f"_p{i - i % 9}", 7 * (i % 9)).bitwiseAND(F.lit(127)).cast("tinyint") for i in range(len(found))]
+        sums = [F.when(F.col("_y") == float(c), F.col("_w")).otherwise(0.0) for c in classes]
+    if bootstrap:
+        wide = rows.select(*names, F.xxhash64("_row").alias("_state"), *[s.alias(f"_v{i}") for i, s in enumerate(sums)])
+        parts = _drawn(wide, names, trees, len(sums), seed, undrawn)
+        summed = parts.groupBy("tree", *names).agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))])
+    else:
+        one = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(f"s{i}") for i, s in enumerate(sums)])
+        summed = one.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    bins = [F.shiftright(f"_p{i - i % 9}", 7 * (i % 9)).bitwiseAND(F.lit(127)).cast("tinyint") for i in range(len(features))]
     return summed.withColumn("bins", F.array(*bins)).withColumn("node", F.lit(1).cast("bigint")).drop(*names)
 
 
@@ -215,20 +336,19 @@ class Rules:
     seed: int
 
 
-def split_nodes(work: DataFrame, names: list[str], size: int, rules: Rules) -> DataFrame:
-    """(tree, node, n, s..., feature, bin, gain) of every node of the cells: its best split, or nulls."""
-    each = work.select("tree", "node", F.posexplode("bins").alias("feature", "bin"), "n", *names)
+def split_nodes(counted: DataFrame, names: list[str], size: int, rules: Rules) -> DataFrame:
+    """(tree, node, n, s..., feature, bin, gain, lc, rc) of every node: its best split, or nulls, and the drawn cells on
+    both sides. ``counted`` has the sums and the drawn cells (c) by (tree, node, feature, bin)."""
     if rules.subset < size:
         drawn = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda f: F.struct(F.xxhash64("tree", "node", f, F.lit(rules.seed)).alias("h"), f.alias("f"))))
         allowed = F.transform(F.slice(drawn, 1, rules.subset), lambda s: s["f"])
         seen = F.array_contains(allowed, F.col("feature"))
     else:
         seen = F.lit(True)
-    counted = each.groupBy("tree", "node", "feature", "bin").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in names])
     whole = Window.partitionBy("tree", "node", "feature")
     below = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sums = counted.select(
-        "tree", "node", "feature", "bin", F.sum("n").over(below).alias("ln"), F.sum("n").over(whole).alias("n"),
+        "tree", "node", "feature", "bin", F.sum("n").over(below).alias("ln"), F.sum("n").over(whole).alias("n"), F.sum("c").over(below).alias("lc"), F.sum("c").over(whole).alias("c"),
         *[F.sum(s).over(below).alias(f"l{s}") for s in names], *[F.sum(s).over(whole).alias(s) for s in names],
     )
     left, all_ = [F.col(f"l{s}") for s in names], [F.col(s) for s in names]
@@ -239,9 +359,74 @@ def split_nodes(work: DataFrame, names: list[str], size: int, rules: Rules) -> D
     fits = fits & (F.col("ln") < F.col("n"))
     # Rounded, so that splits that are equal but for the order of sums tie.
     gain = F.round(gain, 6)
-    best = F.when(fits & (gain > 1e-12 * total) & (gain >= rules.min_gain * total), F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b")))
+    best = F.when(
+        fits & (gain > 1e-12 * total) & (gain >= rules.min_gain * total),
+        F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), F.col("lc"), (F.col("c") - F.col("lc")).alias("rc")),
+    )
     found = sums.groupBy("tree", "node").agg(F.max("n").alias("n"), *[F.first(s).alias(s) for s in names], F.max(best).alias("best"))
-    return found.select("tree", "node", "n", *names, (-F.col("best.f")).alias("feature"), (-F.col("best.b")).alias("bin"), F.col("best.gain").alias("gain"))
+    return found.select(
+        "tree", "node", "n", *names, (-F.col("best.f")).alias("feature"), (-F.col("best.b")).alias("bin"), F.col("best.gain").alias("gain"), "best.lc", "best.rc"
+    )
+
+
+class Tops:
+    """The splits of large nodes: they are few, and say in which node of its tree a cell is."""
+
+    def __init__(self, splits: dict[tuple[int, int], tuple[int, int]], trees: int):
+        nodes = [(t, 1) for t in range(trees)]
+        for tree, node in splits:
+            nodes += [(tree, 2 * node), (tree, 2 * node + 1)]  # side by side
+        place = {key: i for i, key in enumerate(nodes)}
+        self.heap = np.array([node for _, node in nodes], np.int64)
+        self.tree = np.array([tree for tree, _ in nodes], np.int64)
+        self.feature, self.limit, self.left = np.full(len(nodes), -1), np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+        for (tree, node), (feature, limit) in splits.items():
+            i = place[tree, node]
+            self.feature[i], self.limit[i], self.left[i] = feature, limit, place[tree, 2 * node]
+
+    def places(self, tree: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        at = tree.astype(np.int64)
+        while True:
+            inner = np.flatnonzero(self.feature[at] >= 0)
+            if not len(inner):
+                return at
+            node = at[inner]
+            at[inner] = self.left[node] + (bins[inner, self.feature[node]] > self.limit[node])
+
+
+def _batch(batch: pa.RecordBatch, size: int, names: list[str]) -> tuple[np.ndarray, ...]:
+    bins = batch.column("bins").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    return batch.column("tree").to_numpy(), bins, batch.column("n").to_numpy().astype(float), np.column_stack([batch.column(s).to_numpy() for s in names])
+
+
+def _histogram(state: DataFrame, tops: Tops, large: list[tuple[int, int]], names: list[str], size: int) -> DataFrame:
+    """(tree, node, feature, bin, c, n, s...) of the large nodes, summed in each task before anything is shuffled."""
+    asked = {key: i for i, key in enumerate(large)}
+    slots = np.array([asked.get(key, -1) for key in zip(tops.tree.tolist(), tops.heap.tolist(), strict=True)])
+    k = len(names) + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, size, len(large) * 128))
+        for batch in batches:
+            tree, bins, n, sums = _batch(batch, size, names)
+            slot = slots[tops.places(tree, bins)]
+            here = slot >= 0
+            if not here.any():
+                continue
+            slot, bins, values = slot[here] * 128, bins[here], [(n[here] > 0).astype(float), n[here], *sums[here].T]
+            for f in range(size):
+                place = slot + bins[:, f]
+                for j, v in enumerate(values):
+                    total[j, f] += np.bincount(place, v, minlength=len(large) * 128)
+        feature, place = np.nonzero(total[0])
+        key = np.array(large, np.int64).reshape(-1, 2)[place // 128]
+        arrays = [pa.array(key[:, 0], pa.int32()), pa.array(key[:, 1]), pa.array(feature, pa.int32()), pa.array(place % 128, pa.int32())]
+        arrays += [pa.array(total[0, feature, place].astype(np.int64)), *[pa.array(total[j, feature, place]) for j in range(1, k)]]
+        yield pa.RecordBatch.from_arrays(arrays, ["tree", "node", "feature", "bin", "c", "n", *names])
+
+    schema = f"tree int, node long, feature int, bin int, c long, n double, {', '.join(f'{s} double' for s in names)}"
+    parts = state.select("tree", "bins", "n", *names).mapInArrow(run, schema)
+    return parts.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("c", "n", *names)])
 
 
 def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, rules: Rules, tree: int) -> dict[str, np.ndarray]:
@@ -252,6 +437,7 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
     random = np.random.default_rng([rules.seed, tree, start])
     values = np.column_stack([n, sums])
     used = bins.max(0).astype(np.int64) + 1
+    source, leaf, before = np.arange(len(n)), np.zeros(len(n), np.int64), 0
     while len(ids):
         totals = np.stack([np.bincount(at, values[:, j], minlength=len(ids)) for j in range(k + 1)], 1)
         best = np.zeros(len(ids))
@@ -259,108 +445,216 @@ def grow_local(start: int, bins: np.ndarray, n: np.ndarray, sums: np.ndarray, ru
         weight = totals[:, 1] if rules.kind == "variance" else totals[:, 1:].sum(1)
         if level < rules.depth:
             order = np.argsort(at, kind="stable")
-            at, bins, values = at[order], bins[order], values[order]
+            at, bins, values, source = at[order], bins[order], values[order], source[order]
             asked = totals[:, 0] >= max(rules.min_split, 2 * rules.min_leaf)
+            asked &= np.bincount(at, minlength=len(ids)) > 1
             with np.errstate(all="ignore"):
                 own = impurity(list(totals[:, 1:].T), rules.kind, *IN_ARRAYS)
+            if rules.kind != "variance":
+                asked &= own > 1e-7  # the gain would be rounded to nothing
             least = np.maximum(1e-12, rules.min_gain) * weight
             chosen = random.random((len(ids), width)).argsort(1).argsort(1) < rules.subset if rules.subset < width else None
-            block = max(1, HISTOGRAM // int(used.max()))
-            for first in range(0, len(ids), block):
-                last = min(first + block, len(ids))
-                a, b = np.searchsorted(at, [first, last])
-                for f in np.flatnonzero(used > 1).tolist():
-                    place, part = (at[a:b] - first) * used[f] + bins[a:b, f], values[a:b]
-                    if chosen is not None:  # only the nodes that drew this feature count
-                        drew = chosen[at[a:b], f]
-                        place, part = place[drew], part[drew]
-                    shape = (last - first, used[f])
-                    left = [np.bincount(place, part[:, j], minlength=shape[0] * shape[1]).reshape(shape).cumsum(1) for j in range(k + 1)]
-                    right = [totals[first:last, j, None] - left[j] for j in range(k + 1)]
+            for f in np.flatnonzero(used > 1).tolist():
+                drew = asked if chosen is None else asked & chosen[:, f]
+                here = drew[at]
+                for nodes, spots, left in _sides(at[here], bins[here, f], values[here], int(used[f])):
+                    right = [totals[nodes, j, None] - left[j] for j in range(k + 1)]
                     with np.errstate(all="ignore"):
-                        gain = own[first:last, None] - impurity(left[1:], rules.kind, *IN_ARRAYS) - impurity(right[1:], rules.kind, *IN_ARRAYS)
-                    ok = (left[0] >= max(rules.min_leaf, 1)) & (right[0] >= max(rules.min_leaf, 1)) & asked[first:last, None]
-                    if chosen is not None:
-                        ok &= chosen[first:last, f, None]
+                        gain = own[nodes, None] - impurity(left[1:], rules.kind, *IN_ARRAYS) - impurity(right[1:], rules.kind, *IN_ARRAYS)
+                    ok = (left[0] >= max(rules.min_leaf, 1)) & (right[0] >= max(rules.min_leaf, 1))
                     gain = np.round(gain, 6)
-                    gain = np.where(ok & (gain > least[first:last, None]), gain, 0.0)
+                    gain = np.where(ok & (gain > least[nodes, None]), gain, 0.0)
                     spot = gain.argmax(1)
                     top = gain[np.arange(len(spot)), spot]
-                    better = top > best[first:last]
-                    best[first:last] = np.where(better, top, best[first:last])
-                    feature[first:last] = np.where(better, f, feature[first:last])
-                    limit[first:last] = np.where(better, spot, limit[first:last])
+                    better = top > best[nodes]
+                    won = nodes[better]
+                    best[won], feature[won] = top[better], f
+                    limit[won] = spot[better] if spots is None else spots[better, spot[better]]
         parts.append({"id": ids, "feature": feature, "bin": limit, "gain": best, "totals": totals})
         inner = np.flatnonzero(feature >= 0)
         slot = np.full(len(ids), -1)
         slot[inner] = 2 * np.arange(len(inner))
         kept = feature[at] >= 0
-        at, bins, values = at[kept], bins[kept], values[kept]
+        leaf[source[~kept]] = before + at[~kept]
+        before += len(ids)
+        at, bins, values, source = at[kept], bins[kept], values[kept], source[kept]
         at = slot[at] + (bins[np.arange(len(at)), feature[at]] > limit[at])
         ids = np.stack([2 * ids[inner], 2 * ids[inner] + 1], 1).ravel()
         level += 1
-    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
-
-
-def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, local_cells: int = LOCAL_CELLS, cells: int | None = None) -> DataFrame:
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]} | {"leaf": leaf}
+
+
+def _sides(at: np.ndarray, bins: np.ndarray, values: np.ndarray, used: int) -> Iterator[tuple[np.ndarray, np.ndarray | None, list[np.ndarray]]]:
+    """(nodes, bins, sums at or below each bin): a row for each node that has cells here (``at``, in order), a column for
+    each bin (None: all).
+
+    Few nodes have a column for every bin. Of many, each has one for the bins that its cells are in, and nodes with like
+    numbers of bins go together: the work grows with the cells, not with the nodes times the bins.
+    """
+    if not len(at):
+        return
+    k = values.shape[1]
+    new = np.concatenate([[True], at[1:] != at[:-1]])
+    nodes, at = at[new], np.cumsum(new) - 1
+    if len(nodes) * used <= len(at):
+        place, shape = at * used + bins, (len(nodes), used)
+        yield nodes, None, [np.bincount(place, values[:, j], minlength=shape[0] * used).reshape(shape).cumsum(1) for j in range(k)]
+        return
+    bits = int(len(at)).bit_length()
+    key = np.sort(((at * 128 + bins) << bits) | np.arange(len(at)))
+    spot, key = key & ((1 << bits) - 1), key >> bits
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    group = np.empty(len(at), np.int64)
+    group[spot] = np.cumsum(new) - 1
+    key = key[new]
+    owner, bin_ = key >> 7, key & 127
+    sums = [np.bincount(group, values[:, j]) for j in range(k)]
+    many = np.bincount(owner, minlength=len(nodes))
+    rank = np.arange(len(owner)) - (np.cumsum(many) - many)[owner]
+    size = np.ceil(np.log2(many)).astype(np.int64)
+    for one in np.unique(size[many > 1]).tolist():
+        mine = np.flatnonzero((size == one) & (many > 1))
+        row = np.full(len(nodes), -1)
+        row[mine] = np.arange(len(mine))
+        take = np.flatnonzero(row[owner] >= 0)
+        shape, r, c = (len(mine), 1 << one), row[owner[take]], rank[take]
+        left = []
+        for s in sums:
+            wide = np.zeros(shape)
+            wide[r, c] = s[take]
+            left.append(wide.cumsum(1))
+        spots = np.zeros(shape, np.int64)
+        spots[r, c] = bin_[take]
+        yield nodes[mine], spots, left
+
+
+def _split_large(state: DataFrame, names: list[str], size: int, rules: Rules, trees: int, local_cells: int) -> tuple[Tops | None, list[dict]]:
+    """The nodes with more than ``local_cells`` drawn cells, split level by level: each level is one pass over the stored
+    cells, which stay where they are, and the splits (a few for each ``local_cells`` cells) are collected."""
+    counts = state.groupBy("tree", "node").agg(F.count_if(F.col("n") > 0).alias("c")).collect()
+    large = sorted((r["tree"], r["node"]) for r in counts if r["c"] > local_cells)
+    splits: dict[tuple[int, int], tuple[int, int]] = {}
+    told: list[dict] = []
+    ship_package(state.sparkSession)
+    step = max(1, HISTOGRAM // (128 * size))
+    while large:
+        tops, deeper = Tops(splits, trees), []
+        for first in range(0, len(large), step):
+            counted = _histogram(state, tops, large[first : first + step], names, size)
+            for r in split_nodes(counted, names, size, rules).collect():
+                node = r.asDict()
+                if int(np.log2(r["node"])) >= rules.depth:
+                    node.update(feature=None, bin=None, gain=None)
+                told.append(node)
+                if node["feature"] is not None:
+                    splits[r["tree"], r["node"]] = (r["feature"], r["bin"])
+                    deeper += [(r["tree"], 2 * r["node"] + i) for i, c in enumerate((r["lc"], r["rc"])) if c > local_cells]
+        large = sorted(deeper)
+    return (Tops(splits, trees) if told else None), told
+
+
+def grow(start: DataFrame, size: int, n_sums: int, rules: Rules, trees: int, local_cells: int = LOCAL_CELLS, cells: int | None = None, keep: str = "trees") -> DataFrame:
     """(tree, node, n, s..., feature, bin, gain) of all nodes of all trees. ``start`` has ``cells`` rows; without that
-    number it is counted, and so read twice."""
+    number it is counted, and so read twice. With ``keep`` = "gains" there is a row for each grown subtree and feature,
+    with the sum of its gains; "leaves" adds one for each tree and cell, with the cell's packed bins (p0, ...) and the
+    sums of the leaf that it falls into."""
     spark = start.sparkSession
     names = [f"s{i}" for i in range(n_sums)]
     columns = ["tree", "node", "bins", "n", *names]
-    state, told = start.select(*columns), []
+    state = start.select(*columns)
     total = start.count() if cells is None else cells
-    while total > local_cells:  # else no node can have more
-        large = durable(state.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > local_cells).select("tree", "node"))
-        if large.isEmpty():
-            break
-        work = state.join(large, ["tree", "node"], "left_semi")
-        splits = split_nodes(work, names, size, rules)
-        deep = F.floor(F.log2("node")) >= rules.depth
-        splits = durable(splits.withColumns({c: F.when(~deep, F.col(c)) for c in ("feature", "bin", "gain")}))
-        told.append(splits)
-        inner = splits.filter("feature is not null").select("tree", "node", "feature", "bin")
-        down = work.join(inner, ["tree", "node"])
-        side = (F.element_at("bins", F.col("feature") + 1) > F.col("bin")).cast("bigint")
-        moved = down.withColumn("node", F.col("node") * 2 + side).select(*columns)
-        state = durable(state.join(large, ["tree", "node"], "left_anti").select(*columns).unionByName(moved))
+    tops, told = _split_large(state, names, size, rules, trees, local_cells) if total > local_cells else (None, [])
+    if tops is not None:
+        ended = {(r["tree"], r["node"]) for r in told if r["feature"] is None}
+        rest = np.array([key not in ended for key in zip(tops.tree.tolist(), tops.heap.tolist(), strict=True)])
+
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                tree, bins, *_ = _batch(batch, size, names)
+                at = tops.places(tree, bins)
+                moved = batch.set_column(batch.schema.get_field_index("node"), "node", pa.array(tops.heap[at]))
+                yield moved.filter(pa.array(rest[at]))
+
+        whole, state = state, state.mapInArrow(placed, state.schema)
     schema = f"tree int, node long, n double, {', '.join(f'{s} double' for s in names)}, feature int, bin int, gain double"
+    packs = range(0, size, 9)
+    if keep != "trees":
+        schema += "".join(f", p{i} long" for i in packs)
     ship_package(spark)
 
+    def rows(tree, node, totals, feature, bin_, gain, packed=None) -> pa.RecordBatch:
+        count = len(feature)
+        arrays = [pa.array(np.broadcast_to(tree, count).copy(), pa.int32()), pa.array(node, pa.int64()), *[pa.array(totals[:, j].astype(float)) for j in range(n_sums + 1)]]
+        arrays += [pa.array(feature, pa.int32()), pa.array(bin_, pa.int32()), pa.array(gain, pa.float64())]
+        if keep != "trees":
+            arrays += [pa.nulls(count, pa.int64()) for _ in packs] if packed is None else [pa.array(p) for p in packed]
+        return pa.RecordBatch.from_arrays(arrays, ["tree", "node", "n", *names, "feature", "bin", "gain", *([f"p{i}" for i in packs] if keep != "trees" else [])])
+
+    def cells_of(tree, node, totals, bins) -> Iterator[pa.RecordBatch]:
+        wide = bins.astype(np.int64)
+        packed = [sum(wide[:, i + j] << (7 * j) for j in range(min(9, size - i))) for i in packs]
+        for a in range(0, len(wide), 1 << 17):
+            b = slice(a, a + (1 << 17))
+            none = np.full(len(wide[b]), -1)
+            yield rows(tree if np.isscalar(tree) else tree[b], node[b], totals[b], none, none, none.astype(float), [p[b] for p in packed])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, held = None, []
 
-        def finish() -> pa.RecordBatch:
+        def finish() -> Iterator[pa.RecordBatch]:
             bins, n, sums = (np.concatenate(x) for x in zip(*held, strict=True))
             got = grow_local(place[1], bins, n, sums, rules, place[0])
-            totals = got["totals"]
-            arrays = [pa.array(np.full(len(totals), place[0]), pa.int32()), pa.array(got["id"]), *[pa.array(totals[:, j].astype(float)) for j in range(totals.shape[1])]]
-            arrays += [pa.array(got["feature"], pa.int32()), pa.array(got["bin"], pa.int32()), pa.array(got["gain"])]
-            return pa.RecordBatch.from_arrays(arrays, ["tree", "node", "n", *names, "feature", "bin", "gain"])
+            if keep == "trees":
+                yield rows(place[0], got["id"], got["totals"], got["feature"], got["bin"], got["gain"])
+                return
+            inner = got["feature"] >= 0
+            gains = np.bincount(got["feature"][inner], got["gain"][inner], minlength=size)
+            yield rows(place[0], np.full(size, place[1]), np.zeros((size, n_sums + 1)), np.arange(size), np.zeros(size, np.int64), gains)
+            if keep == "leaves":
+                yield from cells_of(place[0], got["id"][got["leaf"]], got["totals"][got["leaf"]], bins)
 
         for batch in batches:
-            tree, node = batch.column("tree").to_numpy(), batch.column("node").to_numpy()
-            bins = batch.column("bins").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            n = batch.column("n").to_numpy().astype(float)
-            sums = np.column_stack([batch.column(s).to_numpy() for s in names])
+            tree, bins, n, sums = _batch(batch, size, names)
+            node = batch.column("node").to_numpy()
             edges = np.flatnonzero(np.concatenate([[True], (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])])) if len(tree) else []
             for a, b in zip(edges, [*edges[1:], len(tree)], strict=True):
                 here = (int(tree[a]), int(node[a]))
                 if here != place and held:
-                    yield finish()
+                    yield from finish()
                     held = []
                 place = here
                 held.append((bins[a:b], n[a:b], sums[a:b]))
         if held:
-            yield finish()
+            yield from finish()
 
-    roots = state.select("tree", "node").distinct().count() if told else trees
-    tasks = max(1, min(roots, 4 * spark.sparkContext.defaultParallelism) if not told else -(-roots // 8))
+    # Without large nodes every tree is one subtree.
+    roots = trees if tops is None else int((tops.feature < 0).sum())
+    tasks = max(1, min(roots, 4 * spark.sparkContext.defaultParallelism) if tops is None else max(-(-roots // 8), min(roots, 4 * spark.sparkContext.defaultParallelism)))
     dealt = state.repartition(tasks, "tree", "node").sortWithinPartitions("tree", "node", "bins")
     out = dealt.mapInArrow(run, schema)
-    for splits in told:
-        filled = splits.select("tree", "node", F.col("n").cast("double"), *names, F.coalesce("feature", F.lit(-1)), F.coalesce("bin", F.lit(0)), F.coalesce("gain", F.lit(0.0)))
-        out = out.union(filled)
+    if told:
+        filled = [
+            (r["tree"], r["node"], float(r["n"]), *[float(r[s]) for s in names], *((-1, 0, 0.0) if r["feature"] is None else (r["feature"], r["bin"], r["gain"])))
+            for r in told
+            if keep == "trees" or r["feature"] is not None
+        ]
+        if keep != "trees":
+            filled = [(*r, *[None for _ in packs]) for r in filled]
+        if filled:
+            out = out.union(spark.createDataFrame(filled, schema))
+        if keep == "leaves" and ended:
+            sums = {(r["tree"], r["node"]): [float(r[c]) for c in ("n", *names)] for r in told}
+            table = np.array([sums.get(key, [0.0] * (n_sums + 1)) for key in zip(tops.tree.tolist(), tops.heap.tolist(), strict=True)])
+
+            def stayed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                """The cells of large nodes that were not split: their leaf is known."""
+                for batch in batches:
+                    tree, bins, *_ = _batch(batch, size, names)
+                    at = tops.places(tree, bins)
+                    here = np.flatnonzero(~rest[at])
+                    yield from cells_of(tree[here], tops.heap[at[here]], table[at[here]], bins[here])
+
+            out = out.union(whole.mapInArrow(stayed, schema))
     return out
 
 
@@ -391,8 +685,13 @@ def fit(
     seed: int = 42,
     local_cells: int = LOCAL_CELLS,
     cuts: list[list[float]] | None = None,
-) -> Forest:
-    """Trees of ``classes`` (their target values, in order), or of a numeric target without them."""
+    keep: str = "trees",
+) -> Forest | Weighed:
+    """Trees of ``classes`` (their target values, in order), or of a numeric target without them.
+
+    ``keep`` = "gains" collects the gains by tree and feature only, for forests whose trees are too large for the driver;
+    "leaves" works out the accuracy on the rows as well, on the executors.
+    """
     if depth > DEEPEST:
         raise ValueError(f"trees deeper than {DEEPEST} are not to be had; got {depth}")
     if bins > 127:
@@ -405,12 +704,37 @@ def fit(
     kind = "variance" if classes is None else criterion
     rules = Rules(kind, depth, min_split, min_leaf, min_gain, drawn, max(bins, 2), seed)
     n_sums = 3 if classes is None else len(classes)
-    start = cells(labelled, features, target, cuts, classes, trees, bootstrap, weight, seed)
+    start = cells(labelled, features, target, cuts, classes, trees, bootstrap, weight, seed, keep == "leaves")
     with reused(start) as kept:  # a lost block is drawn again, with the same draws
-        found = grow(kept, size, n_sums, rules, trees, local_cells).toPandas()
+        nodes = grow(kept, size, n_sums, rules, trees, local_cells, keep=keep)
+        if keep != "trees":
+            return _weigh(nodes, labelled, features, target, cuts, classes, n_sums, keep)
+        found = nodes.toPandas()
     out = []
     for _, rows in found.groupby("tree", sort=True):
         rows = rows.sort_values("node")
         sums = rows[[f"s{i}" for i in range(n_sums)]].to_numpy()
         out.append(tree_of(rows, cuts, sums[:, 1:2] / sums[:, :1] if classes is None else sums / sums.sum(1, keepdims=True)))
     return Forest(tuple(features), None if classes is None else tuple(classes), out)
+
+
+def _weigh(nodes: DataFrame, rows: DataFrame, features: Sequence[str], target: str, cuts: list[list[float]], classes: Sequence | None, n_sums: int, keep: str) -> Weighed:
+    """The gains, and the accuracy of the trees' mean class shares, from grown gains and leaves."""
+    if keep == "gains":
+        return Weighed(tuple(features), mean_shares(nodes.collect(), len(features)), None)
+    packs = [f"p{i}" for i in range(0, len(features), 9)]
+    total = sum((F.col(f"s{i}") for i in range(1, n_sums)), F.col("s0"))
+    gain = F.col("feature") >= 0
+    # One pass over the grown rows: gains stay by subtree, leaves are summed over the trees.
+    summed = nodes.groupBy(*packs, *[F.when(gain, F.col(c)).alias(c) for c in ("tree", "node", "feature")]).agg(
+        F.sum("gain").alias("gain"), *[F.sum(F.try_divide(F.col(f"s{i}"), total)).alias(f"v{i}") for i in range(n_sums)]
+    )
+    with reused(summed) as both:
+        means = mean_shares(both.filter("feature is not null").collect(), len(features))
+        shares = F.array(*[F.round(f"v{i}", 9) for i in range(n_sums)])
+        said = both.filter("feature is null").select(*packs, (F.array_position(shares, F.array_max(shares)) - 1).alias("said"))
+        seen = rows.select(*[p.alias(n) for p, n in zip(_packed(features, cuts), packs, strict=True)], col(target).cast("double").alias("_y"))
+        counts = seen.groupBy(*packs).agg(F.count(F.lit(1)).alias("c"), *[F.count_if(F.col("_y") == float(c)).alias(f"c{i}") for i, c in enumerate(classes)])
+        right = F.element_at(F.array(*[F.col(f"c{i}") for i in range(n_sums)]), (F.col("said") + 1).cast("int"))
+        accuracy = counts.join(said, packs).agg((F.sum(right) / F.sum("c")).alias("a")).first()["a"]
+    return Weighed(tuple(features), means, accuracy)
