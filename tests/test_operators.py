@@ -437,3 +437,63 @@ def test_registration_refuses_repeats(spark):
     assert R.accepted_models(batch.limit(0), known).count() == 0
     parameters = spark.createDataFrame([(5, "k"), (6, "k"), (5, "j")], "model_id long, parameter_name string")
     assert sorted(r[1] for r in R.registered_parameters(taken, parameters).collect()) == ["j", "k"]
+
+
+def test_gains_and_accuracy_need_no_collected_trees(spark):
+    """What stays on the executors says the same as the collected forest, whole or split into subtrees."""
+    df = spark.range(3000).select(*[(F.xxhash64("id", F.lit(j)) % 20).cast("double").alias(f"x{j}") for j in range(10)], "id")
+    df = df.withColumn("y", (F.col("x0") + F.col("x9") * 0.5 > 3).cast("int"))
+    names = [f"x{j}" for j in range(10)]
+    for cells in (10**6, 900):
+        common = {"classes": [0, 1], "trees": 2, "depth": 4, "subset": "sqrt", "bootstrap": True, "local_cells": cells}
+        forest = G.fit(df, names, "y", **common)
+        right = forest.score(df, ["y"]).agg(F.avg((F.col("y_pred") == F.col("y")).cast("double"))).first()[0]
+        for keep in ("gains", "leaves"):
+            weighed = G.fit(df, names, "y", **common, keep=keep)
+            assert weighed.importances.tolist() == pytest.approx(forest.importances.tolist())
+            assert weighed.accuracy is None if keep == "gains" else weighed.accuracy == pytest.approx(right)
+
+
+def test_draws_are_those_of_the_column_hash(spark):
+    rows_ = spark.range(300).select(F.xxhash64("id").alias("r"), F.xxhash64(F.xxhash64("id")).alias("s"))
+    wanted = rows_.select("s", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("t"), F.pmod(F.xxhash64("r", "t", F.lit(42)), F.lit(1 << 32)).alias("u")).toPandas()
+    state = wanted[wanted["t"] == 0]["s"].to_numpy().view(np.uint64)
+    drawn = G._draws(state, np.arange(7), 42)
+    below = [sum(np.exp(-1) / math.factorial(i) for i in range(k)) for k in range(1, 9)]
+    for t in range(7):
+        u = wanted[wanted["t"] == t]["u"].to_numpy() / 2.0**32
+        assert drawn[t].tolist() == np.searchsorted(below, u, side="right").tolist()
+
+
+def test_rows_between_the_same_limits_are_predicted_once(spark):
+    df = spark.range(500).select((F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 3).cast("double").alias("y"))
+    forest = G.fit(df, ["a", "b"], "y", trees=3, bootstrap=True)
+    x = np.array([[i % 50, i % 7] for i in range(500)] + [[np.nan, 3.0], [-1.0, np.inf]], float)
+    for _ in range(2):
+        assert forest.predict_each(x).tolist() == forest.predict(x).tolist()
+
+
+def test_layouts_have_a_bounded_number_of_partitions(spark, monkeypatch):
+    monkeypatch.setattr(A, "LAYOUT_ROWS", 2)
+    assert A.fixed_layout(spark.range(2000)).rdd.getNumPartitions() == 256
+
+
+def test_boosting_of_numbers_works_on_cells(spark, separable):
+    model = trees.fit_boosting_regressor(separable, ["x1", "x2"], "y", rounds=5)
+    assert len(model.trees) == 5 and model.base == pytest.approx(0.5)
+    errors = [e for e, _ in model.losses]
+    assert errors == sorted(errors, reverse=True) and errors[-1] == pytest.approx(0.25 * 0.9**10)
+
+
+def test_grid_search_stores_the_blocks_of_each_fold(spark, separable, monkeypatch):
+    from pyspark import StorageLevel
+    from pyspark.ml.classification import LogisticRegression
+
+    seen, own = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, rows: seen.append(rows.storageLevel) or own(self, rows))
+    df = separable.withColumn("fold", (F.xxhash64("id") % 2 != 0).cast("int"))
+    table, model = trees.grid_search(df, LogisticRegression(labelCol="y"), {"regParam": [0.1, 1.0]}, ["x1", "x2"], "y", "fold", 2)
+    assert table.count() == 2 and model.numFeatures == 2
+    assert len(seen) == 5 and all(s == StorageLevel.NONE for s in seen)
+    with pytest.raises(ValueError):
+        trees.grid_search(df, LogisticRegression(labelCol="y"), {"regParam": [0.1]}, ["x1"], "y", "fold", 3)
