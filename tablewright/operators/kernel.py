@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col
-from tablewright.operators.association import fit_on
+from tablewright.operators.association import fit_on, fixed_layout
 from tablewright.operators.linear import balanced_weights
+from tablewright.session import reused
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,14 @@ class KernelClassifier:
         return scored.groupBy(col(self.label)).agg(F.count_if(signed <= 1).alias("support_rows"), F.count(F.lit(1)).alias("rows"))
 
 
+def _laid_out(rows: DataFrame, lift: FourierMap, keep: Sequence[str]) -> DataFrame:
+    """The kept columns and features in the layout of the lifted rows. Only the narrow rows are shuffled, sorted and
+    stored; the waves are worked out again where the machine stores its blocks."""
+    wide = lift.apply(rows, list(dict.fromkeys([*keep, *lift.features])), "_lifted")
+    marked = wide.withColumn("_digest", F.xxhash64(*[col(c) for c in keep], "_lifted")).drop("_lifted")
+    return fixed_layout(marked, "_digest").drop("_digest")
+
+
 def _margins(machine, lifted: DataFrame, keep: Sequence[str]) -> DataFrame:
     return machine.transform(lifted).select(*[col(c) for c in keep], vector_to_array("rawPrediction")[1].alias("margin"))
 
@@ -99,11 +108,12 @@ def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0,
     machine = LinearSVC(
         labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
     )
-    lifted = lift.apply(weighted, [label, "class_weight"])
-    machine = fit_on(machine, lifted)
-    margins = _margins(machine, lifted, [label])
-    vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
-    calibration = fit_on(LogisticRegression(labelCol=label, featuresCol="features"), vector)
+    with reused(_laid_out(weighted, lift, [label, "class_weight"])) as kept:
+        lifted = lift.apply(kept, [label, "class_weight"])
+        machine = machine.fit(lifted)
+        with reused(_margins(machine, lifted, [label])) as margins:
+            vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
+            calibration = fit_on(LogisticRegression(labelCol=label, featuresCol="features"), vector)
     return KernelClassifier(lift, machine, calibration, label)
 
 
@@ -134,5 +144,6 @@ def fit_svr(df: DataFrame, features: Sequence[str], target: str, c: float = 1.0,
     machine = LinearRegression(
         labelCol=target, loss="huber", epsilon=1.35, regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=100
     )
-    machine = fit_on(machine, lift.apply(rows, [target]))
+    with reused(_laid_out(rows, lift, [target])) as kept:
+        machine = machine.fit(lift.apply(kept, [target]))
     return KernelRegressor(lift, machine, target, epsilon)
