@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,6 +31,10 @@ def fit_forest_regressor(df, features, target, trees=100, depth=DEEPEST, min_spl
 
 
 def fit_boosting_regressor(df, features, target, rounds=100, rate=0.1, depth=3, subsample=1.0, seed=42):
+    """Rounds over cells of equal bins, as in ``boosting``; rounds on a share of the rows (``subsample``) need the rows,
+    and MLlib's learner draws them."""
+    if subsample >= 1:
+        return boosting.fit(df, features, target, False, rounds, rate, depth, seed=seed)
     learner = GBTRegressor(labelCol=target, maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=subsample, seed=seed)
     return fit_on(learner, _rows(df, features, target, False))
 
@@ -195,9 +200,16 @@ def algorithm(task: str, name: str, **params):
 
 
 def grid_search(df: DataFrame, learner, grid: Mapping[str, Sequence], features: Sequence[str], label: str, fold: str, folds: int, metric="areaUnderROC", parallelism=4):
-    """Cross-validated grid over given folds: (parameters, mean metric) rows and the best model."""
+    """Cross-validated grid over given folds: (parameters, mean metric) rows and the best model.
+
+    The learner is given projections of the kept rows: MLlib's cross-validator marks every fold's rows as kept, for which
+    a learner does not store its blocks but builds them again in each iteration.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from pyspark.ml.tuning import ParamGridBuilder
 
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -208,13 +220,26 @@ def grid_search(df: DataFrame, learner, grid: Mapping[str, Sequence], features:
         if metric.startswith("areaUnder")
         else MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     )
-    search = CrossValidator(estimator=learner, estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol=fold, parallelism=parallelism)
     weights = [learner.getWeightCol()] if learner.hasParam("weightCol") and learner.isSet("weightCol") else []
     with reused(fixed_layout(training_rows(df, features, label, [fold, *weights]))) as rows:
-        fitted = search.fit(rows)
+        sizes = {r[fold]: r["n"] for r in rows.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if set(sizes) != set(range(folds)) or folds < 2:
+            raise ValueError(f"every fold from 0 to {folds - 1}, and no other, must have rows; got {sorted(sizes, key=str)}")
+
+        def tried(case) -> float:
+            held, params = case
+            model = learner.fit(rows.filter(col(fold) != held), params)
+            return judge.evaluate(model.transform(rows.filter(col(fold) == held)))
+
+        cases = [(i, m) for i in range(folds) for m in maps]
+        with ThreadPool(min(parallelism, len(cases))) as pool:
+            found = np.reshape(pool.map(inheritable_thread_target(df.sparkSession)(tried), cases, chunksize=1), (folds, len(maps)))
+        means = found.mean(0)
+        best = int(means.argmax() if judge.isLargerBetter() else means.argmin())
+        model = learner.fit(rows.drop(fold), maps[best])
     scores = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(score))
-        for m, score in zip(maps, fitted.avgMetrics, strict=True)
+        for m, score in zip(maps, means, strict=True)
     ]
     table = df.sparkSession.createDataFrame(scores, "parameters string, score double")
-    return table, fitted.bestModel
+    return table, model
