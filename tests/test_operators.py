@@ -497,3 +497,13 @@ def test_grid_search_stores_the_blocks_of_each_fold(spark, separable, monkeypatc
     assert len(seen) == 5 and all(s == StorageLevel.NONE for s in seen)
     with pytest.raises(ValueError):
         trees.grid_search(df, LogisticRegression(labelCol="y"), {"regParam": [0.1]}, ["x1"], "y", "fold", 3)
+
+
+def test_fitted_rows_are_not_marked_as_kept(spark):
+    from pyspark import StorageLevel
+
+    class Learner:
+        def fit(self, rows):
+            return rows.storageLevel, rows.count()
+
+    assert A.fit_on(Learner(), spark.range(50)) == (StorageLevel.NONE, 50)
