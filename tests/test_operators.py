@@ -16,6 +16,7 @@ from tablewright.operators import features as X
 from tablewright.operators import linear as L
 from tablewright.operators import metrics as M
 from tablewright.operators import neighbors as N
+from tablewright.operators.split import hash_split
 from tablewright.operators import project as P
 from tablewright.operators import registry as R
 from tablewright.operators import boosting
@@ -232,6 +233,65 @@ def test_neighbors_against_brute_force(spark, pivots, block):
         assert [got[i][k + 1][1] for k in range(6)] == [float(j % 7) for j in want]
 
 
+def _brute(points, asked, train, k):
+    matrix, train = np.array(points), np.asarray(train)
+    out = {}
+    for i in asked:
+        distance = np.sqrt(((matrix[train] - matrix[i]) ** 2).sum(1))
+        out[i] = train[np.lexsort((train, distance))[:k]].tolist()
+    return out
+
+
+@pytest.mark.parametrize("dims", [2, 10])
+def test_neighbors_in_cells_of_a_hash_split(spark, monkeypatch, dims):
+    """Cells come from the rows of a hash split and grow with them; some points are near copies far from the origin."""
+    random = np.random.default_rng(dims)
+    points = np.r_[random.normal(size=(1500, dims)), 1000 + random.integers(0, 9, size=(300, dims)) * 1e-5].tolist()
+    df = hash_split(spark.createDataFrame([(i, p, float(i % 7)) for i, p in enumerate(points)], "id bigint, vector array<double>, y double"), "id")
+    cells = []
+    for kind in (N._Boxes, N._Regions):
+        own = kind.__init__
+        monkeypatch.setattr(kind, "__init__", lambda self, *a, own=own: (own(self, *a), cells.append(self.cells))[0])
+    train = df.filter("is_train")
+    for r, block in ((train.filter("id < 400"), 100), (train, 100)):
+        got = {}
+        for row in N.nearest(df.filter("not is_train"), r, "id", "id", 6, "y", block_rows=block).collect():
+            got.setdefault(row["id"], {})[row["rank"]] = row["neighbor_id"]
+        assert {i: [g[j] for j in range(1, 7)] for i, g in got.items()} == _brute(points, list(got), [x["id"] for x in r.collect()], 6)
+        assert len(got) == df.filter("not is_train").count()
+    assert cells[0] > 1 and cells[1] > 2 * cells[0]
+
+
+def test_a_bounded_query_measures_no_more_rows_in_a_larger_table():
+    """Rows of the visited cells, for a query with a bound: the same for 64 times the rows."""
+    random, visited = np.random.default_rng(3), []
+    for n in (2_000, 128_000):
+        points = random.random((n, 2))
+        boxes = N._Boxes(points, 64)
+        rows, cells = boxes.near(points[:500], np.full(500, 1.5 / n**0.5))
+        sizes = np.array([len(m) for m in boxes.members])
+        assert sizes.sum() == n and sizes.max() <= 64
+        visited.append(sizes[cells].sum() / 500)
+    assert visited[1] < 1.2 * visited[0] < 400
+
+
+@pytest.mark.parametrize("dims", [1, 3, 7, 64])
+def test_search_against_brute_force(dims):
+    """Bounds, ties, copies, rows near each other far from the origin, and very small and very large numbers."""
+    random = np.random.default_rng(dims)
+    plain = random.normal(size=(5000, dims))
+    for ts in (plain, plain.round(1), 1e4 + plain * 1e-6, np.tile(plain[:500], (9, 1)), plain * 1e-30, plain * 1e20, plain[:3]):
+        qs, tid = np.r_[ts[:200], ts[-200:] * 1.01], random.permutation(len(ts))
+        distance = np.sqrt(((qs[:, None, :] - ts[None]) ** 2).sum(2))
+        for bound in (np.full(len(qs), np.inf), np.sort(distance, axis=1)[:, min(3, len(ts) - 1)]):
+            rows, cols, exact = N._search(qs, ts, tid, 5, bound)
+            for i in range(len(qs)):
+                within = np.flatnonzero(distance[i] <= bound[i])
+                want = within[np.lexsort((tid[within], distance[i][within]))[:5]]
+                assert cols[rows == i][: len(want)].tolist() == want.tolist()
+                assert exact[rows == i][: len(want)].tolist() == distance[i][want].tolist()
+
+
 def test_distance_weights_let_exact_hits_win(spark):
     near = spark.createDataFrame([(1, 1, 0.0, 9, 4.0), (1, 2, 1.0, 8, 100.0), (2, 1, 1.0, 7, 1.0), (2, 2, 2.0, 6, 4.0)], N._out_schema("q"))
     out = dict(rows(N.knn_regression(near, "q", "distance")))
