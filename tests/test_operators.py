@@ -567,3 +567,54 @@ def test_fitted_rows_are_not_marked_as_kept(spark):
             return rows.storageLevel, rows.count()
 
     assert A.fit_on(Learner(), spark.range(50)) == (StorageLevel.NONE, 50)
+
+
+def test_forests_of_small_tables_shuffle_nothing_for_a_tree(spark, monkeypatch):
+    """Importance and elimination send the bins to the workers; the cells of a tree are no table."""
+    cell = F.xxhash64("id")
+    df = spark.range(400).select(*[F.when(F.pmod(cell, F.lit(9 + j)) > 0, F.pmod(F.shiftright(cell, 8 * j), F.lit(4))).alias(f"x{j}") for j in range(5)], "id")
+    df = df.withColumn("y", F.when(F.col("id") % 17 > 0, (F.coalesce("x0", F.lit(0)) + F.coalesce("x4", F.lit(1)) > 3).cast("int")))
+    df, names = df.unionAll(df.filter("id % 3 = 0")), [f"x{j}" for j in range(5)]
+    common = {"classes": [0, 1], "trees": 6, "subset": "sqrt", "bootstrap": True, "keep": "leaves"}
+    wanted = G.fit(df, names, "y", **common, local_cells=200)  # too small for the whole table
+    ranks = rows(A.eliminate_features(df, names, "y", keep=2, trees=6))
+
+    def cells(*args, **kwargs):
+        raise AssertionError("cells of all trees")
+
+    monkeypatch.setattr(G, "cells", cells)
+    found = G.fit(df, names, "y", **common)
+    assert found.importances.tolist() == pytest.approx(wanted.importances.tolist()) and found.accuracy == pytest.approx(wanted.accuracy)
+    assert rows(A.eliminate_features(df, names, "y", keep=2, trees=6)) == ranks
+
+
+@pytest.mark.parametrize("whole", [True, False])
+@pytest.mark.parametrize("bins", [3, 100])
+def test_each_split_is_the_best_of_its_node(whole, bins):
+    random = np.random.default_rng(bins)
+    cells = np.unique(random.integers(0, [bins, 2, 1, bins], (300, 4)).astype(np.int8), axis=0)
+    n = random.integers(1, 4, len(cells)).astype(float)
+    first = random.integers(0, 2, len(cells)).astype(bool)
+    sums = np.column_stack([n * first, n * ~first]) * (1.0 if whole else 0.37)
+    got = G.grow_local(1, cells, n, sums, G.Rules("gini", 60, 2, 1, 0.0, 4, 127, 1), 0)
+    inside = {1: np.ones(len(cells), bool)}
+
+    def lost(some):
+        s = sums[some].sum(0)
+        return s.sum() - (s**2).sum() / s.sum()
+
+    for i, node in enumerate(got["id"].tolist()):
+        here = inside[node]
+        assert got["totals"][i].tolist() == pytest.approx([n[here].sum(), *sums[here].sum(0)])
+        gains = {}
+        for f in range(4):
+            for b in np.unique(cells[here, f])[:-1].tolist():
+                low = here & (cells[:, f] <= b)
+                gains[f, b] = round(lost(here) - lost(low) - lost(here & ~low), 6)
+        best = max(gains.values(), default=0.0)
+        assert got["gain"][i] == pytest.approx(max(best, 0.0), abs=2e-6)
+        if got["feature"][i] >= 0:
+            f, b = got["feature"][i], got["bin"][i]
+            inside[2 * node], inside[2 * node + 1] = here & (cells[:, f] <= b), here & (cells[:, f] > b)
+        else:
+            assert (got["leaf"][here] == i).all()
