@@ -576,8 +576,10 @@ def test_forests_of_small_tables_shuffle_nothing_for_a_tree(spark, monkeypatch):
     df = df.withColumn("y", F.when(F.col("id") % 17 > 0, (F.coalesce("x0", F.lit(0)) + F.coalesce("x4", F.lit(1)) > 3).cast("int")))
     df, names = df.unionAll(df.filter("id % 3 = 0")), [f"x{j}" for j in range(5)]
     common = {"classes": [0, 1], "trees": 6, "subset": "sqrt", "bootstrap": True, "keep": "leaves"}
-    wanted = G.fit(df, names, "y", **common, local_cells=200)  # too small for the whole table
-    ranks = rows(A.eliminate_features(df, names, "y", keep=2, trees=6))
+    with monkeypatch.context() as large:
+        large.setattr(G, "GATHERED", 0)
+        wanted = G.fit(df, names, "y", **common)
+        ranks = rows(A.eliminate_features(df, names, "y", keep=2, trees=6))
 
     def cells(*args, **kwargs):
         raise AssertionError("cells of all trees")
