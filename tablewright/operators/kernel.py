@@ -7,6 +7,7 @@ approach the kernel as their number grows. Everything runs as column expressions
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import col
-from tablewright.operators.association import fit_on, fixed_layout
+from tablewright.operators.association import combined, fit_on, fixed_layout
 from tablewright.operators.linear import balanced_weights
 from tablewright.session import reused
 
@@ -74,9 +75,12 @@ class KernelClassifier:
 
     def support_rows(self, df: DataFrame) -> DataFrame:
         """Rows on or inside the margin, per class: the analogue of support-vector counts."""
-        scored = _margins(self.machine, self.lift.apply(df, [self.label]), [self.label])
+        equal = df.groupBy(*[col(c) for c in dict.fromkeys([self.label, *self.lift.features])]).agg(F.count(F.lit(1)).alias("_n"))
+        scored = _margins(self.machine, self.lift.apply(equal, [self.label, "_n"]), [self.label, "_n"])
         signed = F.col("margin") * (col(self.label) * 2 - 1)
-        return scored.groupBy(col(self.label)).agg(F.count_if(signed <= 1).alias("support_rows"), F.count(F.lit(1)).alias("rows"))
+        return scored.groupBy(col(self.label)).agg(
+            F.sum(F.when(signed <= 1, F.col("_n")).otherwise(0)).alias("support_rows"), F.sum("_n").alias("rows")
+        )
 
 
 def _laid_out(rows: DataFrame, lift: FourierMap, keep: Sequence[str]) -> DataFrame:
@@ -99,21 +103,32 @@ def _calibrated(scored: DataFrame, calibration, keep: Sequence[str]) -> DataFram
 
 
 def fit_svm(df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, gamma: float | str = "scale", waves: int = 64, balanced: bool = True, max_iter: int = 50, seed: int = 42) -> KernelClassifier:
-    """Support-vector classifier: lifted features, linear machine, one-feature logistic calibration."""
+    """Support-vector classifier: lifted features, linear machine, one-feature logistic calibration.
+
+    Equal rows of a large table are one row of their summed weight (``association.combined``)."""
     rows = df.select(*[col(c) for c in dict.fromkeys([label, *features])]).na.drop(subset=[label])
     width = scale_gamma(rows, features) if gamma == "scale" else float(gamma)
     lift = fourier_map(features, width, waves, seed)
-    weighted = balanced_weights(rows, label) if balanced else rows.withColumn("class_weight", F.lit(1.0))
-    n = rows.count()
-    machine = LinearSVC(
-        labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
-    )
-    with reused(_laid_out(weighted, lift, [label, "class_weight"])) as kept:
-        lifted = lift.apply(kept, [label, "class_weight"])
-        machine = machine.fit(lifted)
-        with reused(_margins(machine, lifted, [label])) as margins:
-            vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
-            calibration = fit_on(LogisticRegression(labelCol=label, featuresCol="features"), vector)
+    few = combined(rows)
+    with nullcontext(rows) if few is None else reused(few) as given:
+        many = None if few is None else "_n"
+        weighted = balanced_weights(given, label, many=many) if balanced else given.withColumn("class_weight", F.lit(1.0))
+        keep, calibrator = [label, "class_weight"], LogisticRegression(labelCol=label, featuresCol="features")
+        if few is None:
+            n = rows.count()
+        else:
+            n = given.agg(F.sum("_n")).first()[0]
+            weighted = weighted.withColumn("class_weight", F.col("class_weight") * F.col("_n"))
+            keep, calibrator = [*keep, "_n"], calibrator.setWeightCol("_n")
+        machine = LinearSVC(
+            labelCol=label, weightCol="class_weight", regParam=1.0 / (c * max(n, 1)), standardization=False, maxIter=max_iter, tol=1e-4
+        )
+        with reused(_laid_out(weighted, lift, keep)) as kept:
+            lifted = lift.apply(kept, keep)
+            machine = machine.fit(lifted)
+            with reused(_margins(machine, lifted, [c for c in keep if c != "class_weight"])) as margins:
+                vector = VectorAssembler(inputCols=["margin"], outputCol="features").transform(margins)
+                calibration = fit_on(calibrator, vector)
     return KernelClassifier(lift, machine, calibration, label)
 
 

@@ -114,14 +114,14 @@ def cross_validate_linear(df: DataFrame, features: Sequence[str], target: str, f
     return df.sparkSession.createDataFrame(rows, "fold int, rows bigint, mse double")
 
 
-def balanced_weights(df: DataFrame, label: str, output: str = "class_weight") -> DataFrame:
-    """n / (classes * n_class) on every labelled row.
+def balanced_weights(df: DataFrame, label: str, output: str = "class_weight", many: str | None = None) -> DataFrame:
+    """n / (classes * n_class) on every labelled row; ``many`` names a column with the number of rows that one stands for.
 
     The class counts (MLlib's classifiers take at most a hundred classes) travel as one map in a
     scalar subquery, so the rows are neither joined nor shuffled.
     """
     rows = df.filter(col(label).isNotNull())
-    counts = rows.groupBy(col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(col(label).alias("_l")).agg((F.count(F.lit(1)) if many is None else F.sum(col(many))).alias("_n"))
     packed = counts.agg(
         F.map_from_entries(F.collect_list(F.struct("_l", "_n"))).alias("counts"), F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k")
     )

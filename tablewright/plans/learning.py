@@ -16,6 +16,7 @@ from tablewright.operators.features import apply_scaler, fit_scaler
 from tablewright.operators.split import hash_split, hashed_folds
 from tablewright.plans.registry import query
 from tablewright.plans.tables import TRADES, md5_sql, table, trades
+from tablewright.session import durable
 
 XS = ["l_quantity", "l_discount", "l_tax"]
 
@@ -458,10 +459,15 @@ def boosting_best_iteration(spark, folder):
     return R.best_iteration(staged)
 
 
+def _standard(df, fit):
+    """The features scaled by what the rows of ``fit`` say, which is worked out once and not for every pass."""
+    return apply_scaler(df, durable(fit_scaler(fit, XS)), XS)
+
+
 @query("svm_classification", "M16")
 def svm_classification(spark, folder):
     df = _class_rows(spark, folder)
-    df = apply_scaler(df, fit_scaler(df.filter("is_train"), XS), XS)
+    df = _standard(df, df.filter("is_train"))
     model = V.fit_svm(df.filter("is_train"), XS, "returned", waves=32)
     return _classified(model.predict(df.filter("not is_train"), ["returned"]), "returned")
 
@@ -469,7 +475,7 @@ def svm_classification(spark, folder):
 @query("svm_support_rows", "M16")
 def svm_support_rows(spark, folder):
     df = _class_rows(spark, folder)
-    df = apply_scaler(df, fit_scaler(df.filter("is_train"), XS), XS)
+    df = _standard(df, df.filter("is_train"))
     train = df.filter("is_train")
     return V.fit_svm(train, XS, "returned").support_rows(train)
 
@@ -500,7 +506,7 @@ def hyper_parameters(spark, folder):
 @query("grid_search", "T10 T8")
 def grid_search(spark, folder):
     df = _class_rows(spark, folder).filter("is_train")
-    df = L.balanced_weights(apply_scaler(df, fit_scaler(df, XS), XS), "returned")
+    df = L.balanced_weights(_standard(df, df), "returned")
     df = hashed_folds(df, "l_orderkey", 5)
     learner = LogisticRegression(labelCol="returned", featuresCol="features", weightCol="class_weight", maxIter=1000)
     fitted_on = df.count() * 4 / 5

@@ -620,3 +620,45 @@ def test_each_split_is_the_best_of_its_node(whole, bins):
             inside[2 * node], inside[2 * node + 1] = here & (cells[:, f] <= b), here & (cells[:, f] > b)
         else:
             assert (got["leaf"][here] == i).all()
+
+
+def _repeated(spark):
+    """2,000 rows of 40 kinds, with null features and rows without a label."""
+    df = spark.range(2000).select((F.col("id") % 5).cast("double").alias("a"), F.when(F.col("id") % 8 > 0, (F.col("id") % 8) / 4).alias("b"), (F.col("id") % 2).cast("int").alias("fold"))
+    return df.withColumn("y", F.when(F.rand(3) > 0.05, (F.col("a") + F.coalesce("b", F.lit(0.0)) > 2.6).cast("int"))).cache()
+
+
+def test_support_vectors_of_equal_rows(spark, monkeypatch):
+    """Equal rows of a large table are fitted as one of their weight, and are counted as the rows that they are."""
+    from tablewright.operators import kernel
+
+    df, seen = _repeated(spark), []
+    wanted = kernel.fit_svm(df, ["a", "b"], "y", waves=16)
+    laid_out = kernel._laid_out
+    monkeypatch.setattr(kernel, "_laid_out", lambda given, *args: seen.append(given.count()) or laid_out(given, *args))
+    monkeypatch.setattr(A, "COMBINED_ROWS", 1000)
+    found = kernel.fit_svm(df, ["a", "b"], "y", waves=16)
+    assert seen == [df.filter("y is not null").select("a", "b", "y").distinct().count()] and seen[0] <= 40
+    said = [{(r["a"], r["b"], r["y_pred"]) for r in m.predict(df, ["a", "b"]).collect()} for m in (wanted, found)]
+    assert said[0] == said[1]
+    assert sorted(rows(found.support_rows(df.na.drop(subset=["y"])).select("y", "rows"))) == sorted(rows(df.na.drop(subset=["y"]).groupBy("y").count()))
+    different = spark.range(2000).select(F.col("id").cast("double").alias("a"))
+    assert A.combined(different) is None and A.combined(different.limit(500)) is None
+
+
+def test_grid_search_of_equal_rows(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+
+    df = _repeated(spark).withColumn("w", F.col("a") + 1)
+    monkeypatch.setattr(A, "COMBINED_PARTS", 200)
+    for learner in (LogisticRegression(labelCol="y"), LogisticRegression(labelCol="y", weightCol="w")):
+        found = []
+        for least in (10**6, 1000):
+            monkeypatch.setattr(A, "COMBINED_ROWS", least)
+            table, model = trees.grid_search(df, learner, {"regParam": [0.01, 1.0]}, ["a", "b"], "y", "fold", 2)
+            found.append((rows(table), model.coefficients.toArray().tolist(), model.summary.totalIterations >= 0))
+        assert [r[0] for r in found[0][0]] == [r[0] for r in found[1][0]]
+        assert [r[1] for r in found[1][0]] == pytest.approx([r[1] for r in found[0][0]])
+        assert found[1][1] == pytest.approx(found[0][1], rel=1e-2)
+    few = A.combined(df, parts=200)
+    assert 200 <= few.count() < 300 and few.agg(F.sum("_n")).first()[0] == pytest.approx(2000)
